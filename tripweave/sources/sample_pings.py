@@ -1,0 +1,63 @@
+"""Pings derived from an order-line table, for trying the engine where no ping files are at hand.
+
+Every supplier becomes a vehicle and its lines, in shipping order, become pings: 200 a day in four
+trips. Whole-number arithmetic on the line's keys places phase changes, gaps, standstills, speeding,
+contradictory distances and circular routes.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from tripweave.operators.ordinal import sliced_ordinal
+
+START = "2014-08-01 06:00:00"
+LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"]
+
+
+def numbered_lines(lineitem: DataFrame) -> DataFrame:
+    """The ``n``-th line (from 0) of each vehicle, and the line's mixing number ``h``."""
+    lines = lineitem.select(
+        F.col("l_suppkey").cast("bigint").alias("vehicle_id"), "l_shipdate", *LINE_ORDER
+    )
+    numbered = sliced_ordinal(lines, ["vehicle_id"], "l_shipdate", LINE_ORDER, "nth")
+    return numbered.select(
+        "vehicle_id",
+        (F.col("nth") - 1).alias("n"),
+        (F.col("l_orderkey") * 7 + F.col("l_partkey") * 13 + F.col("l_linenumber") * 31).alias("h"),
+    )
+
+
+def pings_from_lines(lineitem: DataFrame) -> DataFrame:
+    h, n, vehicle = F.col("h"), F.col("n"), F.col("vehicle_id")
+    spacing = F.element_at(F.array(*[F.lit(s) for s in (80, 150, 300, 450, 600)]), (vehicle % 5 + 1).cast("int"))
+    step = F.when(h % 37 == 0, 0).when(h % 29 == 0, 900).otherwise(40 + h % 200)
+    trip = Window.partitionBy("vehicle_id", "day_no", "trip_no").orderBy("n")
+    travelled = (
+        numbered_lines(lineitem)
+        .withColumn("day_no", F.floor(n / 200))
+        .withColumn("trip_no", F.floor((n % 200) / 50))
+        .withColumn("spacing", spacing)
+        .withColumn("d", F.sum(step).over(trip.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("stop_no", F.floor(F.col("d") / F.col("spacing")) + 1)
+    )
+    stop_no, d = F.col("stop_no"), F.col("d")
+    circular = (vehicle % 5 == 4) & (vehicle % 10 == 4)
+    ahead = stop_no * F.col("spacing") - d + F.when(h % 17 == 0, 25).otherwise(0)
+    stop = 100000 + (vehicle % 5) * 1000 + F.when(circular, stop_no % 4).otherwise(stop_no)
+    return travelled.select(
+        "vehicle_id",
+        (
+            F.lit(START).cast("timestamp_ntz")
+            + F.make_dt_interval(days=F.col("day_no").cast("int"), secs=((n % 200) * 50 + h % 7).cast("decimal(18,6)"))
+        ).alias("time_received"),
+        d.cast("double").alias("distance_along_trip"),
+        F.when(h % 23 == 0, "LAYOVER_DURING").otherwise("IN_PROGRESS").alias("inferred_phase"),
+        F.when(h % 41 != 0, ahead.cast("double")).alias("next_scheduled_stop_distance"),
+        F.concat(F.lit("MTA_"), stop.cast("string")).alias("next_scheduled_stop_id"),
+    )
+
+
+def sample_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pings_from_lines(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
