@@ -5,6 +5,8 @@ import re
 from helpers import CLEAN, DAY
 
 from tripweave.operators import cleaning, modal, segments, views
+from tripweave.plans import daily
+from tripweave.plans import features as build
 from tripweave.session import stage
 from tripweave.sources import datasets
 from tripweave.sources.sample_pings import sample_pings
@@ -83,3 +85,11 @@ def test_day_filter_prunes_partitions(spark, tmp_path):
     df.write.partitionBy("service_date").parquet(path)
     plan = executed(datasets.read_dataset(spark, path).filter("service_date = date'2014-08-01'"))
     assert re.search(r"PartitionFilters: \[.*service_date", plan)
+
+
+def test_trip_starts_share_one_exchange(spark, sf_dir):
+    linked = stage(daily.linked(stage(sample_pings(spark, sf_dir), "pings")), "linked")
+    plan = executed(build.started(linked)[0])
+    by_vehicle_day = r"Exchange hashpartitioning\([^\n]*REPARTITION_BY_COL"
+    assert len(re.findall(r"\+- " + by_vehicle_day, plan)) == 1
+    assert len(re.findall(r"ReusedExchange [^\n]*" + by_vehicle_day, plan)) == 1

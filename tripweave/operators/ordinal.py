@@ -5,6 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# Rows one task may be given to sort as a single group.
+ONE_TASK_ROWS = 1_000_000
+
+
+def group_ordinal(df: DataFrame, group: list[str], slice_col: str, order: list[str], name: str) -> DataFrame:
+    """``row_number`` over (group by slice_col, order); in slices if a group is too large for a task."""
+    largest = df.groupBy(*group).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    if largest > ONE_TASK_ROWS:
+        return sliced_ordinal(df, group, slice_col, order, name)
+    w = Window.partitionBy(*group).orderBy(slice_col, *order)
+    return df.withColumn(name, F.row_number().over(w).cast("bigint"))
+
 
 def sliced_ordinal(df: DataFrame, group: list[str], slice_col: str, order: list[str], name: str) -> DataFrame:
     """``row_number`` over (group by slice_col, order), computed slice by slice.

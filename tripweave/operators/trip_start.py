@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tripweave.operators.cleaning import VEHICLE_DAY
+from tripweave.operators.features import CALENDAR, calendar_features
 
 # Within a vehicle-day; only identical rows can tie.
 DAY_ORDER = ["exit_time", "label", "exit_stop", "target_stop", "first_stop", "distance", "total_distance"]
@@ -62,8 +63,13 @@ def mark_changes(df: DataFrame) -> DataFrame:
 
 
 def _with_carry(df: DataFrame) -> DataFrame:
-    marked = mark_changes(df.repartition(*VEHICLE_DAY))
-    return marked.join(_carried_in(_day_edges(marked)), VEHICLE_DAY)
+    """Rows with what their day inherits. Both sides of the join read one exchange by vehicle-day: for
+    that the calendar columns, which the day gives back, stay out of it. Rows without vehicle or day
+    have no place in the order and are left to the rejects."""
+    placed = F.col("vehicle_id").isNotNull() & F.col("service_date").isNotNull()
+    narrow = df.drop(*CALENDAR).filter(placed)
+    marked = mark_changes(narrow.repartition(*VEHICLE_DAY))
+    return calendar_features(marked.join(_carried_in(_day_edges(marked)), VEHICLE_DAY))
 
 
 def trip_changes(df: DataFrame) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripweave.operators.features import CALENDAR
+
 # Day fractions of the commute window, metres per second, model columns.
 COMMUTE_FROM = 0.291
 COMMUTE_TO = 0.458
@@ -13,8 +15,6 @@ SHORT_FEATURES = ["day_of_week", "exit_time", "distance", "exit_stop", "target_s
 LONG_FEATURES = ["day_of_week", "first_time", "total_distance", "first_stop", "target_stop"]
 TUNING_FEATURES = ["day_of_week", "total_speed", "first_stop", "target_stop", "total_distance", "first_time"]
 
-CALENDAR = ["month", "day_of_month", "day_of_week"]
-
 # Chronological order of segments. Vehicle and distances make it total but for identical rows.
 CHRONOLOGICAL = [
     "service_date",

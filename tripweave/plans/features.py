@@ -25,9 +25,9 @@ def scaled(linked: DataFrame) -> tuple[DataFrame, Bounds]:
 
 
 def started(linked: DataFrame) -> tuple[DataFrame, Bounds]:
-    """Scaled segments with their trip start, staged because each vehicle-day is read twice."""
+    """Scaled segments with their trip start. One exchange serves the rows and the summaries of their days."""
     rows, bounds = scaled(linked)
-    return trip_starts(stage(rows, "encoded")), bounds
+    return trip_starts(rows), bounds
 
 
 def model_input(started_rows: DataFrame, bounds: Bounds = DEFAULT_DISTANCE_BOUNDS) -> DataFrame:

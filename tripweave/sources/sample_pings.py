@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripweave.operators.ordinal import sliced_ordinal
+from tripweave.operators.ordinal import group_ordinal
 
 START = "2014-08-01 06:00:00"
 LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"]
@@ -21,7 +21,7 @@ def numbered_lines(lineitem: DataFrame) -> DataFrame:
     lines = lineitem.select(
         F.col("l_suppkey").cast("bigint").alias("vehicle_id"), "l_shipdate", *LINE_ORDER
     )
-    numbered = sliced_ordinal(lines, ["vehicle_id"], "l_shipdate", LINE_ORDER, "nth")
+    numbered = group_ordinal(lines, ["vehicle_id"], "l_shipdate", LINE_ORDER, "nth")
     return numbered.select(
         "vehicle_id",
         (F.col("nth") - 1).alias("n"),
