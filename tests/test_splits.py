@@ -44,6 +44,14 @@ def test_three_parts(spark, n, sizes):
     assert parts[0] + parts[1] + parts[2] == in_order(data)
 
 
+@pytest.mark.parametrize("n, held", [(7, 1), (10, 1), (11, 2), (30, 3)])
+def test_tail_is_rounded_up(spark, n, held):
+    data, df = table(spark, n)
+    train, test = splits.tail_split(df, 0.1)
+    assert collected(train) == in_order(data)[: n - held]
+    assert collected(test) == in_order(data)[n - held :]
+
+
 def test_identical_rows_are_shared_out(spark):
     data = [(date(2014, 8, 1), 1, 1, 1, "a")] * 8 + [(date(2014, 8, 2), 1, 1, 1, "a")] * 2
     df = spark.createDataFrame(data, SCHEMA)

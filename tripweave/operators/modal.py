@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripweave.functions.columns import nearest_ten
@@ -17,9 +17,13 @@ def round_distances(segments: DataFrame) -> DataFrame:
 def trip_modes(rounded: DataFrame) -> DataFrame:
     """The most frequent distance of every trip and day, the smallest one on a tie.
 
-    Aggregated before the shuffle: a task sends at most one counter per ten metres and trip.
+    Counting comes first and before the shuffle, so a trip reaches the ranking as at most one row per
+    ten metres, however busy it is. (``F.mode`` gives the same, at over twice the time.)
     """
-    return rounded.groupBy(*TRIP_DAY).agg(F.mode("distance", deterministic=True).alias("distance"))
+    counted = rounded.groupBy(*TRIP_DAY, "distance").agg(F.count("*").alias("_n"))
+    by_count = Window.partitionBy(*TRIP_DAY).orderBy(F.desc("_n"), "distance")
+    ranked = counted.withColumn("_rank", F.row_number().over(by_count))
+    return ranked.filter("_rank = 1").select(*TRIP_DAY, "distance")
 
 
 def keep_modal(rounded: DataFrame, modes: DataFrame) -> DataFrame:

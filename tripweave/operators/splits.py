@@ -23,6 +23,11 @@ def holdout_cuts(n: int, train: float) -> list[int]:
     return [int(n * train)]
 
 
+def tail_cuts(n: int, held_out: float) -> list[int]:
+    """End of the training part where the held-out part is rounded up."""
+    return [n - math.ceil(n * held_out)]
+
+
 def three_way_cuts(n: int, held_out: float = 0.2, final: float = 0.5) -> list[int]:
     """Ends of the training and validation parts; held-out parts are rounded up."""
     held = math.ceil(n * held_out)
@@ -113,6 +118,10 @@ def holdout_split(df: DataFrame, train: float = 0.9) -> list[DataFrame]:
     return ordered_split(df, holdout_cuts(df.count(), train))
 
 
+def tail_split(df: DataFrame, held_out: float = 0.1) -> list[DataFrame]:
+    return ordered_split(df, tail_cuts(df.count(), held_out))
+
+
 def three_way_split(df: DataFrame, held_out: float = 0.2, final: float = 0.5) -> list[DataFrame]:
     return ordered_split(df, three_way_cuts(df.count(), held_out, final))
 

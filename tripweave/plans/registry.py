@@ -171,6 +171,11 @@ def dataset_profile(spark, sf_dir):
     return profile.profile(daily.linked(_pings(spark, sf_dir)))
 
 
+@query("SELECT count(*) AS row_count FROM model_input", "model_input")
+def row_count(spark, sf_dir):
+    return _model_table(spark, sf_dir).agg(F.count("*").alias("row_count"))
+
+
 @query(
     "SELECT * REPLACE (CAST(time_received AS VARCHAR) AS time_received) FROM "
     "(SELECT * FROM pings ORDER BY time_received, vehicle_id LIMIT 1000)",
@@ -384,6 +389,23 @@ def commute_both(spark, sf_dir):
     return views.commute_by_both(_started(spark, sf_dir))
 
 
+CALENDAR = ", ".join(features.CALENDAR)
+
+
+@query(f"SELECT {CALENDAR}, exit_time, exit_stop, distance, target_stop, label FROM commute_both", "commute_both")
+def short_view(spark, sf_dir):
+    return views.short_view(views.commute_by_both(_started(spark, sf_dir)))
+
+
+@query(
+    f"SELECT {CALENDAR}, first_time AS exit_time, first_stop AS exit_stop, total_distance AS distance, target_stop, "
+    "label FROM commute_both",
+    "commute_both",
+)
+def long_view(spark, sf_dir):
+    return views.long_view(views.commute_by_both(_started(spark, sf_dir)))
+
+
 @query(
     "SELECT * EXCLUDE (month, day_of_month) FROM ("
     "SELECT month, day_of_month, day_of_week, exit_time, exit_stop, distance, target_stop, label FROM commute_both "
@@ -457,6 +479,23 @@ def ordered_split_80_20(spark, sf_dir):
     return splits.label_parts(splits.holdout_split(_model_table(spark, sf_dir), 0.8), ["train", "test"])
 
 
+def _tail_sql(share: float) -> str:
+    return (
+        f"SELECT * EXCLUDE (nth, n) REPLACE ({DAY}), "
+        f"CASE WHEN nth <= n - CAST(ceil(n * {share}::DOUBLE) AS BIGINT) THEN 'train' ELSE 'test' END AS split FROM ranked"
+    )
+
+
+@query(_tail_sql(0.1), "ranked")
+def ordered_tail_10(spark, sf_dir):
+    return splits.label_parts(splits.tail_split(_model_table(spark, sf_dir)), ["train", "test"])
+
+
+@query(_tail_sql(0.2), "ranked")
+def ordered_tail_20(spark, sf_dir):
+    return splits.label_parts(splits.tail_split(_model_table(spark, sf_dir), 0.2), ["train", "test"])
+
+
 HELD = "CAST(ceil(n * 0.2::DOUBLE) AS BIGINT)"
 
 
