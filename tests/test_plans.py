@@ -63,6 +63,32 @@ def test_large_modes_are_not_broadcast(spark, sf_dir):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_a_hot_trip_is_split_in_the_join(spark, tmp_path):
+    """A third of all segments on one trip, modes too large to broadcast."""
+    path = str(tmp_path / "segments")
+    spark.range(60_000).repartition(6).selectExpr(
+        "id AS vehicle_id", "date'2014-08-01' AS service_date", "IF(id % 3 = 0, 0, id % 500) AS exit_stop",
+        "1L AS target_stop", "200.0D AS distance", "id AS exit_us", "id AS arrive_us",
+    ).write.parquet(path)
+    rounded = modal.round_distances(datasets.read_dataset(spark, path))
+    modes = stage(modal.trip_modes(rounded), "modes")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        df = modal.keep_modal(rounded, modes).repartition(*cleaning.VEHICLE_DAY)
+        assert "SortMergeJoin(skew=true)" in executed(df)
+        assert df.count() == 60_000
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
 def test_modes_are_counted_before_the_exchange(spark, sf_dir):
     pings = sample_pings(spark, sf_dir)
     rounded = modal.round_distances(stage(segments.segments_of(cleaning.dedup_pings(cleaning.clean_pings(pings))), "segments"))

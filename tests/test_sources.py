@@ -98,3 +98,22 @@ def test_calendar_gaps(spark):
     assert rows(profile.calendar_gaps(days, "d"), "day") == [(date(2014, 8, 2),)]
     wide = profile.calendar_gaps(days, "d", date(2014, 7, 31), date(2014, 8, 4))
     assert rows(wide, "day") == [(date(2014, 7, 31),), (date(2014, 8, 2),), (date(2014, 8, 4),)]
+
+
+def test_times_do_not_depend_on_the_session_zone(spark, tmp_path):
+    """02:30 does not exist in New York on 9 March 2014, and 01:30 exists twice on 2 November."""
+    lines = [line(1).replace("2014-08-01 06:00:00", t) for t in ("2014-03-09 02:30:00", "2014-11-02 01:30:00")]
+    write(tmp_path, "a.txt", HEADER, *lines)
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        pings = cleaning.type_pings(pings_tsv.read_pings_tsv(spark, str(tmp_path / "a.txt")))
+        got = rows(cleaning.clean_pings(pings), "service_date", "second_of_day")
+        pings_tsv.write_pings_tsv(pings, str(tmp_path / "out"))
+        again = cleaning.type_pings(pings_tsv.read_pings_tsv(spark, str(tmp_path / "out" / "*")))
+        assert rows(again, "time_received") == rows(pings, "time_received")
+        gaps = rows(profile.calendar_gaps(pings, "time_received", date(2014, 3, 8), date(2014, 3, 10)), "day")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == [(date(2014, 3, 9), 9000), (date(2014, 11, 2), 5400)]
+    assert gaps == [(date(2014, 3, 8),), (date(2014, 3, 10),)]

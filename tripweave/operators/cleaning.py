@@ -92,14 +92,13 @@ def busy_vehicle_days(pings: DataFrame, limit: int = SECONDS_PER_DAY) -> DataFra
     Only such groups can be large: the de-duplication leaves at most one ping per second.
     Reads two columns and shuffles one partial count per vehicle-day.
     """
-    busy = stage(
+    busy = (
         pings.groupBy("vehicle_id", F.to_date("time_received").alias("service_date"))
         .agg(F.count("*").alias("pings"))
         .filter(F.col("pings") > limit)
-        .select(*VEHICLE_DAY),
-        "busy-vehicle-days",
+        .select(*VEHICLE_DAY)
     )
-    return None if busy.isEmpty() else busy
+    return None if busy.isEmpty() else stage(busy, "busy-vehicle-days")
 
 
 def keep_first(df: DataFrame, keys: list[str]) -> DataFrame:

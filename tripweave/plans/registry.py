@@ -108,7 +108,7 @@ def tsv_headerless(spark, sf_dir):
     wide = pings.select(
         (F.col("distance_along_trip") / 1000).alias("latitude"),
         (F.col("distance_along_trip") / 2000).alias("longitude"),
-        F.date_format("time_received", "yyyy-MM-dd HH:mm:ss"),
+        F.col("time_received").cast("string"),
         "vehicle_id",
         "distance_along_trip",
         (F.col("vehicle_id") % 2).alias("direction"),

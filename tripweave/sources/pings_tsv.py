@@ -31,7 +31,7 @@ def write_pings_tsv(pings: DataFrame, path: str) -> None:
     """Pings as headered text, one folder per day."""
     (
         pings.withColumn("service_date", F.to_date("time_received"))
-        .withColumn("time_received", F.date_format("time_received", "yyyy-MM-dd HH:mm:ss"))
+        .withColumn("time_received", F.col("time_received").cast("string"))
         .hint("rebalance", "service_date")
         .write.partitionBy("service_date")
         .csv(path, sep="\t", header=True)
