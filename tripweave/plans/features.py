@@ -30,9 +30,13 @@ def started(linked: DataFrame) -> tuple[DataFrame, Bounds]:
     return trip_starts(rows), bounds
 
 
+def model_rows(commute: DataFrame, bounds: Bounds = DEFAULT_DISTANCE_BOUNDS) -> DataFrame:
+    """Segments in metres and seconds, with speeds, without slow ones."""
+    return drop_slow(add_speeds(unscale(commute, bounds)))
+
+
 def model_input(started_rows: DataFrame, bounds: Bounds = DEFAULT_DISTANCE_BOUNDS) -> DataFrame:
-    """Commute segments in metres and seconds, with speeds, without slow ones."""
-    return drop_slow(add_speeds(unscale(commute_by_arrival(started_rows), bounds)))
+    return model_rows(commute_by_arrival(started_rows), bounds)
 
 
 def model_table(linked: DataFrame) -> DataFrame:

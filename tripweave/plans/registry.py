@@ -624,19 +624,23 @@ def baseline_eval(spark, sf_dir):
 # Fitted models: rows only.
 
 
+def _predictions(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    return training.fit_and_score(_model_table(spark, sf_dir), kind, scratch_path(spark, f"{kind}-model"))
+
+
 @query()
 def linear_fit_score(spark, sf_dir):
-    return training.linear_predictions(_model_table(spark, sf_dir))
+    return _predictions(spark, sf_dir, "linear")
 
 
 @query()
 def gbt_fit_score(spark, sf_dir):
-    return training.gbt_predictions(_model_table(spark, sf_dir))
+    return _predictions(spark, sf_dir, "gbt")
 
 
 @query()
 def model_eval(spark, sf_dir):
-    return training.linear_evaluation(_model_table(spark, sf_dir))
+    return metrics.evaluate(_predictions(spark, sf_dir, "linear"))
 
 
 @query()
