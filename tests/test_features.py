@@ -5,7 +5,7 @@ from helpers import rows
 from pyspark.sql import functions as F
 
 from tripweave.functions import columns
-from tripweave.operators import encoding, features, scaling, views
+from tripweave.operators import encoding, features, ordinal, scaling, views
 from tripweave.operators.ordinal import sliced_ordinal
 from tripweave.operators.scaling import Bounds, ZScore
 
@@ -34,13 +34,22 @@ def test_null_tokens(spark):
 
 def test_codes_follow_the_ids_across_slices(spark, monkeypatch):
     ids = [7, 3, 70_000, 65_536, 65_535, 200_000, -1]
-    df = spark.createDataFrame([(i,) for i in ids], "id long")
+    df = spark.createDataFrame([(i,) for i in [*ids, None]], "id long")
     want = [(i, n) for n, i in enumerate(sorted(ids), 1)]
     assert rows(encoding.number_ids(df), "id", "code") == want
     monkeypatch.setattr(encoding, "SLICE_WIDTH", 2)
     assert rows(encoding.number_ids(df), "id", "code") == want
 
 
+def test_large_groups_are_numbered_like_small_ones(spark, monkeypatch):
+    data = [(g, s, o) for g in (1, 2) for s in (0, 1, 2) for o in range(5)]
+    df = spark.createDataFrame(data, "g int, s int, o int")
+    small = {tuple(r) for r in ordinal.group_ordinal(df, ["g"], "s", ["o"], "nth").collect()}
+    monkeypatch.setattr(ordinal, "ONE_TASK_ROWS", 5)
+    assert {tuple(r) for r in ordinal.group_ordinal(df, ["g"], "s", ["o"], "nth").collect()} == small
+    assert len(small) == len(data)
+
+
 def test_sliced_ordinal_is_row_number(spark):
     data = [(g, (i * 7) % 5, (i * 13) % 31, i) for g in (1, 2) for i in range(31)]
     df = spark.createDataFrame(data, "g int, s int, o int, i int")

@@ -15,8 +15,8 @@ STOP_COLUMNS = ["exit_stop", "target_stop", "first_stop"]
 
 def number_ids(ids: DataFrame) -> DataFrame:
     """Distinct whole-number ``id`` rows to (id, code), code = 1..N."""
-    sliced = ids.withColumn("_slice", F.floor(F.col("id") / SLICE_WIDTH))
-    return sliced_ordinal(sliced, [], "_slice", ["id"], "_nth").select("id", F.col("_nth").cast("int").alias("code"))
+    sliced = ids.dropna().withColumn("slice", F.floor(F.col("id") / SLICE_WIDTH))
+    return sliced_ordinal(sliced, [], "slice", ["id"], "nth").select("id", F.col("nth").cast("int").alias("code"))
 
 
 def distinct_ids(df: DataFrame, column: str) -> DataFrame:

@@ -22,7 +22,8 @@ def sliced_ordinal(df: DataFrame, group: list[str], slice_col: str, order: list[
     """``row_number`` over (group by slice_col, order), computed slice by slice.
 
     Rows are sorted within (group, slice) only; the rows of earlier slices come from partial counts.
-    One task sees the counts of one group: as many rows as the group has slices.
+    One task sees the counts of one group: as many rows as the group has slices. Group and slice must
+    not be null: a null-safe join would shuffle the rows once more.
     """
     keys = [*group, slice_col]
     earlier = Window.partitionBy(*group).orderBy(slice_col).rowsBetween(Window.unboundedPreceding, -1)

@@ -19,7 +19,7 @@ _step("lines", [], """
   (l_orderkey*7 + l_partkey*13 + l_linenumber*31) AS h,
   ROW_NUMBER() OVER (PARTITION BY l_suppkey
    ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice) - 1 AS n
- FROM lineitem""")
+ FROM lineitem WHERE l_suppkey IS NOT NULL AND l_shipdate IS NOT NULL""")
 
 _step("trips", ["lines"], """
  SELECT *, CAST(floor(d/spacing) AS BIGINT) + 1 AS idx FROM (

@@ -17,10 +17,12 @@ LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extend
 
 
 def numbered_lines(lineitem: DataFrame) -> DataFrame:
-    """The ``n``-th line (from 0) of each vehicle, and the line's mixing number ``h``."""
+    """The ``n``-th line (from 0) of each vehicle, and the line's mixing number ``h``. Lines without
+    supplier or shipping time give no ping."""
     lines = lineitem.select(
         F.col("l_suppkey").cast("bigint").alias("vehicle_id"), "l_shipdate", *LINE_ORDER
     )
+    lines = lines.filter(F.col("vehicle_id").isNotNull() & F.col("l_shipdate").isNotNull())
     numbered = group_ordinal(lines, ["vehicle_id"], "l_shipdate", LINE_ORDER, "nth")
     return numbered.select(
         "vehicle_id",
