@@ -28,7 +28,7 @@ def test_chain(spark, sf_dir, tmp_path, capfd):
     shown = capfd.readouterr().out
     assert "within_600" in shown and "2014-10-31" in shown and "label_min" in shown
 
-    want = features.model_table(daily.linked(pings))
+    want = features.model_table(stage(daily.linked(pings), "linked"))
     table = spark.read.parquet(at("table")).select(*want.columns)
     assert {tuple(r) for r in table.collect()} == {tuple(r) for r in want.collect()}
 

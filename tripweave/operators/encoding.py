@@ -24,8 +24,8 @@ def distinct_ids(df: DataFrame, column: str) -> DataFrame:
 
 
 def all_stops(df: DataFrame) -> DataFrame:
-    """Stops that are left or reached."""
-    return distinct_ids(df, "exit_stop").union(distinct_ids(df, "target_stop")).distinct()
+    """Stops that are left or reached, from one scan."""
+    return df.select(F.explode(F.array("exit_stop", "target_stop").cast("array<bigint>")).alias("id")).distinct()
 
 
 def stop_dictionary(df: DataFrame) -> DataFrame:

@@ -40,6 +40,6 @@ def model_input(started_rows: DataFrame, bounds: Bounds = DEFAULT_DISTANCE_BOUND
 
 
 def model_table(linked: DataFrame) -> DataFrame:
-    """The stored model input; splits and fits read it several times."""
-    rows, bounds = started(stage(linked, "linked"))
+    """The stored model input; splits and fits read it several times. Pass a stored table, as above."""
+    rows, bounds = started(linked)
     return stage(model_input(rows, bounds), "model-input")

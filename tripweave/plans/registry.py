@@ -81,7 +81,7 @@ def _started(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _model_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build.model_table(daily.linked(_pings(spark, sf_dir)))
+    return build.model_table(_linked(spark, sf_dir))
 
 
 # Sources and sinks.

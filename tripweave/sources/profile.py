@@ -31,9 +31,11 @@ def preview(df: DataFrame, order: list[str], n: int = 1000) -> DataFrame:
 def calendar_gaps(df: DataFrame, day: str, first: date | None = None, last: date | None = None) -> DataFrame:
     """Days from ``first`` to ``last`` (by default of the data's own range) on which ``df`` has no row."""
     present = df.select(F.to_date(day).alias("day")).distinct()
-    start = F.lit(first) if first else F.min("day")
-    end = F.lit(last) if last else F.max("day")
-    calendar = present.agg(start.alias("a"), end.alias("b")).select(
-        F.explode(F.sequence("a", "b")).alias("day")
-    )
+    if first and last:
+        span = df.sparkSession.range(1).select(F.lit(first).alias("a"), F.lit(last).alias("b"))
+    else:
+        start = F.lit(first) if first else F.min("day")
+        end = F.lit(last) if last else F.max("day")
+        span = present.agg(start.alias("a"), end.alias("b"))
+    calendar = span.select(F.explode(F.sequence("a", "b")).alias("day"))
     return calendar.join(present, "day", "left_anti")
