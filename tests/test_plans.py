@@ -4,7 +4,7 @@ import re
 
 from helpers import CLEAN, DAY
 
-from tripweave.operators import cleaning, modal, segments, views
+from tripweave.operators import cleaning, encoding, modal, segments, views
 from tripweave.plans import daily
 from tripweave.plans import features as build
 from tripweave.session import stage
@@ -119,3 +119,10 @@ def test_trip_starts_share_one_exchange(spark, sf_dir):
     by_vehicle_day = r"Exchange hashpartitioning\([^\n]*REPARTITION_BY_COL"
     assert len(re.findall(r"\+- " + by_vehicle_day, plan)) == 1
     assert len(re.findall(r"ReusedExchange [^\n]*" + by_vehicle_day, plan)) == 1
+
+
+def test_a_dictionary_reads_its_ids_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(1000).selectExpr("id % 50 AS exit_stop", "id % 70 AS target_stop").write.parquet(path)
+    plan = executed(encoding.stop_dictionary(datasets.read_dataset(spark, path)))
+    assert plan.count("FileScan") == 1

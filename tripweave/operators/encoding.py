@@ -15,7 +15,7 @@ STOP_COLUMNS = ["exit_stop", "target_stop", "first_stop"]
 
 def number_ids(ids: DataFrame) -> DataFrame:
     """Distinct whole-number ``id`` rows to (id, code), code = 1..N."""
-    sliced = ids.dropna().withColumn("slice", F.floor(F.col("id") / SLICE_WIDTH))
+    sliced = ids.filter(F.col("id").isNotNull()).withColumn("slice", F.floor(F.col("id") / SLICE_WIDTH))
     return sliced_ordinal(sliced, [], "slice", ["id"], "nth").select("id", F.col("nth").cast("int").alias("code"))
 
 

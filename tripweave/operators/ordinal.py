@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Rows one task may be given to sort as a single group.
@@ -23,9 +25,11 @@ def sliced_ordinal(df: DataFrame, group: list[str], slice_col: str, order: list[
 
     Rows are sorted within (group, slice) only; the rows of earlier slices come from partial counts.
     One task sees the counts of one group: as many rows as the group has slices. Group and slice must
-    not be null: a null-safe join would shuffle the rows once more.
+    not be null: a null-safe join would shuffle the rows once more. Saying so lets the rows and the
+    counts share what was computed before.
     """
     keys = [*group, slice_col]
+    df = df.filter(reduce(Column.__and__, [F.col(k).isNotNull() for k in keys]))
     earlier = Window.partitionBy(*group).orderBy(slice_col).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         df.groupBy(*keys)
