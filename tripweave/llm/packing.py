@@ -25,7 +25,6 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import texts_of
 from tripweave.session import stage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -34,17 +33,26 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 GROUP_TOKENS = 16_000_000
 GROUPS_TOGETHER = 64
 # Words a task remembers the ids of.
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 600_000
+# Texts that are encoded together.
+ROWS_AT_ONCE = 2000
+# The punctuation of ASCII.
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = "sequence_id long, offset long"
 
 
+def _list(array: pa.Array) -> list:
+    return array.to_numpy(zero_copy_only=False).tolist()
+
+
 class WordEncoder:
-    """Token ids of a text, as little-endian 32-bit bytes, word by word with a bounded memory.
+    """Token ids of texts, word by word with a bounded memory of words.
 
-    For vocabularies that drop white space and fold case: no token then spans two words, so the ids of a text are
-    those of its words. Only white space and letters of ASCII are handled here; all else is the tokenizer's.
+    For vocabularies that drop white space, fold case and mark the end of a word: no token then spans two words, so the
+    ids of a text are those of its words, and the ids of words of letters can be told apart by their ends. Only white
+    space, letters and punctuation of ASCII are handled here; all else is the tokenizer's.
     """
 
     def __init__(self, path: str):
@@ -56,46 +64,67 @@ class WordEncoder:
             self.ends_word[number] = token.endswith("</w>")
         self.known: dict[bytes, bytes] = {}
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        words = [t.split() if b"<|" in t else t.lower().split() for t in texts]
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text; words are told apart and numbered by Arrow, and looked up once per call."""
+        texts = texts.cast(pa.string()).fill_null("")
+        special = pa.compute.match_substring(texts, "<|").to_numpy(zero_copy_only=False)
+        plain = pa.compute.if_else(pa.array(special), "", texts)
+        split = pa.compute.ascii_split_whitespace(pa.compute.ascii_lower(plain))
+        numbered = split.flatten().dictionary_encode()
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
-        known = self.known
-        new = {w for ws in words for w in ws if w not in known}
-        if new:
-            self._learn(new)
-        return [b"".join([known[w] for w in ws]) for ws in words]
+        words = _list(numbered.dictionary.cast(pa.binary()))
+        self._learn(set(words).difference(self.known))
+        held = list(map(self.known.__getitem__, words))
+
+        size = np.fromiter(map(len, held), dtype=np.int32, count=len(held)) // 4
+        first = np.cumsum(size, dtype=np.int32) - size
+        at = numbered.indices.to_numpy()
+        sizes = size[at]
+        ends = np.cumsum(sizes, dtype=np.int64)
+        # A batch's words, and so their ids, are far fewer than a 32-bit number counts; its tokens need not be.
+        total = int(ends[-1]) if len(ends) else 0
+        step = np.ones(total, dtype=np.int32)
+        used = np.flatnonzero(sizes)
+        begin = ends[used] - sizes[used]
+        step[begin] = first[at[used]]
+        step[begin[1:]] -= first[at[used[:-1]]] + sizes[used[:-1]] - 1
+        ids = np.frombuffer(b"".join(held), dtype="<u4")[np.cumsum(step, dtype=np.int32)]
+        bounds = np.concatenate([[0], ends])[split.offsets.to_numpy() - split.offsets[0].as_py()]
+        found = [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+        for i in np.flatnonzero(special):
+            found[i] = np.array(self._ids([texts[i].as_py()])[0], dtype="<u4")
+        return found
 
     def _learn(self, words: set[bytes]) -> None:
-        """Closing points and commas after a letter or digit are tokens of their own."""
-        split = {}
-        for w in words:
-            stem = w.rstrip(b".,")
-            if len(stem) != len(w) and stem[-1:].isalnum():
-                split[w] = stem
-        stems = (words - split.keys()) | set(split.values()) | {w[len(s) :] for w, s in split.items()}
-        self._encode_stems([s for s in stems if s not in self.known])
-        for w, stem in split.items():
-            self.known[w] = self.known[stem] + self.known[w[len(stem) :]]
-
-    def _encode_stems(self, stems: list[bytes]) -> None:
-        """Words of letters only are one unit that ends with a word-end token, so many go in one call."""
-        plain, other = [], []
-        for s in stems:
-            (plain if s.decode().isalpha() else other).append(s)
+        """Closing punctuation after a letter or digit is a unit of its own; so most new words are known stems."""
+        known, new = self.known, pa.array(words, pa.binary()).cast(pa.string())
+        stems = pa.compute.utf8_rtrim(new, PUNCTUATION)
+        cut = pa.compute.and_(pa.compute.not_equal(new, stems), pa.compute.match_substring_regex(stems, "[0-9a-z]$"))
+        split = zip(*[_list(side.filter(cut).cast(pa.binary())) for side in (new, stems)], strict=True)
+        split = [(w, s, w[len(s) :]) for w, s in split]
+        units = {u for _, s, t in split for u in (s, t)}
+        units.update(_list(new.filter(pa.compute.invert(cut)).cast(pa.binary())))
+        self._encode_units(pa.array(units.difference(known), pa.binary()).cast(pa.string()))
+        known.update([(w, known[s] + known[t]) for w, s, t in split])
+
+    def _encode_units(self, units: pa.Array) -> None:
+        """Words of letters only end with the only word-end token they have, so many go in one call."""
+        letters = pa.compute.utf8_is_alpha(units)
+        other = _list(units.filter(pa.compute.invert(letters)))
+        plain = _list(units.filter(letters))
         for at in range(0, len(plain), 4096):
             part = plain[at : at + 4096]
-            ids = np.array(self._ids([b" ".join(part).decode()])[0], dtype="<u4")
-            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            ids = np.array(self._ids([" ".join(part)])[0], dtype="<u4")
+            ends = ((np.flatnonzero(self.ends_word[ids]) + 1) * 4).tolist()
             if len(ends) != len(part):
                 other += part
                 continue
-            starts = np.concatenate([[0], ends[:-1]])
             raw = ids.tobytes()
-            for s, a, b in zip(part, (starts * 4).tolist(), (ends * 4).tolist(), strict=True):
-                self.known[s] = raw[a:b]
-        for s, ids in zip(other, self._ids([s.decode() for s in other]), strict=True):
-            self.known[s] = np.array(ids, dtype="<u4").tobytes()
+            pieces = [raw[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+            self.known.update(zip(map(str.encode, part), pieces, strict=True))
+        for unit, ids in zip(other, self._ids(other), strict=True):
+            self.known[unit.encode()] = np.array(ids, dtype="<u4").tobytes()
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -109,11 +138,11 @@ def tokenize(
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = WordEncoder(tokenizer), np.array([end_id], dtype="<u4").tobytes()
         for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
+            for at in range(0, whole.num_rows, ROWS_AT_ONCE):
+                batch = whole.slice(at, ROWS_AT_ONCE)
                 doc, piece, start, length, crc, raw = [], [], [], [], [], []
-                for n, ids in zip(batch[0].to_pylist(), encoder.encode(texts_of(batch[1])), strict=True):
-                    ids += end
+                for n, found in zip(batch[0].to_pylist(), encoder.encode(batch[1]), strict=True):
+                    ids = found.tobytes() + end
                     for i, a in enumerate(range(0, len(ids), 4 * capacity)):
                         part = ids[a : a + 4 * capacity]
                         doc.append(n)
