@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tripweave.llm import packing
+from tripweave.llm import line_dedup, packing, quality, sharding, simhash, substring_dedup, topk, warc_zip
 from tripweave.llm.common import table
 
 # The sequence length and the vocabulary of the packed corpus.
@@ -22,8 +23,67 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary_path(), SEQUENCE_TOKENS)
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs, min_docs=10, min_chars=1, counts=True).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    )
+
+
+def op3_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    folder = warc_zip.package_folder(pages)
+    packages = warc_zip.write_packages(pages, folder)
+    return warc_zip.read_records(packages, folder, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.judge(docs, table(spark, sf_dir, "labels"), ["doc_id"]).select(
+        "document.doc_id", *[f"stats.{c}" for c in quality.RULES], "base_failed", "kept"
+    )
+
+
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), window=20).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10, scale=1024.0)
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=3)
+    return found.select(
+        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards(table(spark, sf_dir, "documents"), 24).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_line_dedup": op2_line_dedup,
+    "op3_warc_zip": op3_warc_zip,
+    "op6_quality": op6_quality,
+    "op7_substring_dedup": op7_substring_dedup,
+    "op8_topk": op8_topk,
+    "op9_simhash": op9_simhash,
+    "op10_sharding": op10_sharding,
 }
 
 ORACLES: dict[str, str] = {}
