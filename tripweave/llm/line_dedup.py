@@ -3,7 +3,8 @@
 The runs are the memory of all batches seen so far: tables of (line hash, documents), bucketed and sorted by hash. A
 batch counts its own line hashes, merge-anti-joins them with the keys the runs already hold as frequent, and adds the
 others as a run of level 0. Whenever a level holds ``FANOUT`` runs they are merged into one run of the next level,
-which sums their counts. Runs of one store share their buckets, so these joins and merges move the batch only.
+which sums their counts. Runs of one store share their buckets, so the joins move the batch only; a run is moved when it
+is merged, which happens once per level.
 
 A line's key is the line without white space at its ends, A-Z in lower case; its hash has 128 bits.
 
@@ -56,9 +57,9 @@ def document_lines(docs: DataFrame, text: str, min_chars: int) -> DataFrame:
         for batch in batches:
             found = [set(line_hashes(t, min_chars)) - {None} for t in texts_of(batch[2])]
             at = np.repeat(np.arange(len(found)), [len(f) for f in found])
-            hashes = np.frombuffer(b"".join(h for f in found for h in f), dtype="<i8").reshape(-1, 2)
+            hashes = np.frombuffer(b"".join(h for f in found for h in f), dtype=">i8").reshape(-1, 2)
             columns = [batch[0].take(pa.array(at)), batch[1].take(pa.array(at))]
-            columns += [pa.array(np.ascontiguousarray(hashes[:, i])) for i in (0, 1)]
+            columns += [pa.array(hashes[:, i].astype(np.int64)) for i in (0, 1)]
             yield pa.RecordBatch.from_arrays(columns, [*ROW_KEY, *LINE])
 
     return docs.select(*row_key(*docs.columns), F.col(text).cast("string").alias("_text")).mapInArrow(
@@ -95,7 +96,8 @@ class LineRuns:
 
     def _summed(self, runs: list[str]) -> DataFrame:
         rows = reduce(DataFrame.unionByName, [self.spark.table(r) for r in runs])
-        return rows.groupBy(*LINE).agg(F.sum("n").alias("n"))
+        # Dealt anew in so many words: the planner takes a union of bucketed tables for bucketed, which it is not.
+        return rows.repartition(self.buckets, *LINE).groupBy(*LINE).agg(F.sum("n").alias("n"))
 
     def _drop(self, run: str) -> None:
         drop_staged(self.spark.table(run))

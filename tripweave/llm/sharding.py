@@ -131,35 +131,29 @@ def placed(rows: DataFrame, sizes: list[tuple[int, int, int]]) -> DataFrame:
     )
 
 
-def _at_or_after(cuts: list[int]) -> Column:
-    """How many cuts are at or before a row's place: one comparison for each shard."""
-    return F.aggregate(F.array(*[F.lit(c) for c in cuts]), F.lit(0), lambda n, c: n + (F.col("_at") >= c).cast("int"))
+def _shard(cuts: list[int]) -> Column:
+    """How many cuts are at or before the middle of a row: one comparison for each shard."""
+    middle = F.col("_at") + F.floor(F.col("size") / 2)
+    return sum(((middle >= c).cast("int") for c in cuts), F.lit(0))
 
 
 def whole_groups(rows: DataFrame, cuts: list[int], shard_bytes: float) -> list[int]:
     """Cuts moved to the nearer end of the group of equal texts they fall into, if it is small."""
-    at_cut = {}
-    for n, row in enumerate(
-        rows.withColumn("_shard", _at_or_after(cuts))
-        .groupBy("_shard")
-        .agg(F.min(F.struct("_at", "_hash")).alias("first"))
-        .orderBy("_shard")
-        .collect()
-    ):
-        if n:
-            at_cut[row["_shard"]] = row["first"]["_hash"]
+    first = rows.groupBy(_shard(cuts).alias("shard")).agg(F.min(F.struct("_at", "_hash")).alias("first")).collect()
+    at_cut = {r["shard"]: r["first"] for r in first if r["shard"]}
     extents = {
         r["_hash"]: (r["low"], r["high"])
-        for r in rows.filter(F.col("_hash").isin(list(at_cut.values())))
+        for r in rows.filter(F.col("_hash").isin([r["_hash"] for r in at_cut.values()]))
         .groupBy("_hash")
         .agg(F.min("_at").alias("low"), F.max(F.col("_at") + F.col("size")).alias("high"))
         .collect()
     }
     moved = list(cuts)
-    for shard, group in at_cut.items():
-        low, high = extents[group]
-        if low < cuts[shard - 1] and high - low <= WHOLE_GROUP * shard_bytes:
-            moved[shard - 1] = low if cuts[shard - 1] - low <= high - cuts[shard - 1] else high
+    for shard, row in at_cut.items():
+        low, high = extents[row["_hash"]]
+        if low < row["_at"] and high - low <= WHOLE_GROUP * shard_bytes:
+            cut = cuts[shard - 1]
+            moved[shard - 1] = low if cut - low <= high - cut else high
     return moved
 
 
@@ -174,11 +168,7 @@ def shards(docs: DataFrame, n_shards: int, text: str = "text") -> DataFrame:
     ordered = stage(placed(ranged, sizes), "placed")
     drop_staged(rows)
     cuts = [-(-total * i // n_shards) for i in range(1, n_shards)]
-    if cuts:
-        ordered_cuts = whole_groups(ordered, cuts, total / n_shards)
-        ordered = ordered.withColumn("shard", _at_or_after(ordered_cuts))
-    else:
-        ordered = ordered.withColumn("shard", F.lit(0))
+    ordered = ordered.withColumn("shard", _shard(whole_groups(ordered, cuts, total / n_shards)))
     first = {r["shard"]: r["n"] for r in ordered.groupBy("shard").agg(F.min("_nth").alias("n")).collect()}
     starts = F.array(*[F.lit(first.get(i, 0)).cast("bigint") for i in range(n_shards)])
     return ordered.withColumn("slot", F.col("_nth") - F.get(starts, "shard")).drop(*KEY, "_at", "_nth")

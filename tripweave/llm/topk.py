@@ -78,7 +78,8 @@ class Block:
         bound = np.floor(norms * longest).astype(np.int64) + 1
         if len(bound) and bound.max() >= EXACT:
             raise OverflowError("inner products are beyond 53 bits")
-        self.low, self.width = -bound, np.maximum(1, -(-(2 * bound + 1) // BINS))
+        self.low, self.high = -bound, bound + 1
+        self.width = np.maximum(1, -(-(self.high - self.low) // BINS))
         self.missing = np.full(len(ids), k)
 
     def scores(self, batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -102,10 +103,9 @@ def histograms(candidates: DataFrame, b: Block) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((len(b.ids), BINS), dtype=np.int64)
         rows = np.arange(len(b.ids))[:, None] * BINS
-        high = b.low + b.width * BINS
         for batch in batches:
             for _, score in b.scores(batch):
-                inside = (score >= b.low[:, None]) & (score < high[:, None])
+                inside = (score >= b.low[:, None]) & (score < b.high[:, None])
                 bins = (score - b.low[:, None]) // np.maximum(b.width, 1)[:, None]
                 counts += np.bincount((rows + bins)[inside], minlength=counts.size).reshape(counts.shape)
         above = counts[:, ::-1].cumsum(axis=1)[:, ::-1] - counts
@@ -146,8 +146,9 @@ def refine(candidates: DataFrame, block: Block) -> None:
             r = kth[i]
             block.missing[i] -= r["upto"] - r["n"]
             block.low[i] += r["bin"] * block.width[i]
+            block.high[i] = min(block.high[i], block.low[i] + block.width[i])
             open_[i] = block.width[i] > 1
-            block.width[i] = max(1, -(-block.width[i] // BINS)) if open_[i] else 1
+            block.width[i] = max(1, -(-block.width[i] // BINS))
 
 
 def selected(candidates: DataFrame, b: Block) -> DataFrame:
