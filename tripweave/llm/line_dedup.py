@@ -74,11 +74,13 @@ class LineRuns:
         self.spark, self.enough, self.fanout = spark, enough, fanout
         self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[str]] = []
+        self.paths: dict[str, str] = {}
 
     def _write(self, counts: DataFrame) -> str:
         name = f"line_run_{uuid.uuid4().hex}"
         writer = counts.repartition(self.buckets, *LINE).write.bucketBy(self.buckets, *LINE).sortBy(*LINE)
-        writer.option("path", scratch_path(self.spark, name)).saveAsTable(name)
+        self.paths[name] = scratch_path(self.spark, name)
+        writer.option("path", self.paths[name]).saveAsTable(name)
         return name
 
     def _put(self, level: int, run: str) -> None:
@@ -95,9 +97,9 @@ class LineRuns:
             self._put(level + 1, merged)
 
     def _summed(self, runs: list[str]) -> DataFrame:
-        rows = reduce(DataFrame.unionByName, [self.spark.table(r) for r in runs])
-        # Dealt anew in so many words: the planner takes a union of bucketed tables for bucketed, which it is not.
-        return rows.repartition(self.buckets, *LINE).groupBy(*LINE).agg(F.sum("n").alias("n"))
+        # Read as plain files: the planner takes a union of bucketed tables for bucketed, which it is not.
+        rows = [self.spark.read.schema(self.spark.table(r).schema).parquet(self.paths[r]) for r in runs]
+        return reduce(DataFrame.unionByName, rows).groupBy(*LINE).agg(F.sum("n").alias("n"))
 
     def _drop(self, run: str) -> None:
         drop_staged(self.spark.table(run))
