@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripweave.llm import line_dedup, packing, quality, sharding, simhash, substring_dedup, topk, warc_zip
+from tripweave.llm import line_dedup, mixing, packing, pii, quality, sharding, simhash, substring_dedup, topk, warc_zip
 from tripweave.llm.common import table
 
 # The sequence length and the vocabulary of the packed corpus.
@@ -39,6 +39,38 @@ def op3_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Target shares by language and topic; what is named in neither shares the rest.
+LANGUAGES = {"en": 0.5, "de": 0.2, "fr": 0.2, "es": 0.1}
+TOPICS = {"contact": 0.1, "short": 0.1, "long": 0.8}
+# The part of all tokens to sample, and the power of a source's tokens that is its target.
+KEEP, FLATTEN = 0.5, 0.7
+
+
+def topic_of(text: Column) -> Column:
+    """A document's topic class by its content."""
+    return (
+        F.when(text.rlike(r"@|[0-9]{4}"), "contact").when(F.length(text) < 1000, "short").when(text.isNotNull(), "long")
+    )
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return mixing.mixed(docs, LANGUAGES, TOPICS, topic_of(F.col("text")), KEEP, FLATTEN).drop("document")
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_spans(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("bigint")
+
+    counts = [count(i).alias(f"n_{kind}") for i, kind in enumerate(pii.KINDS)]
+    return found.select(
+        "doc_id", *counts, F.sha2(pii.listed(base), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans")
+    )
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.judge(docs, table(spark, sf_dir, "labels"), ["doc_id"]).select(
@@ -79,6 +111,8 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op2_line_dedup": op2_line_dedup,
     "op3_warc_zip": op3_warc_zip,
+    "op4_mixing": op4_mixing,
+    "op5_pii": op5_pii,
     "op6_quality": op6_quality,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_topk": op8_topk,
