@@ -2,19 +2,29 @@
 
     BENCH_SF_DIR  folder of the input tables (default /root/testdata/sf0.1)
     BENCH_CPUS    local cores (default 8)
+    BENCH_RUNS    runs of each query, of which the median counts (default 3)
+
+Besides whole queries, every stage of the chain is timed on its stored input, under ``stages``.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import statistics
 import sys
 import time
+from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.sql import DataFrame, SparkSession
+
+from tripweave.operators import linking, trip_start, views
+from tripweave.plans import daily, features
 from tripweave.plans.registry import QUERIES
-from tripweave.session import local_session
+from tripweave.plans.sample_pings import sample_pings
+from tripweave.session import clear_staged, local_session, stage
 
 HEADLINE = [
     "tsv_scan",
@@ -35,22 +45,52 @@ HEADLINE = [
     "linear_fit_score",
     "gbt_fit_score",
 ]
+RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+
+
+def seconds(build: Callable[[], DataFrame], runs: int = RUNS) -> float:
+    """The median time to build a result and write all of it to nowhere."""
+    times = []
+    for _ in range(runs):
+        start = time.perf_counter()
+        build().write.format("noop").mode("overwrite").save()
+        times.append(time.perf_counter() - start)
+    return round(statistics.median(times), 3)
 
 
-def run(spark, name: str, sf_dir: str) -> float:
-    """Seconds to build the query and write its whole result to nowhere."""
-    start = time.perf_counter()
-    QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-    return round(time.perf_counter() - start, 3)
+def stages(spark: SparkSession, sf_dir: str) -> dict[str, float]:
+    """Each stage by itself: its input is stored before the clock starts."""
+    pings = stage(sample_pings(spark, sf_dir), "pings")
+    segments = stage(daily.segments(pings), "segments")
+    modal = stage(daily.modal_segments(pings), "modal")
+    linked = stage(daily.linked(pings), "linked")
+    scaled = stage(features.scaled(linked)[0], "scaled")
+    started = stage(features.started(linked)[0], "started")
+    builds = {
+        "pings to de-duplicated": lambda: daily.deduped(pings),
+        "pings to segments": lambda: daily.segments(pings),
+        "segments to modes": lambda: daily.trip_modes(daily.round_distances(segments)),
+        "modal segments to routes": lambda: linking.link_routes(modal),
+        "linked to encoded": lambda: features.encoded(linked),
+        "scaled to trip starts": lambda: trip_start.trip_starts(scaled),
+        "trip starts to union": lambda: views.short_long_union(views.commute_by_both(started)),
+        "linked to model table": lambda: features.model_table(linked).rows,
+    }
+    return {name: seconds(build) for name, build in builds.items()}
 
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = local_session("tripweave-bench", os.environ.get("BENCH_CPUS", "8"))
     spark.sparkContext.setLogLevel("ERROR")
-    run(spark, "linked_schema", sf_dir)  # JVM warm-up, not counted
+    seconds(lambda: QUERIES["linked_schema"](spark, sf_dir), 1)  # JVM warm-up, not counted
     scale = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
-    times = {name: run(spark, name, sf_dir) for name in HEADLINE}
+    times = {}
+    for name in HEADLINE:
+        times[name] = seconds(lambda name=name: QUERIES[name](spark, sf_dir))
+        clear_staged(spark)
+    by_stage = stages(spark, sf_dir)
+    clear_staged(spark)
     print(
         json.dumps(
             {
@@ -58,6 +98,8 @@ def main() -> None:
                 "value": round(sum(times.values()), 3),
                 "unit": "sec",
                 "queries": times,
+                "stages": by_stage,
+                "runs": RUNS,
                 "sf": float(scale) if scale.replace(".", "", 1).isdigit() else scale,
             }
         )

@@ -39,8 +39,8 @@ def test_rejects_name_the_column(spark):
         TEXT,
     )
     reasons = {r["reason"] for r in cleaning.ping_rejects(raw).collect()}
-    assert reasons == set(cleaning.PING_COLUMNS) - {"inferred_phase"}
-    assert cleaning.ping_rejects(raw).count() == 5
+    assert reasons == set(cleaning.PING_COLUMNS) - {"inferred_phase", "next_scheduled_stop_id"}
+    assert cleaning.ping_rejects(raw).count() == 4
 
 
 def test_clean_filters_phase_and_nulls(spark):
@@ -93,20 +93,8 @@ def random_pings(seed, n, seconds):
     ]
 
 
-def test_busy_vehicle_days_give_the_same_rows(spark):
+def test_crowded_vehicle_days_equal_the_step_by_step_reading(spark):
     data = {v: random_pings(v, 400 if v == 1 else 40, 50) for v in (1, 2, 3)}
     full = [(v, DAY, s, d, n, f"MTA_{p}") for v, group in data.items() for s, d, n, p in group]
-    pings = spark.createDataFrame(full, CLEAN)
-    busy = spark.createDataFrame([(1, DAY)], "vehicle_id long, service_date date")
-    plain = rows(cleaning.dedup_pings(pings), "vehicle_id", *KEPT)
-    assert rows(cleaning.dedup_pings(pings, busy), "vehicle_id", *KEPT) == plain
-    assert plain == sorted((v, s, d, n, f"MTA_{p}") for v, g in data.items() for s, d, n, p in fold_dedup(g))
-
-
-def test_busy_vehicle_days_are_found_by_count(spark):
-    t = datetime(2014, 8, 1, 6, 0, 1)
-    pings = spark.createDataFrame(
-        [(t, v, 1.0, "IN_PROGRESS", 2.0, "MTA_1") for v in (1, 1, 1, 2)], PINGS
-    )
-    assert cleaning.busy_vehicle_days(pings) is None
-    assert rows(cleaning.busy_vehicle_days(pings, limit=2), "vehicle_id", "service_date") == [(1, DAY)]
+    got = rows(cleaning.dedup_pings(spark.createDataFrame(full, CLEAN)), "vehicle_id", *KEPT)
+    assert got == sorted((v, s, d, n, f"MTA_{p}") for v, g in data.items() for s, d, n, p in fold_dedup(g))

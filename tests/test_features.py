@@ -5,7 +5,7 @@ from helpers import rows
 from pyspark.sql import functions as F
 
 from tripweave.functions import columns
-from tripweave.operators import encoding, features, ordinal, scaling, views
+from tripweave.operators import encoding, features, scaling, views
 from tripweave.operators.ordinal import sliced_ordinal
 from tripweave.operators.scaling import Bounds, ZScore
 
@@ -32,22 +32,15 @@ def test_null_tokens(spark):
     assert [r[0] for r in text.select(columns.blank_to_null(F.col("t"))).collect()] == [None] * 6 + ["none", "0"]
 
 
-def test_codes_follow_the_ids_across_slices(spark, monkeypatch):
-    ids = [7, 3, 70_000, 65_536, 65_535, 200_000, -1]
+@pytest.mark.parametrize("coalesce", ["true", "false"])
+def test_codes_follow_the_ids_across_partitions(spark, coalesce):
+    ids = [7, 3, 70_000, 65_536, 65_535, 200_000, -1, 2**62, -(2**62)]
     df = spark.createDataFrame([(i,) for i in [*ids, None]], "id long")
-    want = [(i, n) for n, i in enumerate(sorted(ids), 1)]
-    assert rows(encoding.number_ids(df), "id", "code") == want
-    monkeypatch.setattr(encoding, "SLICE_WIDTH", 2)
-    assert rows(encoding.number_ids(df), "id", "code") == want
-
-
-def test_large_groups_are_numbered_like_small_ones(spark, monkeypatch):
-    data = [(g, s, o) for g in (1, 2) for s in (0, 1, 2) for o in range(5)]
-    df = spark.createDataFrame(data, "g int, s int, o int")
-    small = {tuple(r) for r in ordinal.group_ordinal(df, ["g"], "s", ["o"], "nth").collect()}
-    monkeypatch.setattr(ordinal, "ONE_TASK_ROWS", 5)
-    assert {tuple(r) for r in ordinal.group_ordinal(df, ["g"], "s", ["o"], "nth").collect()} == small
-    assert len(small) == len(data)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+    try:
+        assert rows(encoding.number_ids(df), "id", "code") == [(i, n) for n, i in enumerate(sorted(ids), 1)]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
 def test_sliced_ordinal_is_row_number(spark):
@@ -131,20 +124,21 @@ def test_commute_windows_are_inclusive(spark):
     assert rows(views.commute_by_both(df), "exit_time") == [(0.291,)]
 
 
-def test_union_of_views_drops_repeats_and_sorts(spark):
+def test_union_of_views_drops_the_repeats_of_a_day_and_sorts(spark):
     schema = (
-        "month int, day_of_month int, day_of_week int, first_time double, exit_time double, first_stop int, "
+        "service_date date, day_of_week int, first_time double, exit_time double, first_stop int, "
         "exit_stop int, target_stop int, total_distance double, distance double, label double"
     )
-    df = spark.createDataFrame(
-        [(8, 2, 5, 0.1, 0.3, 1, 4, 5, 9.0, 2.0, 0.4), (8, 1, 4, 0.2, 0.2, 1, 1, 5, 9.0, 9.0, 0.4)], schema
-    )
-    got = views.short_long_union(df)
+    first, second, years_later = date(2014, 8, 1), date(2014, 8, 2), date(2025, 8, 1)
+    same = (4, 0.2, 0.2, 1, 1, 5, 9.0, 9.0, 0.4)
+    rows_ = [(second, 5, 0.1, 0.3, 1, 4, 5, 9.0, 2.0, 0.4), (first, *same), (years_later, *same)]
+    got = views.short_long_union(spark.createDataFrame(rows_, schema))
     assert got.columns == ["day_of_week", "exit_time", "exit_stop", "distance", "target_stop", "label"]
     assert [tuple(r) for r in got.collect()] == [
         (4, 0.2, 1, 9.0, 5, 0.4),
         (5, 0.1, 1, 9.0, 5, 0.4),
         (5, 0.3, 4, 2.0, 5, 0.4),
+        (4, 0.2, 1, 9.0, 5, 0.4),
     ]
 
 

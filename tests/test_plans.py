@@ -9,7 +9,7 @@ from tripweave.plans import daily
 from tripweave.plans import features as build
 from tripweave.session import stage
 from tripweave.sources import datasets
-from tripweave.sources.sample_pings import sample_pings
+from tripweave.plans.sample_pings import sample_pings
 
 
 def executed(df):
@@ -23,23 +23,32 @@ def exchanges(plan):
     return re.findall(r"\bExchange (\w+)", plan)
 
 
-def test_one_exchange_from_pings_to_segments(spark, sf_dir):
-    pings = stage(sample_pings(spark, sf_dir), "pings")
-    plan = executed(segments.segments_of(cleaning.dedup_pings(cleaning.clean_pings(pings))))
-    assert exchanges(plan) == ["hashpartitioning"]
+def test_pings_to_segments(spark, sf_dir):
+    """Two exchanges thin the pings, the third, by vehicle-day, serves everything up to the segments."""
+    plan = executed(segments.segments_of(cleaning.dedup_pings(cleaning.clean_pings(stage(sample_pings(spark, sf_dir), "pings")))))
+    assert exchanges(plan) == ["hashpartitioning"] * 3
+    assert plan.count("FileScan") == 1
     assert "Python" not in plan and "InMemory" not in plan.replace("InMemoryFileIndex", "")
 
 
-def test_busy_days_are_thinned_before_each_exchange(spark):
+def test_pings_are_thinned_before_each_exchange(spark):
     pings = stage(spark.createDataFrame([(v, DAY, s, 1.0, 1.0, "MTA_1") for v in (1, 2) for s in range(9)], CLEAN), "clean")
-    busy = stage(spark.createDataFrame([(1, DAY)], "vehicle_id long, service_date date"), "busy")
-    plan = executed(cleaning.dedup_pings(pings, busy))
-    assert len(exchanges(plan)) == 3
+    plan = executed(cleaning.dedup_pings(pings))
+    assert plan.count("FileScan") == 1
     # Below the exchange by (vehicle-day, distance) each task already keeps one row per key.
     assert re.search(r"Exchange hashpartitioning\([^\n]*distance_along_trip[^\n]*\n[^\n]*WindowGroupLimit", plan)
     assert re.search(r"Exchange hashpartitioning\([^\n]*second_of_day[^\n]*\n[^\n]*WindowGroupLimit", plan)
 
 
+def test_sparse_ids_are_not_numbered_in_one_task(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(5000).selectExpr("xxhash64(id) AS vehicle_id").write.parquet(path)
+    df = encoding.vehicle_dictionary(datasets.read_dataset(spark, path))
+    assert "SinglePartition" not in executed(df)
+    got = df.orderBy("id").collect()
+    assert [r["code"] for r in got] == list(range(1, 5001))
+
+
 def test_stored_modes_are_broadcast_and_segments_stay(spark, sf_dir):
     pings = stage(sample_pings(spark, sf_dir), "pings")
     found = stage(segments.segments_of(cleaning.dedup_pings(cleaning.clean_pings(pings))), "segments")

@@ -77,20 +77,34 @@ def test_days_are_replaced_one_by_one(spark, tmp_path):
 
 
 def test_compaction_keeps_rows(spark, tmp_path):
-    many, few, three = (str(tmp_path / n) for n in ("many", "few", "three"))
+    many, few = (str(tmp_path / n) for n in ("many", "few"))
     spark.range(1000).repartition(12).write.parquet(many)
-    assert datasets.dataset_files(spark, many).count() == 12
-    assert datasets.compact(spark, many, few) == 1
-    assert datasets.dataset_files(spark, few).count() == 1
-    assert datasets.compact(spark, many, three, files=3) == 3
-    assert datasets.dataset_files(spark, three).count() == 3
-    for path in (few, three):
-        assert rows(datasets.read_dataset(spark, path), "id") == [(i,) for i in range(1000)]
+    assert tuple(datasets.compact(spark, many, few).first()) == (12, 1)
+    assert rows(datasets.read_dataset(spark, few), "id") == [(i,) for i in range(1000)]
+
+
+def test_compaction_keeps_the_day_layout(spark, tmp_path):
+    many, few = (str(tmp_path / n) for n in ("many", "few"))
+    df = spark.range(90).selectExpr("id", "date_add(date'2014-08-01', int(id % 3)) AS day")
+    df.repartition(5).write.partitionBy("day").parquet(many)
+    assert datasets.compact(spark, many, few, "day").first()["after"] == 3
+    back = datasets.read_dataset(spark, few)
+    assert {tuple(r) for r in back.select("id", "day").collect()} == {tuple(r) for r in df.collect()}
+    plan = back.filter("day = date'2014-08-01'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
+
+
+def test_a_dataset_is_overwritten(spark, tmp_path):
+    path = str(tmp_path / "d")
+    datasets.write_dataset(spark.range(10), path)
+    datasets.write_dataset(spark.range(3), path)
+    assert rows(datasets.read_dataset(spark, path), "id") == [(0,), (1,), (2,)]
 
 
 def test_profile(spark):
     df = spark.createDataFrame([(1, "b"), (None, "a"), (3, None)], "x int, y string")
-    assert tuple(profile.profile(df).first()) == (3, 1, 1, 3, 1, "a", "b")
+    assert tuple(profile.profile(df).first()) == (3, "int", 1, 1, 3, "string", 1, "a", "b")
+    assert [tuple(r) for r in profile.column_types(df).orderBy("place").collect()] == [(1, "x", "int"), (2, "y", "string")]
 
 
 def test_calendar_gaps(spark):

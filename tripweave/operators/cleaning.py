@@ -5,14 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripweave.functions.columns import (
-    SECONDS_PER_DAY,
-    parse_stop,
-    parse_time,
-    parse_whole,
-    second_of_day,
-)
-from tripweave.session import stage
+from tripweave.functions.columns import parse_stop, parse_time, parse_whole, second_of_day
 
 # Fixed values.
 IN_PROGRESS = "IN_PROGRESS"
@@ -54,13 +47,15 @@ def type_pings(raw: DataFrame) -> DataFrame:
 
 
 def reject_reason():
-    """Why an all-text ping cannot be used although no value is missing; null if it can."""
+    """Why an all-text ping cannot be used although no value is missing; null if it can.
+
+    Stop ids are not looked into here: they matter only where a segment starts or ends.
+    """
     return (
         F.when(parse_whole(F.col("vehicle_id")).isNull(), "vehicle_id")
         .when(parse_time(F.col("time_received")).isNull(), "time_received")
         .when(F.col("distance_along_trip").try_cast("double").isNull(), "distance_along_trip")
         .when(F.col("next_scheduled_stop_distance").try_cast("double").isNull(), "next_scheduled_stop_distance")
-        .when(parse_stop(F.col("next_scheduled_stop_id")).isNull(), "next_scheduled_stop_id")
     )
 
 
@@ -86,41 +81,20 @@ def clean_pings(pings: DataFrame) -> DataFrame:
     )
 
 
-def busy_vehicle_days(pings: DataFrame, limit: int = SECONDS_PER_DAY) -> DataFrame | None:
-    """Vehicle-days with more pings than a day has seconds, or None if there are none.
-
-    Only such groups can be large: the de-duplication leaves at most one ping per second.
-    Reads two columns and shuffles one partial count per vehicle-day.
-    """
-    busy = (
-        pings.groupBy("vehicle_id", F.to_date("time_received").alias("service_date"))
-        .agg(F.count("*").alias("pings"))
-        .filter(F.col("pings") > limit)
-        .select(*VEHICLE_DAY)
-    )
-    return None if busy.isEmpty() else stage(busy, "busy-vehicle-days")
-
-
 def keep_first(df: DataFrame, keys: list[str]) -> DataFrame:
     """The earliest row of every vehicle-day and key. Spark also applies the limit before a shuffle."""
     w = Window.partitionBy(*VEHICLE_DAY, *keys).orderBy(*ARRIVAL_ORDER)
     return df.withColumn("_nth", F.row_number().over(w)).filter("_nth = 1").drop("_nth")
 
 
-def dedup_pings(clean: DataFrame, busy: DataFrame | None = None) -> DataFrame:
+def dedup_pings(clean: DataFrame) -> DataFrame:
     """Keep-first by distance, then by time, then by (next stop distance, next stop id).
 
-    One exchange by vehicle-day serves every window from here to the segments. Vehicle-days in
-    ``busy`` first take the first two steps spread over (vehicle-day, distance) and
-    (vehicle-day, second), which leaves them no more than one ping per second; repeating the
-    steps afterwards changes nothing.
+    The first two steps are spread over (vehicle-day, distance) and (vehicle-day, second); each task
+    drops its own repeats before either exchange. They leave a vehicle-day at most one ping per second,
+    so the exchange by vehicle-day, which serves every window from here to the segments, has bounded
+    groups however many pings a vehicle-day had.
     """
-    if busy is not None:
-        spread = clean.join(busy, VEHICLE_DAY, "left_semi")
-        for keys in DEDUP_KEYS[:2]:
-            spread = keep_first(spread, keys)
-        clean = clean.join(busy, VEHICLE_DAY, "left_anti").unionByName(spread)
-    deduped = clean.repartition(*VEHICLE_DAY)
-    for keys in DEDUP_KEYS:
-        deduped = keep_first(deduped, keys)
-    return deduped
+    by_distance, by_second, by_stop = DEDUP_KEYS
+    spread = keep_first(keep_first(clean, by_distance), by_second)
+    return keep_first(spread.repartition(*VEHICLE_DAY), by_stop)

@@ -5,18 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.operators.ordinal import sliced_ordinal
-
-# Ids numbered in one task; distinct whole numbers, so no slice can hold more.
-SLICE_WIDTH = 65536
+from tripweave.operators.ordinal import placed, position
 
 STOP_COLUMNS = ["exit_stop", "target_stop", "first_stop"]
 
 
 def number_ids(ids: DataFrame) -> DataFrame:
-    """Distinct whole-number ``id`` rows to (id, code), code = 1..N."""
-    sliced = ids.filter(F.col("id").isNotNull()).withColumn("slice", F.floor(F.col("id") / SLICE_WIDTH))
-    return sliced_ordinal(sliced, [], "slice", ["id"], "nth").select("id", F.col("nth").cast("int").alias("code"))
+    """Distinct whole-number ``id`` rows to (id, code), code = 1..N, however far apart the ids lie."""
+    table, parts = placed(ids.filter(F.col("id").isNotNull()), ["id"], "_place", "ids")
+    return table.select("id", (position("_place", parts) + 1).cast("int").alias("code"))
 
 
 def distinct_ids(df: DataFrame, column: str) -> DataFrame:

@@ -1,7 +1,11 @@
 """Route linking: which first stop every segment of a vehicle-day belongs to, and how far along it is.
 
 A route starts at a stop the vehicle leaves but never reaches that day. A stop belongs to the route
-that reaches it in the fewest hops; ties go to the smaller first stop, then the shorter way.
+that reaches it in the fewest hops; ties go to the smaller first stop, then the shorter way. Routes
+have any number of hops: a stop is claimed once, so the walk ends.
+
+``link_routes`` walks whole vehicle-days; the relational steps (roots, frontier, claims) are the same
+rules one hop at a time and serve as its cross-check.
 """
 
 from __future__ import annotations
@@ -21,9 +25,6 @@ from tripweave.operators.cleaning import VEHICLE_DAY
 # Executors need not have this package installed: its functions travel with the job.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Fixed value: hops per route.
-MAX_HOPS = 100
-
 STOP_OF_DAY = [*VEHICLE_DAY, "stop"]
 
 
@@ -140,10 +141,7 @@ def _walk(group, exit_stop, target_stop, distance):
     total = np.zeros(n)
     reached = np.zeros(n, dtype=bool)
     frontier = claimed.copy()
-    for _ in range(MAX_HOPS):
-        leaving = np.flatnonzero(frontier[source])
-        if len(leaving) == 0:
-            break
+    while len(leaving := np.flatnonzero(frontier[source])):
         first_stop[leaving] = route[source[leaving]]
         total[leaving] = distance[leaving] + base[source[leaving]]
         reached[leaving] = True

@@ -1,21 +1,24 @@
 """Ordered holdout splits.
 
-A split needs only the row at each cut position, not a number for every row. That row is found column
-by column from partial counts; the parts are then plain filters against its values, which also prune
-the scan by the leading column.
+The rows are stored once in their order, with a place that ascends in it. A cut is then one place, found
+from the number of rows in each stored partition; the parts are comparisons with it, which skip the files
+of other parts, and any number of parts is labelled in one scan.
 """
 
 from __future__ import annotations
 
+import json
 import math
+from dataclasses import dataclass
+from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tripweave.operators.ordinal import place_of, placed, position
 from tripweave.operators.views import CHRONOLOGICAL
 
-# Groups up to this size are sorted instead of counted further.
-SORT_BELOW = 10_000
+PLACE = "_place"
 
 
 def holdout_cuts(n: int, train: float) -> list[int]:
@@ -40,31 +43,60 @@ def total_order(df: DataFrame, order: list[str]) -> list[str]:
     return leading + [c for c in df.columns if c not in leading]
 
 
-def row_at(df: DataFrame, position: int, order: list[str]) -> tuple[Row, int] | None:
-    """The row at a 0-based position of a total order, and how many identical rows come before it.
-
-    The running counts run over the distinct values of one column at a time: days, then the seconds
-    of one day, and so on until few rows are left.
-    """
-    group, rest = df, position
-    for column in order:
-        upto = Window.orderBy(column).rowsBetween(Window.unboundedPreceding, 0)
-        found = (
-            group.groupBy(column)
-            .agg(F.count("*").alias("n"))
-            .withColumn("upto", F.sum("n").over(upto))
-            .filter(F.col("upto") > rest)
-            .orderBy("upto")
-            .first()
-        )
+@dataclass(frozen=True)
+class Ordered:
+    """Rows stored in an order, with their places, and the rows of each stored partition."""
+
+    rows: DataFrame
+    parts: list[tuple[int, int, int]]
+    order: list[str]
+
+    @cached_property
+    def table(self) -> DataFrame:
+        return self.rows.drop(PLACE)
+
+    @cached_property
+    def count(self) -> int:
+        return sum(n for _, _, n in self.parts)
+
+    def _cut(self, at: int) -> Column:
+        return F.lit(place_of(at, self.parts))
+
+    def between(self, first: int, last: int) -> DataFrame:
+        """The rows from a 0-based position up to, but without, another."""
+        place = F.col(PLACE)
+        return self.rows.filter((place >= self._cut(first)) & (place < self._cut(last))).drop(PLACE)
+
+    def split(self, cuts: list[int]) -> list[DataFrame]:
+        """The parts between ascending positions."""
+        edges = [0, *cuts, self.count]
+        return [self.between(a, b) for a, b in zip(edges, edges[1:], strict=False)]
+
+    def label(self, cuts: list[int], names: list[str]) -> DataFrame:
+        """All rows with the name of their part, in one scan."""
+        split = F.lit(names[-1])
+        for cut, name in reversed(list(zip(cuts, names, strict=False))):
+            split = F.when(F.col(PLACE) < self._cut(cut), name).otherwise(split)
+        return self.rows.withColumn("split", split).drop(PLACE)
+
+    def numbered(self, name: str) -> DataFrame:
+        """All rows with their position, counted from 1."""
+        return self.rows.withColumn(name, position(PLACE, self.parts) + 1).drop(PLACE)
+
+    def boundary(self, at: int) -> Boundary | None:
+        """What tells the rows before a position from the others in any table that holds the same rows."""
+        found = self.rows.filter(F.col(PLACE) == self._cut(at)).drop(PLACE).first()
         if found is None:
             return None
-        rest -= found["upto"] - found["n"]
-        group = group.filter(F.col(column).eqNullSafe(F.lit(found[column])))
-        if found["n"] <= SORT_BELOW:
-            row = group.orderBy(*order).offset(rest).limit(1).first()
-            return row, rest - group.filter(_key(order) < _pivot(df, row, order)).count()
-    return group.first(), rest
+        same = self.between(0, at).filter(_key(self.order) == _pivot(self.table, found, self.order))
+        return Boundary(found, same.count(), self.order)
+
+
+def in_order(df: DataFrame, order: list[str] = CHRONOLOGICAL) -> Ordered:
+    """Store ``df`` in its total order: one range exchange; each task sorts a range."""
+    full = total_order(df, order)
+    rows, parts = placed(df, full, PLACE, "in-order")
+    return Ordered(rows, parts, full)
 
 
 def _key(order: list[str]) -> Column:
@@ -75,62 +107,61 @@ def _pivot(df: DataFrame, row: Row, order: list[str]) -> Column:
     return F.struct(*[F.lit(row[c]).cast(df.schema[c].dataType).alias(c) for c in order])
 
 
-def split_at(df: DataFrame, position: int, order: list[str]) -> tuple[DataFrame, DataFrame]:
-    """The rows before a position of a total order, and the others."""
-    found = row_at(df, position, order)
-    if found is None:
-        return df, df.filter(F.lit(False))
-    row, copies = found
-    key, pivot = _key(order), _pivot(df, row, order)
-    lead, value = F.col(order[0]), F.lit(row[order[0]])
-    head = df.filter((lead <= value) | lead.isNull()).filter(key < pivot)
-    tail = df if row[order[0]] is None else df.filter(lead >= value)
-    if not copies:
-        return head, tail.filter(key >= pivot)
-    nth = F.row_number().over(Window.partitionBy(*order).orderBy(F.lit(1)))
-    same = df.filter(key == pivot).withColumn("_copy", nth)
-    return (
-        head.unionByName(same.filter(F.col("_copy") <= copies).drop("_copy")),
-        tail.filter(key > pivot).unionByName(same.filter(F.col("_copy") > copies).drop("_copy")),
-    )
-
-
-def ordered_split(df: DataFrame, cuts: list[int], order: list[str] = CHRONOLOGICAL) -> list[DataFrame]:
-    """Cut ``df`` at ascending positions of its order. Pass a stored table: it is read several times."""
-    full = total_order(df, order)
-    parts, rest, done = [], df, 0
-    for cut in cuts:
-        head, rest = split_at(rest, cut - done, full)
-        parts.append(head)
-        done = cut
-    return [*parts, rest]
+@dataclass(frozen=True)
+class Boundary:
+    """The first row after a cut, and how many rows identical to it lie before."""
 
+    row: Row
+    copies: int
+    order: list[str]
 
-def label_parts(parts: list[DataFrame], names: list[str]) -> DataFrame:
-    labelled = [p.withColumn("split", F.lit(n)) for p, n in zip(parts, names, strict=True)]
-    both = labelled[0]
-    for part in labelled[1:]:
-        both = both.unionByName(part)
-    return both
+    def after(self, df: DataFrame) -> DataFrame:
+        """The rows of ``df`` after the cut."""
+        key, pivot = _key(self.order), _pivot(df, self.row, self.order)
+        later = df.filter(key > pivot)
+        nth = F.row_number().over(Window.partitionBy(*self.order).orderBy(F.lit(1)))
+        same = df.filter(key == pivot).withColumn("_copy", nth).filter(F.col("_copy") > self.copies)
+        return later.unionByName(same.drop("_copy"))
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        frame = spark.createDataFrame([(json.dumps(self.row.asDict(), default=str), self.copies, self.order)], BOUNDARY)
+        frame.write.mode("overwrite").parquet(path)
 
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> Boundary:
+        row = spark.read.parquet(path).first()
+        return Boundary(Row(**json.loads(row["row"])), row["copies"], list(row["order"]))
 
-def holdout_split(df: DataFrame, train: float = 0.9) -> list[DataFrame]:
-    return ordered_split(df, holdout_cuts(df.count(), train))
 
+BOUNDARY = "row string, copies long, order array<string>"
 
-def tail_split(df: DataFrame, held_out: float = 0.1) -> list[DataFrame]:
-    return ordered_split(df, tail_cuts(df.count(), held_out))
 
+def holdout_split(rows: Ordered, train: float = 0.9) -> list[DataFrame]:
+    return rows.split(holdout_cuts(rows.count, train))
 
-def three_way_split(df: DataFrame, held_out: float = 0.2, final: float = 0.5) -> list[DataFrame]:
-    return ordered_split(df, three_way_cuts(df.count(), held_out, final))
 
+def tail_split(rows: Ordered, held_out: float = 0.1) -> list[DataFrame]:
+    return rows.split(tail_cuts(rows.count, held_out))
 
-def except_split(df: DataFrame, columns: list[str], train: float = 0.9) -> tuple[DataFrame, DataFrame]:
+
+def three_way_split(rows: Ordered, held_out: float = 0.2, final: float = 0.5) -> list[DataFrame]:
+    return rows.split(three_way_cuts(rows.count, held_out, final))
+
+
+def except_split(rows: Ordered, columns: list[str], train: float = 0.9) -> tuple[DataFrame, DataFrame]:
     """Compatibility form: the test part is the set difference of the projected rows, so repeated rows
     and rows that also occur in training vanish from it."""
-    head, _ = holdout_split(df, train)
-    return head.select(*columns), df.select(*columns).subtract(head.select(*columns))
+    head, _ = holdout_split(rows, train)
+    return head.select(*columns), rows.table.select(*columns).subtract(head.select(*columns))
+
+
+def label_parts(parts: list[DataFrame], names: list[str]) -> DataFrame:
+    """Reports of several parts in one table."""
+    labelled = [p.withColumn("split", F.lit(n)) for p, n in zip(parts, names, strict=True)]
+    both = labelled[0]
+    for part in labelled[1:]:
+        both = both.unionByName(part)
+    return both
 
 
 def ordered_head(df: DataFrame, n: int = 1000) -> DataFrame:

@@ -43,28 +43,35 @@ def commute_by_both(df: DataFrame) -> DataFrame:
     return df.filter((F.col("exit_time") >= COMMUTE_FROM) & (F.col("label") <= COMMUTE_TO))
 
 
+# The columns of the short view, and what the long view shows under their names.
+VIEW_COLUMNS = ["exit_time", "exit_stop", "distance", "target_stop", "label"]
+LONG_SOURCE = {"exit_time": "first_time", "exit_stop": "first_stop", "distance": "total_distance"}
+UNION_ORDER = ["exit_time", "label", "exit_stop", "target_stop", "distance"]
+
+
+def _view(df: DataFrame, source: dict[str, str], *leading: str) -> DataFrame:
+    return df.select(*leading, *[F.col(source.get(c, c)).alias(c) for c in VIEW_COLUMNS])
+
+
 def short_view(df: DataFrame) -> DataFrame:
     """Stop to next stop."""
-    return df.select(*CALENDAR, "exit_time", "exit_stop", "distance", "target_stop", "label")
+    return _view(df, {}, *CALENDAR)
 
 
 def long_view(df: DataFrame) -> DataFrame:
     """First stop of the trip to the stop reached, under the column names of the short view."""
-    return df.select(
-        *CALENDAR,
-        F.col("first_time").alias("exit_time"),
-        F.col("first_stop").alias("exit_stop"),
-        F.col("total_distance").alias("distance"),
-        "target_stop",
-        "label",
-    )
+    return _view(df, LONG_SOURCE, *CALENDAR)
 
 
 def short_long_union(df: DataFrame) -> DataFrame:
-    """Both views together without repeated rows, in time order, the sort-only columns dropped."""
-    both = short_view(df).unionByName(long_view(df)).dropDuplicates()
-    ordered = both.orderBy("month", "day_of_month", "exit_time", "label", "exit_stop", "target_stop", "distance")
-    return ordered.drop("month", "day_of_month")
+    """Both views together without the repeated rows of a day, in time order, the day itself dropped."""
+    return both_views(df).orderBy("service_date", *UNION_ORDER).drop("service_date")
+
+
+def both_views(df: DataFrame) -> DataFrame:
+    """Both views with their day, each row of a day once."""
+    days = ["service_date", "day_of_week"]
+    return _view(df, {}, *days).unionByName(_view(df, LONG_SOURCE, *days)).dropDuplicates()
 
 
 def add_speeds(df: DataFrame) -> DataFrame:

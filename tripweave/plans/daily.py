@@ -3,18 +3,25 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from tripweave.operators.cleaning import busy_vehicle_days, clean_pings, dedup_pings
+from tripweave.operators.cleaning import clean_pings, dedup_pings, ping_rejects, type_pings
 from tripweave.operators.features import linked_features
 from tripweave.operators.linking import link_routes
 from tripweave.operators.modal import keep_modal, round_distances, trip_modes
-from tripweave.operators.segments import classify_pairs, ping_pairs, segments_of, stop_crossings
+from tripweave.operators.segments import (
+    classify_pairs,
+    ping_pairs,
+    segment_rejects,
+    segments_of,
+    stop_crossings,
+)
 from tripweave.session import stage
 
 
 def deduped(pings: DataFrame) -> DataFrame:
-    """Clean pings, each vehicle-day in one partition. Pass stored pings: their days are counted first."""
-    return dedup_pings(clean_pings(pings), busy_vehicle_days(pings))
+    """Clean pings, each vehicle-day in one partition."""
+    return dedup_pings(clean_pings(pings))
 
 
 def crossings(pings: DataFrame) -> DataFrame:
@@ -38,3 +45,12 @@ def modal_segments(pings: DataFrame) -> DataFrame:
 def linked(pings: DataFrame) -> DataFrame:
     """The whole daily build: one plan over all days, ready for ``write_linked``."""
     return linked_features(link_routes(modal_segments(pings)))
+
+
+def rejects(raw: DataFrame) -> DataFrame:
+    """What the daily build can't use of all-text pings: the step, the reason, and the record as JSON."""
+    found = []
+    for step, rows in (("ping", ping_rejects(raw)), ("segment", segment_rejects(crossings(type_pings(raw))))):
+        record = F.to_json(F.struct(*[c for c in rows.columns if c != "reason"]))
+        found.append(rows.select(F.lit(step).alias("step"), "reason", record.alias("record")))
+    return found[0].unionByName(found[1])

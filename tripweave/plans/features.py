@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from tripweave.operators.encoding import encode_ids, stop_dictionary, vehicle_dictionary
+from tripweave.operators.encoding import STOP_COLUMNS, encode_ids, stop_dictionary, vehicle_dictionary
 from tripweave.operators.scaling import DEFAULT_DISTANCE_BOUNDS, Bounds, fit_bounds, minmax_scale, unscale
+from tripweave.operators.splits import Ordered, in_order
 from tripweave.operators.trip_start import trip_starts
 from tripweave.operators.views import add_speeds, commute_by_arrival, drop_slow
 from tripweave.session import stage
@@ -18,6 +20,14 @@ def encoded(linked: DataFrame) -> DataFrame:
     return encode_ids(linked, stops, vehicles)
 
 
+def rejects(linked: DataFrame) -> DataFrame:
+    """Linked segments that can't be placed or encoded, with the first column that is missing."""
+    reason = F.lit(None).cast("string")
+    for c in reversed(["vehicle_id", "service_date", *STOP_COLUMNS]):
+        reason = F.when(F.col(c).isNull(), c).otherwise(reason)
+    return linked.withColumn("reason", reason).filter(F.col("reason").isNotNull())
+
+
 def scaled(linked: DataFrame) -> tuple[DataFrame, Bounds]:
     """Encoded and scaled segments, and the bounds that undo the scaling."""
     bounds = fit_bounds(linked)
@@ -39,7 +49,7 @@ def model_input(started_rows: DataFrame, bounds: Bounds = DEFAULT_DISTANCE_BOUND
     return model_rows(commute_by_arrival(started_rows), bounds)
 
 
-def model_table(linked: DataFrame) -> DataFrame:
-    """The stored model input; splits and fits read it several times. Pass a stored table, as above."""
+def model_table(linked: DataFrame) -> Ordered:
+    """The model input, stored in time order; splits and fits read it several times. Pass a stored table, as above."""
     rows, bounds = started(linked)
-    return stage(model_input(rows, bounds), "model-input")
+    return in_order(model_input(rows, bounds))

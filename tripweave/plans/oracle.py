@@ -6,6 +6,8 @@ where the operators split them, and a recursive query for the routes.
 
 from __future__ import annotations
 
+import re
+
 # Each step may use the steps it names. Steps are text: nothing here is executed by Spark.
 STEPS: dict[str, tuple[list[str], str]] = {}
 
@@ -147,7 +149,7 @@ _step("claim(vehicle_id, service_date, stop, first_stop, base, hop) USING KEY (v
    ROW_NUMBER() OVER (PARTITION BY e.vehicle_id, e.service_date, e.target_stop
     ORDER BY c.first_stop, c.base + e.distance) AS nth
   FROM claim c JOIN modal e ON e.vehicle_id = c.vehicle_id AND e.service_date = c.service_date AND e.exit_stop = c.stop
-  WHERE c.hop < 99 AND NOT EXISTS (SELECT 1 FROM recurring.claim r WHERE r.vehicle_id = e.vehicle_id
+  WHERE NOT EXISTS (SELECT 1 FROM recurring.claim r WHERE r.vehicle_id = e.vehicle_id
    AND r.service_date = e.service_date AND r.stop = e.target_stop))
  WHERE nth = 1""")
 
@@ -254,6 +256,70 @@ _step("baseline", ["ranked"], """
  WHERE nth > CAST(floor(n * 0.9::DOUBLE) AS BIGINT)""")
 
 
+_step("chain", [], """
+ SELECT * FROM (
+  SELECT CAST(o_orderkey // 2000 AS BIGINT) AS vehicle_id, CAST(o_orderkey AS BIGINT) AS exit_stop,
+   lead(CAST(o_orderkey AS BIGINT)) OVER (PARTITION BY o_orderkey // 2000 ORDER BY o_orderkey) AS target_stop,
+   CAST(o_orderkey % 7 * 10 + 100 AS DOUBLE) AS distance
+  FROM (SELECT DISTINCT o_orderkey FROM orders))
+ WHERE target_stop IS NOT NULL""")
+
+
+def _some(step: str) -> str:
+    """A dictionary of the ids that vehicles other than every fourth use."""
+    return re.sub(r"\bFROM linked\b", "FROM (SELECT * FROM linked WHERE vehicle_id % 4 <> 0)", STEPS[step][1])
+
+
+for _name in ("stops", "vehicles"):
+    _step(f"some_{_name}", ["linked"], _some(_name))
+
+# The steps up to the crossings once more, over pings with broken values, which the cleaning drops; stop ids stay text.
+_step("pings_broken", ["pings"], """
+ SELECT * REPLACE (CASE WHEN distance_along_trip % 109 = 4 THEN replace(next_scheduled_stop_id, 'MTA', 'BUS')
+   ELSE next_scheduled_stop_id END AS next_scheduled_stop_id)
+ FROM pings WHERE NOT (distance_along_trip % 101 = 1 OR distance_along_trip % 103 = 2
+  OR (distance_along_trip % 107 = 3 AND next_scheduled_stop_distance IS NOT NULL))""")
+
+_CHAIN = ["pings", "clean", "dedup", "pairs", "classified", "crossings"]
+for _before, _name in zip(_CHAIN, _CHAIN[1:], strict=False):
+    _step(f"{_name}_broken", [f"{_before}_broken"], re.sub(rf"\bFROM {_before}\b", f"FROM {_before}_broken", STEPS[_name][1]))
+
+_step("segments_broken", ["crossings_broken"], """
+ SELECT vehicle_id, service_date, exit_id AS exit_stop_id, stop_id AS target_stop_id, distance, exit_us, arrive_us,
+  CASE WHEN NOT regexp_matches(exit_id, 'MTA_\\d+$') THEN 'exit_stop_id'
+   WHEN NOT regexp_matches(stop_id, 'MTA_\\d+$') THEN 'target_stop_id' END AS reason
+"""+STEPS["segments"][1][STEPS["segments"][1].index(" FROM (\n  SELECT *, max(CASE"):].replace("FROM crossings", "FROM crossings_broken"))
+
+_FIVE = ["day_of_week", "exit_time", "distance", "exit_stop", "target_stop"]
+
+
+def _solve(n: int) -> list[tuple[str, str]]:
+    """Gauss-Jordan elimination of an n x (n + 1) system in the columns a<row>_<column> of one row, step by step."""
+    steps, source = [], "moments"
+    for p in range(n):
+        new = []
+        for i in range(n):
+            for j in range(n + 1):
+                pivot = f"a{p}_{j} / a{p}_{p}"
+                new.append(f"{pivot} AS a{i}_{j}" if i == p else f"a{i}_{j} - a{i}_{p} * {pivot} AS a{i}_{j}")
+        steps.append((f"solved{p}", f"SELECT mean_y, {', '.join(f'mean_{i}' for i in range(n))}, {', '.join(new)} FROM {source}"))
+        source = f"solved{p}"
+    return steps
+
+
+# Least squares of the label on five features: the normal equations of the centred columns, solved.
+_TRAIN = "(SELECT * FROM ranked WHERE nth <= CAST(floor(n * 0.9::DOUBLE) AS BIGINT))"
+_step("moments", ["ranked"], "SELECT avg(label) AS mean_y, " + ", ".join(
+    [f"avg({c}) AS mean_{i}" for i, c in enumerate(_FIVE)]
+    + [f"covar_pop({a}, {b}) AS a{i}_{j}" for i, a in enumerate(_FIVE) for j, b in enumerate([*_FIVE, "label"])]
+) + f" FROM {_TRAIN}")
+for _name, _sql in _solve(len(_FIVE)):
+    _step(_name, ["moments" if _name == "solved0" else f"solved{int(_name[6:]) - 1}"], _sql)
+_step("linear", ["ranked", f"solved{len(_FIVE) - 1}"], f"""
+ SELECT ranked.*, mean_y + {" + ".join(f"a{i}_{len(_FIVE)} * ({c} - mean_{i})" for i, c in enumerate(_FIVE))} AS prediction
+ FROM ranked, solved{len(_FIVE) - 1} WHERE nth > CAST(floor(n * 0.9::DOUBLE) AS BIGINT)""")
+
+
 def _order_of(step: str, seen: list[str]) -> list[str]:
     for need in STEPS[step][0]:
         _order_of(need, seen)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,9 +18,9 @@ from tripweave.operators import splits, trip_start, views
 from tripweave.plans import daily, training
 from tripweave.plans import features as build
 from tripweave.plans.oracle import CLAIM, sql
+from tripweave.plans.sample_pings import sample_pings
 from tripweave.session import scratch_path, stage
 from tripweave.sources import datasets, pings_tsv, profile
-from tripweave.sources.sample_pings import sample_pings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,7 +57,25 @@ TEXT_DAY = f"SELECT * REPLACE ({DAY}) FROM"
 
 
 def _pings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage(sample_pings(spark, sf_dir), "pings")
+    return sample_pings(spark, sf_dir)
+
+
+def _broken_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sample pings as text, with some values that do not parse."""
+    pings = sample_pings(spark, sf_dir)
+    at = F.col("distance_along_trip")
+    broken = {
+        "vehicle_id": F.when(at % 101 == 1, F.concat(F.lit("V"), F.col("vehicle_id").cast("string"))),
+        "time_received": F.when(at % 103 == 2, "noon"),
+        "next_scheduled_stop_distance": F.when(at % 107 == 3, "near"),
+        "next_scheduled_stop_id": F.when(at % 109 == 4, F.replace("next_scheduled_stop_id", F.lit("MTA"), F.lit("BUS"))),
+    }
+    text = {c: F.col(c).cast("string") for c in pings.columns}
+    missing = F.col("next_scheduled_stop_distance").isNull()
+    for c, value in broken.items():
+        known = F.coalesce(value, text[c])
+        text[c] = F.when(~missing, known) if c == "next_scheduled_stop_distance" else known
+    return pings.select(*[v.alias(c) for c, v in text.items()])
 
 
 def _segments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,10 +98,14 @@ def _started(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build.started(_linked(spark, sf_dir))[0]
 
 
-def _model_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _ordered(spark: SparkSession, sf_dir: str) -> splits.Ordered:
     return build.model_table(_linked(spark, sf_dir))
 
 
+def _model_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ordered(spark, sf_dir).table
+
+
 # Sources and sinks.
 
 PING_TEXT = "SELECT * REPLACE (CAST(time_received AS VARCHAR) AS time_received) FROM pings"
@@ -139,7 +161,9 @@ def multi_day(spark, sf_dir):
 @query(f"SELECT * REPLACE ({DAY}) FROM modal", "modal")
 def parquet_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "segments")
-    datasets.write_dataset(_modal(spark, sf_dir), path)
+    rows = _modal(spark, sf_dir)
+    datasets.write_dataset(rows.filter("distance > 300"), path)
+    datasets.write_dataset(rows, path)  # replaces what was there
     return datasets.read_dataset(spark, path)
 
 
@@ -150,18 +174,25 @@ def parquet_by_day(spark, sf_dir):
     return datasets.read_dataset(spark, path)
 
 
-@query(PING_TEXT, "pings")
+@query(
+    f"SELECT {DAY}, count(*) AS pings, true AS fewer_files FROM "
+    "(SELECT CAST(time_received AS DATE) AS service_date FROM pings) GROUP BY 1",
+    "pings",
+)
 def compact(spark, sf_dir):
     many, few = scratch_path(spark, "pings-many"), scratch_path(spark, "pings-few")
-    sample_pings(spark, sf_dir).repartition(32).write.parquet(many)
-    datasets.compact(spark, many, few)
-    return datasets.read_dataset(spark, few)
+    dated = sample_pings(spark, sf_dir).withColumn("service_date", F.to_date("time_received"))
+    dated.repartition(4, "vehicle_id").write.partitionBy("service_date").parquet(many)
+    files = datasets.compact(spark, many, few, "service_date").first()
+    counted = datasets.read_dataset(spark, few).groupBy("service_date").agg(F.count("*").alias("pings"))
+    return counted.withColumn("fewer_files", F.lit(files["after"] < files["before"]))
 
 
 def _profile_sql(columns: list[str]) -> str:
     parts = ["count(*) AS row_count"]
     for c in columns:
         value = f"CAST({c} AS VARCHAR)" if c == "service_date" else c
+        parts += [f"'{features.LINKED_SCHEMA[c].dataType.simpleString()}' AS {c}_type"]
         parts += [f"count(*) FILTER ({c} IS NULL) AS {c}_nulls", f"min({value}) AS {c}_min", f"max({value}) AS {c}_max"]
     return f"SELECT {', '.join(parts)} FROM linked"
 
@@ -212,6 +243,39 @@ def ping_clean(spark, sf_dir):
     return cleaning.clean_pings(sample_pings(spark, sf_dir))
 
 
+BROKEN = (
+    "SELECT CASE WHEN distance_along_trip % 103 = 2 THEN 'noon' ELSE CAST(time_received AS VARCHAR) END AS time_received, "
+    "CASE WHEN distance_along_trip % 101 = 1 THEN 'V' ELSE '' END || CAST(vehicle_id AS VARCHAR) AS vehicle_id, "
+    "CAST(distance_along_trip AS VARCHAR) AS distance_along_trip, inferred_phase, "
+    "CASE WHEN distance_along_trip % 107 = 3 THEN 'near' ELSE CAST(next_scheduled_stop_distance AS VARCHAR) END "
+    "AS next_scheduled_stop_distance, CASE WHEN distance_along_trip % 109 = 4 "
+    "THEN replace(next_scheduled_stop_id, 'MTA', 'BUS') ELSE next_scheduled_stop_id END AS next_scheduled_stop_id, "
+    "CASE WHEN distance_along_trip % 101 = 1 THEN 'vehicle_id' WHEN distance_along_trip % 103 = 2 THEN 'time_received' "
+    "WHEN distance_along_trip % 107 = 3 THEN 'next_scheduled_stop_distance' END AS reason "
+    "FROM pings WHERE inferred_phase = 'IN_PROGRESS' AND next_scheduled_stop_distance IS NOT NULL"
+)
+
+
+@query(f"SELECT * FROM ({BROKEN}) WHERE reason IS NOT NULL", "pings")
+def ping_rejects(spark, sf_dir):
+    return cleaning.ping_rejects(_broken_text(spark, sf_dir))
+
+
+@query(
+    f"SELECT step, reason, count(*) AS records FROM (SELECT 'ping' AS step, reason FROM ({BROKEN}) WHERE reason IS NOT NULL "
+    "UNION ALL SELECT 'segment', reason FROM segments_broken WHERE reason IS NOT NULL) GROUP BY ALL",
+    "pings", "segments_broken",
+)
+def daily_rejects(spark, sf_dir):
+    return daily.rejects(_broken_text(spark, sf_dir)).groupBy("step", "reason").agg(F.count("*").alias("records"))
+
+
+@query(f"{TEXT_DAY} segments_broken WHERE reason IS NOT NULL", "segments_broken")
+def segment_rejects(spark, sf_dir):
+    pings = cleaning.type_pings(_broken_text(spark, sf_dir))
+    return seg.segment_rejects(daily.crossings(pings))
+
+
 @query(f"{TEXT_DAY} dedup", "dedup")
 def ping_dedup(spark, sf_dir):
     return daily.deduped(_pings(spark, sf_dir))
@@ -288,6 +352,26 @@ def route_link(spark, sf_dir):
     return linking.link_routes(daily.modal_segments(_pings(spark, sf_dir)))
 
 
+@query(
+    "SELECT vehicle_id, exit_stop, target_stop, distance, first_stop, total_distance FROM ("
+    "SELECT *, min(exit_stop) OVER (PARTITION BY vehicle_id) AS first_stop, "
+    "sum(distance) OVER (PARTITION BY vehicle_id ORDER BY exit_stop) AS total_distance FROM chain)",
+    "chain",
+)
+def route_link_long(spark, sf_dir):
+    """Chains of orders: every order leads to the next one of its block, far more than a hundred hops."""
+    keys = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey").distinct()
+    block = F.floor(F.col("o_orderkey") / 2000)
+    chain = keys.select(
+        block.alias("vehicle_id"),
+        F.lit("2014-08-01").cast("date").alias("service_date"),
+        F.col("o_orderkey").cast("bigint").alias("exit_stop"),
+        F.lead("o_orderkey").over(Window.partitionBy(block).orderBy("o_orderkey")).cast("bigint").alias("target_stop"),
+        (F.col("o_orderkey") % 7 * 10 + 100).cast("double").alias("distance"),
+    )
+    return linking.link_routes(chain.dropna()).drop("service_date")
+
+
 # Features.
 
 
@@ -348,6 +432,22 @@ def encode_ids(spark, sf_dir):
     return build.encoded(_linked(spark, sf_dir))
 
 
+@query(
+    "SELECT l.* REPLACE (CAST(l.service_date AS VARCHAR) AS service_date, v.code AS vehicle_id, f.code AS first_stop, "
+    "e.code AS exit_stop, t.code AS target_stop) FROM linked l "
+    "LEFT JOIN some_vehicles v ON v.id = l.vehicle_id LEFT JOIN some_stops f ON f.id = l.first_stop "
+    "LEFT JOIN some_stops e ON e.id = l.exit_stop LEFT JOIN some_stops t ON t.id = l.target_stop "
+    "WHERE v.code IS NULL OR f.code IS NULL OR e.code IS NULL OR t.code IS NULL",
+    "some_vehicles", "some_stops", "linked",
+)
+def encode_rejects(spark, sf_dir):
+    """Against dictionaries that lack every fourth vehicle."""
+    linked = _linked(spark, sf_dir)
+    known = linked.filter("vehicle_id % 4 <> 0")
+    stops, vehicles = encoding.stop_dictionary(known), encoding.vehicle_dictionary(known)
+    return encoding.encode_rejects(encoding.encode_ids(linked, stops, vehicles))
+
+
 @query("SELECT * FROM bounds", "bounds")
 def scale_bounds(spark, sf_dir):
     return scaling.scale_bounds(daily.linked(_pings(spark, sf_dir)))
@@ -407,19 +507,24 @@ def long_view(spark, sf_dir):
 
 
 @query(
-    "SELECT * EXCLUDE (month, day_of_month) FROM ("
-    "SELECT month, day_of_month, day_of_week, exit_time, exit_stop, distance, target_stop, label FROM commute_both "
-    "UNION SELECT month, day_of_month, day_of_week, first_time, first_stop, total_distance, target_stop, label "
-    "FROM commute_both)",
+    "SELECT * EXCLUDE (service_date), ROW_NUMBER() OVER (ORDER BY service_date, exit_time, label, exit_stop, target_stop, "
+    "distance, day_of_week) AS position FROM ("
+    "SELECT service_date, day_of_week, exit_time, exit_stop, distance, target_stop, label FROM commute_both "
+    "UNION SELECT service_date, day_of_week, first_time, first_stop, total_distance, target_stop, label FROM commute_both)",
     "commute_both",
 )
 def short_long_union(spark, sf_dir):
-    return views.short_long_union(stage(views.commute_by_both(_started(spark, sf_dir)), "commute"))
+    both = views.both_views(stage(views.commute_by_both(_started(spark, sf_dir)), "commute"))
+    return splits.in_order(both, ["service_date", *views.UNION_ORDER]).numbered("position").drop("service_date")
 
 
-@query(f"{TEXT_DAY} started", "started")
+@query(
+    f"SELECT * REPLACE ({DAY}), ROW_NUMBER() OVER (ORDER BY {', '.join(views.CHRONOLOGICAL)}, month, day_of_month, "
+    "day_of_week) AS position FROM started",
+    "started",
+)
 def global_sort(spark, sf_dir):
-    return views.chronological(_started(spark, sf_dir))
+    return splits.in_order(_started(spark, sf_dir)).numbered("position")
 
 
 @query(f"{TEXT_DAY} unscaled", "unscaled")
@@ -471,12 +576,14 @@ def _split_sql(share: float) -> str:
 
 @query(_split_sql(0.9), "ranked")
 def ordered_split_90_10(spark, sf_dir):
-    return splits.label_parts(splits.holdout_split(_model_table(spark, sf_dir)), ["train", "test"])
+    rows = _ordered(spark, sf_dir)
+    return rows.label(splits.holdout_cuts(rows.count, 0.9), ["train", "test"])
 
 
 @query(_split_sql(0.8), "ranked")
 def ordered_split_80_20(spark, sf_dir):
-    return splits.label_parts(splits.holdout_split(_model_table(spark, sf_dir), 0.8), ["train", "test"])
+    rows = _ordered(spark, sf_dir)
+    return rows.label(splits.holdout_cuts(rows.count, 0.8), ["train", "test"])
 
 
 def _tail_sql(share: float) -> str:
@@ -488,12 +595,14 @@ def _tail_sql(share: float) -> str:
 
 @query(_tail_sql(0.1), "ranked")
 def ordered_tail_10(spark, sf_dir):
-    return splits.label_parts(splits.tail_split(_model_table(spark, sf_dir)), ["train", "test"])
+    rows = _ordered(spark, sf_dir)
+    return rows.label(splits.tail_cuts(rows.count, 0.1), ["train", "test"])
 
 
 @query(_tail_sql(0.2), "ranked")
 def ordered_tail_20(spark, sf_dir):
-    return splits.label_parts(splits.tail_split(_model_table(spark, sf_dir), 0.2), ["train", "test"])
+    rows = _ordered(spark, sf_dir)
+    return rows.label(splits.tail_cuts(rows.count, 0.2), ["train", "test"])
 
 
 HELD = "CAST(ceil(n * 0.2::DOUBLE) AS BIGINT)"
@@ -505,8 +614,8 @@ HELD = "CAST(ceil(n * 0.2::DOUBLE) AS BIGINT)"
     "ranked",
 )
 def ordered_split_80_10_10(spark, sf_dir):
-    parts = splits.three_way_split(_model_table(spark, sf_dir))
-    return splits.label_parts(parts, ["train", "validation", "final"])
+    rows = _ordered(spark, sf_dir)
+    return rows.label(splits.three_way_cuts(rows.count), ["train", "validation", "final"])
 
 
 SHORT_ROW = ", ".join([*views.SHORT_FEATURES, "label"])
@@ -518,7 +627,7 @@ SHORT_ROW = ", ".join([*views.SHORT_FEATURES, "label"])
     "ranked",
 )
 def except_split(spark, sf_dir):
-    return splits.except_split(_model_table(spark, sf_dir), [*views.SHORT_FEATURES, "label"])[1]
+    return splits.except_split(_ordered(spark, sf_dir), [*views.SHORT_FEATURES, "label"])[1]
 
 
 @query(f"SELECT * EXCLUDE (nth, n) REPLACE ({DAY}) FROM ranked WHERE nth <= 1000", "ranked")
@@ -568,7 +677,7 @@ def zscore_inverse(spark, sf_dir):
 
 
 def _baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, test = splits.holdout_split(_model_table(spark, sf_dir))
+    train, test = splits.holdout_split(_ordered(spark, sf_dir))
     metres, seconds = train.agg(F.sum("distance"), F.sum(F.col("label") - F.col("exit_time"))).first()
     return test.select("label", (F.col("exit_time") + F.col("distance") / F.lit(metres / seconds)).alias("prediction"))
 
@@ -621,44 +730,117 @@ def baseline_eval(spark, sf_dir):
     return _rounded(metrics.evaluate(_baseline(spark, sf_dir)), ["value"])
 
 
-# Fitted models: rows only.
+# Fitted models. Least squares has one answer, which SQL finds too. Boosted trees are checked for what must hold of
+# any: the rows, the errors that belong to the predictions, the flags that belong to the numbers, a stored model that
+# predicts the same, and errors below those of the mean.
 
 
-def _predictions(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
-    return training.fit_and_score(_model_table(spark, sf_dir), kind, scratch_path(spark, f"{kind}-model"))
+def _predictions(rows: splits.Ordered, kind: str) -> DataFrame:
+    return training.fit_and_score(rows, kind, scratch_path(rows.rows.sparkSession, f"{kind}-model"))
 
 
-@query()
+@query(
+    f"SELECT * EXCLUDE (nth, n, prediction) REPLACE ({DAY}), round(prediction, 3) AS prediction, "
+    "round(abs(label - prediction), 3) AS abs_diff FROM linear",
+    "linear",
+)
 def linear_fit_score(spark, sf_dir):
-    return _predictions(spark, sf_dir, "linear")
+    scored = _predictions(_ordered(spark, sf_dir), "linear")
+    return scored.withColumns({c: F.round(c, 3) for c in ("prediction", "abs_diff")})
 
 
-@query()
-def gbt_fit_score(spark, sf_dir):
-    return _predictions(spark, sf_dir, "gbt")
+def _rounded_metrics(source: str) -> str:
+    measures = {f"within_{s}": _within_sql(s) for s in metrics.THRESHOLDS} | {
+        "rmse": RMSE_SQL, "r2": R2_SQL, "rows": "CAST(count(*) AS DOUBLE)"}
+    return " UNION ALL ".join(f"SELECT '{m}' AS metric, round({v}, 4) AS value FROM {source}" for m, v in measures.items())
 
 
-@query()
+@query(_rounded_metrics("linear"), "linear")
 def model_eval(spark, sf_dir):
-    return metrics.evaluate(_predictions(spark, sf_dir, "linear"))
+    found = metrics.evaluate(_predictions(_ordered(spark, sf_dir), "linear"))
+    return found.withColumn("value", F.round("value", 4))
+
+
+def _beats_mean(scored: DataFrame) -> bool:
+    """Whether predictions err less than the mean of the labels would."""
+    return scored.agg(metrics.r2()).first()[0] > 0
+
+
+@query(
+    f"SELECT * EXCLUDE (nth, n) REPLACE ({DAY}), true AS error_holds, true AS stored_holds, true AS beats_mean FROM ranked "
+    "WHERE nth > CAST(floor(n * 0.9::DOUBLE) AS BIGINT)",
+    "ranked",
+)
+def gbt_fit_score(spark, sf_dir):
+    rows = _ordered(spark, sf_dir)
+    path = scratch_path(spark, "gbt-model")
+    scored = stage(training.fit_and_score(rows, "gbt", path), "scored")
+    again = models.score(models.load_model(path), scored.drop("abs_diff").withColumnRenamed("prediction", "first"))
+    return again.withColumns(
+        {
+            "error_holds": F.abs(F.col("label") - F.col("prediction")) == F.col("abs_diff"),
+            "stored_holds": F.col("prediction") == F.col("first"),
+            "beats_mean": F.lit(_beats_mean(scored)),
+        }
+    ).drop("first", "prediction", "abs_diff")
 
 
-@query()
+ITERATIONS = 20
+
+
+@query(
+    f"SELECT CAST(i AS INTEGER) AS iteration, true AS flag_holds FROM range(1, {ITERATIONS + 1}) AS r(i)",
+)
 def best_iteration(spark, sf_dir):
-    return training.best_iteration(_model_table(spark, sf_dir))[0]
+    curve = training.best_iteration(_ordered(spark, sf_dir))[0]
+    least = curve.agg(F.min("validation_mse")).first()[0]
+    first = curve.filter(F.col("validation_mse") == least).agg(F.min("iteration")).first()[0]
+    return curve.select("iteration", (F.col("is_best") == (F.col("iteration") == first)).alias("flag_holds"))
 
 
-@query()
+@query(
+    "SELECT split, CAST(count(*) AS DOUBLE) AS rows, true AS kept_holds FROM "
+    f"(SELECT CASE WHEN nth <= n - CAST(ceil({HELD} * 0.5::DOUBLE) AS BIGINT) THEN 'validation' ELSE 'final' END AS split "
+    f"FROM ranked WHERE nth > n - {HELD}) GROUP BY 1",
+    "ranked",
+)
 def best_iteration_eval(spark, sf_dir):
-    return training.best_iteration(_model_table(spark, sf_dir))[1]
+    """Also that the kept and stored model reaches the least loss of the curve on the validation part."""
+    path = scratch_path(spark, "best-model")
+    rows = _ordered(spark, sf_dir)
+    curve, report, best = training.best_iteration(rows, path=path)
+    validation = splits.three_way_split(rows)[1]
+    loss = models.score(models.load_model(path), validation).agg(F.avg(metrics.squared_error())).first()[0]
+    holds = abs(loss / min(best.losses) - 1) < 1e-9
+    counted = report.filter("metric = 'rows'")
+    return counted.select("split", F.col("value").alias("rows"), F.lit(holds).alias("kept_holds"))
 
 
-@query()
+@query(
+    "SELECT CAST(i AS INTEGER) AS trial, CASE WHEN i <= 40 THEN 'random' ELSE 'guided' END AS phase, true AS in_bounds, "
+    "true AS flag_holds, (SELECT count(*) FROM model_input WHERE total_speed IS NULL) AS rows_dropped "
+    "FROM range(1, 91) AS r(i)",
+    "model_input",
+)
 def param_search(spark, sf_dir):
-    """The whole table with a small budget; the function's defaults are 40 random and 50 guided trials."""
-    return training.parameter_search(_model_table(spark, sf_dir), random_trials=3, guided_trials=3)
+    found = training.parameter_search(_ordered(spark, sf_dir))
+    best = found.agg(F.max_by("trial", F.struct("target", -F.col("trial")))).first()[0]
+    inside = F.lit(True)
+    for name, (low, high) in models.SEARCH_BOUNDS.items():
+        inside = inside & F.col(name).between(low, high)
+    return found.select(
+        "trial",
+        "phase",
+        inside.alias("in_bounds"),
+        (F.col("is_best") == (F.col("trial") == best)).alias("flag_holds"),
+        F.col("rows_dropped").cast("bigint").alias("rows_dropped"),
+    )
 
 
-@query()
+@query(
+    f"SELECT {', '.join(views.LONG_FEATURES)}, true AS predicted FROM ranked WHERE nth <= n - {HELD}",
+    "ranked",
+)
 def scored_features(spark, sf_dir):
-    return training.scored_training_rows(_model_table(spark, sf_dir))
+    scored = training.scored_training_rows(_ordered(spark, sf_dir))
+    return scored.withColumn("predicted", F.col("predicted_label").between(0, 86400)).drop("predicted_label")

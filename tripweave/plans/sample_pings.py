@@ -1,4 +1,4 @@
-"""Pings derived from an order-line table, for trying the engine where no ping files are at hand.
+"""Pings derived from an order-line table: a fixture for the registered queries and the tests.
 
 Every supplier becomes a vehicle and its lines, in shipping order, become pings: 200 a day in four
 trips. Whole-number arithmetic on the line's keys places phase changes, gaps, standstills, speeding,
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripweave.operators.ordinal import group_ordinal
+from tripweave.operators.ordinal import sliced_ordinal
 
 START = "2014-08-01 06:00:00"
 LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"]
@@ -23,7 +23,7 @@ def numbered_lines(lineitem: DataFrame) -> DataFrame:
         F.col("l_suppkey").cast("bigint").alias("vehicle_id"), "l_shipdate", *LINE_ORDER
     )
     lines = lines.filter(F.col("vehicle_id").isNotNull() & F.col("l_shipdate").isNotNull())
-    numbered = group_ordinal(lines, ["vehicle_id"], "l_shipdate", LINE_ORDER, "nth")
+    numbered = sliced_ordinal(lines, ["vehicle_id"], "l_shipdate", LINE_ORDER, "nth")
     return numbered.select(
         "vehicle_id",
         (F.col("nth") - 1).alias("n"),

@@ -3,42 +3,50 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
-_local_dirs: dict[str, str] = {}
+SHARED = "spark.checkpoint.dir"
 
 
-def local_session(app_name: str = "tripweave", cores: str = "8") -> SparkSession:
-    """A single-JVM session for tests and the bench. Clusters bring their own session."""
-    return (
+def local_session(app_name: str = "tripweave", cores: str = "8", shared: str = "/tmp/tripweave-shared") -> SparkSession:
+    """A single-JVM session for tests and the bench. Clusters bring their own session.
+
+    ``shared`` is taken where the configuration names no shared folder.
+    """
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
     )
+    if not SparkConf().contains(SHARED):
+        builder = builder.config(SHARED, shared)
+    return builder.getOrCreate()
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it in ``spark.checkpoint.dir``."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get(SHARED, None)
     if configured:
         return configured.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    app = spark.conf.get("spark.app.id")
-    if app not in _local_dirs:
-        _local_dirs[app] = tempfile.mkdtemp(prefix="tripweave-")
-    return _local_dirs[app]
+        raise RuntimeError(f"set {SHARED} to a folder shared by all executors")
+    spark.conf.set(SHARED, "/tmp/tripweave-shared")  # one machine: any folder is shared
+    return spark.conf.get(SHARED)
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """This application's part of the shared folder."""
+    return f"{shared_dir(spark)}/{spark.conf.get('spark.app.id')}"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{spark.conf.get('spark.app.id')}/{label}-{uuid.uuid4().hex}"
+    return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -50,3 +58,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Delete all tables this application has staged. Results that still read them are lost: jobs call this
+    when they have written theirs."""
+    delete(spark, scratch_dir(spark))

@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripweave.operators.features import LINKED_SCHEMA, conform
 
-TARGET_FILE_BYTES = 512 * 1024 * 1024
-
 
 def read_dataset(spark: SparkSession, path: str) -> DataFrame:
     """A Parquet folder or glob."""
@@ -49,14 +45,17 @@ def dataset_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def compact(spark: SparkSession, source: str, target: str, files: int | None = None) -> int:
-    """Rewrite many small files as few; returns how many.
+def compact(spark: SparkSession, source: str, target: str, by: str | None = None) -> DataFrame:
+    """Rewrite many small files as few; returns the number of files before and after.
 
-    The number follows from the bytes stored, so each write task handles about one target file, and
-    no shuffle is needed.
+    The rebalance cuts and merges by bytes, up to the session's advisory partition size, which is best set
+    to the wanted file size. A folder partitioned by ``by`` stays so: days are gathered one by one, and
+    readers go on skipping the others.
     """
-    if files is None:
-        stored = dataset_files(spark, source).agg(F.sum("length")).first()[0] or 0
-        files = max(1, math.ceil(stored / TARGET_FILE_BYTES))
-    spark.read.parquet(source).coalesce(files).write.mode("overwrite").parquet(target)
-    return files
+    rows = spark.read.parquet(source)
+    if by is None:
+        rows.hint("rebalance").write.mode("overwrite").parquet(target)
+    else:
+        rows.hint("rebalance", by).write.mode("overwrite").partitionBy(by).parquet(target)
+    counts = [dataset_files(spark, path).agg(F.count("*").alias(name)) for path, name in ((source, "before"), (target, "after"))]
+    return spark.createDataFrame([tuple(c.first()[0] for c in counts)], "before long, after long")

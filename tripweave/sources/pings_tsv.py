@@ -27,6 +27,12 @@ def read_headerless_tsv(spark: SparkSession, paths: str | list[str]) -> DataFram
     return spark.read.csv(paths, sep="\t", header=False).drop(*UNUSED_POSITIONS)
 
 
+def read_headerless(spark: SparkSession, paths: str | list[str], names: list[str]) -> DataFrame:
+    """Headerless files whose columns are named here, in their order, as text columns picked by name."""
+    raw = spark.read.csv(paths, sep="\t", header=False).toDF(*names)
+    return raw.select(*[blank_to_null(F.col(c)).alias(c) for c in PING_COLUMNS])
+
+
 def write_pings_tsv(pings: DataFrame, path: str) -> None:
     """Pings as headered text, one folder per day."""
     (
