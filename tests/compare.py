@@ -51,8 +51,10 @@ def difference(spark_df, relation) -> str | None:
 
 
 def main() -> None:
-    from tripweave.plans.registry import ORACLES, QUERIES
-    from tripweave.session import local_session
+    from __spark_entry__ import oracle_sql, queries
+    from tripweave.session import clear_staged, local_session
+
+    QUERIES, ORACLES = queries(), oracle_sql()
 
     sf_dir, *names = sys.argv[1:]
     spark = local_session("compare")
@@ -69,6 +71,7 @@ def main() -> None:
         else:
             status = f"rows only: {df.count()}"
         print(f"{name:26s} {time.time() - start:6.2f}s  {status[:600]}", flush=True)
+        clear_staged(spark)
     print("differences:", bad)
 
 
