@@ -46,7 +46,7 @@ COVERS = {
 # An anchor has so many words at least, if the window allows it.
 ANCHOR_WORDS = 8
 # Neighbouring rows that are worked on together.
-CHUNK_ROWS = 512
+CHUNK_ROWS = 256
 # Multipliers of two independent rolling hashes, odd 64-bit numbers.
 FIRST, SECOND = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 LAST_ID = 2**63 - 1
@@ -83,19 +83,22 @@ class Chunk:
         self.window = window
         self.rows = table["row"].to_pylist()
         self.ids = table["doc_id"].to_pylist()
-        self.words = [t.split() for t in texts_of(table["text"].combine_chunks())]
-        self.size = np.array([len(w) for w in self.words], dtype=np.int64)
+        self.texts = texts_of(table["text"].combine_chunks())
+        digest, hashes, size = xxhash.xxh3_64_intdigest, [], []
+        for row, text in zip(self.rows, self.texts, strict=True):
+            words = text.split()
+            size.append(len(words))
+            if len(words) >= window and row not in copies:
+                hashes.append(np.fromiter(map(digest, words), dtype=np.uint64, count=len(words)))
+        self.size = np.array(size, dtype=np.int64)
         self.copied = np.array([r in copies for r in self.rows], dtype=bool) & (self.size >= window)
         used = (self.size >= window) & ~self.copied
-        total = int(self.size[used].sum())
-        digest = xxhash.xxh3_64_intdigest
-        own = (w for words, u in zip(self.words, used, strict=True) if u for w in words)
-        self.hashes = np.fromiter(map(digest, own), dtype=np.uint64, count=total)
+        self.hashes = np.concatenate([*hashes, np.zeros(0, dtype=np.uint64)])
         size = self.size[used]
-        self.doc = np.repeat(np.flatnonzero(used), size)
-        self.start = np.repeat(np.cumsum(size) - size, size)
-        self.end = self.start + np.repeat(size, size)
-        self.place = np.arange(total) - self.start
+        self.doc = np.repeat(np.flatnonzero(used).astype(np.int32), size)
+        self.start = np.repeat((np.cumsum(size) - size).astype(np.int32), size)
+        self.end = self.start + np.repeat(size.astype(np.int32), size)
+        self.place = np.arange(len(self.hashes), dtype=np.int32) - self.start
 
     def anchors(self) -> tuple[np.ndarray, np.ndarray]:
         """Positions on the cover with room for an anchor, and the anchors' hashes."""
@@ -111,7 +114,7 @@ class Chunk:
         at = at[(count[inverse] > 1) | np.isin(anchor, elsewhere)] if len(at) else at
         first = np.maximum(at - cover_for(self.window)[0] + 1, self.start[at])
         last = np.minimum(at, self.end[at] - self.window)
-        change = np.zeros(len(self.hashes) + 1, dtype=np.int64)
+        change = np.zeros(len(self.hashes) + 1, dtype=np.int32)
         np.add.at(change, first[first <= last], 1)
         np.add.at(change, last[first <= last] + 1, -1)
         return np.flatnonzero(np.cumsum(change[:-1]) > 0)
@@ -119,7 +122,7 @@ class Chunk:
     def order(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """What decides which of two equal windows is earlier: id, then place."""
         ids = np.array([LAST_ID if i is None else i for i in self.ids], dtype=np.int64)
-        return ids[self.doc[at]], self.place[at]
+        return ids[self.doc[at]], self.place[at].astype(np.int64)
 
     def window_hashes(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         low = rolling(self.hashes, self.window, SECOND)[at] >> np.uint64(32)
@@ -152,7 +155,7 @@ class Chunk:
         mine = np.ascontiguousarray(np.stack([w1, w2], axis=1))
         as_pair = np.dtype([("a", np.int64), ("b", np.int64)])
         again |= np.isin(mine.view(as_pair).ravel(), np.ascontiguousarray(pairs).view(as_pair).ravel())
-        change = np.zeros(len(self.hashes) + 1, dtype=np.int64)
+        change = np.zeros(len(self.hashes) + 1, dtype=np.int32)
         np.add.at(change, at[again], 1)
         np.add.at(change, at[again] + self.window, -1)
         return np.cumsum(change[:-1]) > 0
@@ -246,7 +249,8 @@ def remove_repeats(docs: DataFrame, window: int = 20, text: str = "text") -> Dat
         gone = chunk.repeated(*_marks(right, 2))
         starts = np.searchsorted(chunk.doc, np.arange(len(chunk.rows)))
         kept, removed = [], []
-        for i, words in enumerate(chunk.words):
+        for i, text_ in enumerate(chunk.texts):
+            words = text_.split()
             if chunk.copied[i]:
                 stay = []
             else:
