@@ -37,7 +37,7 @@ WINDOW = 8
 LEAST_WORDS = 20
 MOST_REPEATED = 30
 
-# Documents the forest is grown on, documents per tree, trees, and the seed of their splits.
+# Documents the forest is grown on, on average, documents per tree, trees, and the seed of their splits.
 SAMPLE_ROWS = 16_384
 TREE_ROWS = 256
 TREES = 200
@@ -193,10 +193,12 @@ def base_failed():
 
 
 def grow_forest(rows: DataFrame, key: str) -> Forest | None:
-    """A forest on at most ``SAMPLE_ROWS`` documents that pass the rules, those with the smallest hashes."""
+    """A forest on about ``SAMPLE_ROWS`` of the documents that pass the rules, drawn by their hashes."""
     features = [F.col(f"stats.{f}") for f in FEATURES]
-    order = F.xxhash64(F.lit(SEED), F.col("document")[key], *features)
-    some = rows.filter(~base_failed()).orderBy(order, *features).limit(SAMPLE_ROWS).select(*features).collect()
+    passed = rows.filter(~base_failed())
+    chance = F.lit(SAMPLE_ROWS / max(1, passed.count()))
+    drawn = F.pmod(F.xxhash64(F.lit(SEED), F.col("document")[key], *features), F.lit(2**40)) / F.lit(float(2**40))
+    some = passed.filter(drawn < chance).select(*features).orderBy(*features).collect()
     return Forest(np.array(some, dtype=np.float64), TREES, TREE_ROWS, SEED) if len(some) > 1 else None
 
 
