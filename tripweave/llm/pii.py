@@ -55,7 +55,7 @@ NEARBY = {
     "other": r"order|invoice|version|isbn|token|password|passwd|secret|key|id\b|no\.|#|=|[\"']",
 }
 
-# Characters kept on either side of a span; examples the trees are grown on, trees, and their depth.
+# Characters kept on either side of a span; examples the trees are grown on, on average, trees, and their depth.
 AROUND = 24
 SAMPLE_ROWS = 20_000
 TREES = 10
@@ -230,8 +230,9 @@ def added_spans(spans: DataFrame) -> DataFrame:
     table = stage(examples(spans), "examples")
     nothing = table.filter(F.lit(False)).select("row", F.col("kind").cast("int"), "start", "end")
     labelled = table.filter(~F.col("held_out") & F.col("label").isNotNull())
-    sample = labelled.orderBy(F.xxhash64(F.lit(SEED), "row", "start", "kind"), "row", "start", "kind").limit(SAMPLE_ROWS)
-    sample = stage(sample, "sample")
+    chance = F.lit(SAMPLE_ROWS / max(1, labelled.count()))
+    drawn = F.pmod(F.xxhash64(F.lit(SEED + 1), "row", "start", "kind"), F.lit(2**40)) / F.lit(float(2**40))
+    sample = stage(labelled.filter(drawn < chance), "sample")
     count = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     if min(count.get(0.0, 0), count.get(1.0, 0)) < LEAST_REAL or table.filter(F.col("label").isNull()).isEmpty():
         return nothing
