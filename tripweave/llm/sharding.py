@@ -59,10 +59,10 @@ def sized(docs: DataFrame, text: str) -> DataFrame:
     return rows.withColumn("_row", F.monotonically_increasing_id())
 
 
-def sampled_keys(rows: DataFrame, each: Column) -> list[tuple]:
-    """The sorted keys of rows drawn with a chance of their size divided by ``each``."""
-    chance = F.pmod(F.xxhash64(F.lit("splitter"), *KEY), F.lit(2**40)) / F.lit(float(2**40))
-    return sorted(tuple(r) for r in rows.filter(chance < F.col("size") / each).select(*KEY).collect())
+def sampled_keys(rows: DataFrame, each: float, draw: int) -> list[tuple]:
+    """The sorted keys of rows drawn with a chance of their size divided by ``each``; other draws give other rows."""
+    chance = F.pmod(F.xxhash64(F.lit(draw), *KEY), F.lit(2**40)) / F.lit(float(2**40))
+    return sorted(tuple(r) for r in rows.filter(chance < F.col("size") / F.lit(each)).select(*KEY).collect())
 
 
 def in_ranges(rows: DataFrame, splitters: list[tuple]) -> DataFrame:
@@ -92,20 +92,17 @@ def measured(rows: DataFrame) -> list[tuple[int, int, int]]:
 
 def balanced_ranges(rows: DataFrame, total: int, n_ranges: int) -> tuple[DataFrame, list[tuple[int, int, int]]]:
     """Rows with their range, and the exact size of each range; overfull ranges are sampled again inside."""
-    keys = sampled_keys(rows, F.lit(total / (n_ranges * SAMPLED_PER_RANGE)))
+    keys = sampled_keys(rows, total / (n_ranges * SAMPLED_PER_RANGE), 0)
     splitters = keys[SAMPLED_PER_RANGE::SAMPLED_PER_RANGE]
     limit = OVERFULL * total / n_ranges
-    for _ in range(REFINEMENTS):
+    for draw in range(1, REFINEMENTS + 1):
         ranged = in_ranges(rows, splitters)
         sizes = measured(ranged)
         over = [r for r, size, n in sizes if size > limit and n > 1]
         if not over:
             break
-        inside = sampled_keys(ranged.filter(F.col("_range").isin(over)), F.lit(limit / SAMPLED_PER_RANGE))
-        more = inside[:: SAMPLED_PER_RANGE // 2]
-        if not set(more) - set(splitters):
-            break
-        splitters = sorted({*splitters, *more})
+        inside = sampled_keys(ranged.filter(F.col("_range").isin(over)), limit / SAMPLED_PER_RANGE, draw)
+        splitters = sorted({*splitters, *inside[:: max(1, SAMPLED_PER_RANGE // 2)]})
     return ranged, sizes
 
 
