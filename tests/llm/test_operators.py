@@ -1,0 +1,452 @@
+"""The operators by themselves: their real outputs, their parameters, and what the contracts leave open."""
+
+from __future__ import annotations
+
+import io
+import random
+import zipfile
+import zlib
+from collections import Counter, defaultdict
+
+import brute
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tripweave.llm import (
+    components,
+    line_dedup,
+    mixing,
+    packing,
+    pii,
+    quality,
+    queries,
+    sharding,
+    simhash,
+    substring_dedup,
+    topk,
+    warc_zip,
+)
+
+DOCS = "doc_id long, text string"
+
+
+def prose(rng, n, words=400):
+    return " ".join(f"w{rng.randrange(words)}" for _ in range(n))
+
+
+# Packing.
+
+
+def test_assembled_sequences_hold_the_tokens_in_order(spark):
+    rng = random.Random(1)
+    texts = [prose(rng, rng.randrange(1, 60)) for _ in range(80)] + [prose(rng, 500)]
+    docs = spark.createDataFrame(list(enumerate(texts)), DOCS)
+    packed = packing.pack(packing.tokenize(docs, queries.vocabulary_path(), 256, with_ids=True), 256)
+    ids = dict(enumerate(brute.token_ids(texts, queries.vocabulary_path())))
+    place = defaultdict(list)
+    for r in packed.collect():
+        place[r["sequence_id"]].append((r["offset"], ids[r["doc_id"]][r["start"] : r["start"] + r["length"]]))
+    for r in packing.assemble(packed).collect():
+        want = [i for _, part in sorted(place[r["sequence_id"]]) for i in part]
+        assert np.frombuffer(r["ids"], dtype="<u4").tolist() == want
+        assert r["length"] == len(want) <= 256
+
+
+def test_many_groups_pack_as_well_as_one(spark):
+    rng = random.Random(2)
+    lengths = [rng.randrange(1, 700) for _ in range(3000)]
+    pieces = spark.createDataFrame([(i, n) for i, n in enumerate(lengths)], "doc_id long, length long")
+    packed = packing.pack(pieces, 1000, group_tokens=60_000).collect()
+    filled = defaultdict(list)
+    for r in packed:
+        filled[r["sequence_id"]].append((r["offset"], r["length"]))
+    assert sorted(r["doc_id"] for r in packed) == list(range(3000))
+    for parts in filled.values():
+        parts.sort()
+        assert parts[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(parts, parts[1:], strict=False))
+        assert sum(n for _, n in parts) <= 1000
+    assert len(filled) <= 1.01 * sum(lengths) / 1000 + 2
+
+
+def test_a_piece_goes_where_the_squares_become_smallest():
+    # Bins with gaps 6, 6 and 4 are open: the next piece of 4 fits in all, and closing the last one is best; the piece
+    # of 2 after it leaves one of the two equal gaps rather than two equal ones.
+    where, offset, gap = packing.place(np.array([4, 4, 6, 4, 2]), 10)
+    assert where.tolist() == [0, 0, 1, 1, 0] and offset.tolist() == [0, 4, 0, 6, 8]
+    assert gap.tolist() == [0, 0]
+
+
+def test_a_text_with_a_special_token_is_left_to_the_tokenizer():
+    import pyarrow as pa
+
+    texts = ["a <|endoftext|> b", "a <|ENDOFTEXT|>, B", "it's, don't. ... a§b ½ ²", "ﬁ Å É́\x85x\x1cy z"]
+    encoder = packing.WordEncoder(queries.vocabulary_path())
+    assert [x.tolist() + [1] for x in encoder.encode(pa.array(texts))] == brute.token_ids(texts, queries.vocabulary_path())
+
+
+# Line dedup.
+
+
+def test_runs_are_levelled_and_add_up(spark):
+    rng = random.Random(3)
+    batches = [[(rng.randrange(40), 0) for _ in range(60)] for _ in range(7)]
+    runs = line_dedup.LineRuns(spark, enough=15, fanout=2)
+    for batch in batches:
+        runs.add(spark.createDataFrame(batch, "h1 long, h2 long"))
+        assert all(len(level) < 2 for level in runs.levels)
+    total = Counter(h for batch in batches for h, _ in batch)
+    assert {r["h1"] for r in runs.frequent().collect()} == {h for h, n in total.items() if n >= 15}
+    runs.close()
+    assert runs.runs() == []
+
+
+def test_frequent_keys_are_not_added_again(spark):
+    runs = line_dedup.LineRuns(spark, enough=3, fanout=9)
+    for _ in range(3):
+        runs.add(spark.createDataFrame([(1, 1)] * 3 + [(2, 2)], "h1 long, h2 long"))
+    sizes = [spark.table(run).count() for run in runs.runs()]
+    assert sizes == [2, 1, 1]
+    assert {r["h1"] for r in runs.frequent().collect()} == {1, 2}
+    runs.close()
+
+
+@pytest.mark.parametrize("min_docs, min_chars", [(2, 1), (3, 4)])
+def test_lines_by_threshold(spark, min_docs, min_chars):
+    rng = random.Random(4)
+    texts = ["\n".join(rng.choice(["é", "éé", " Longer ", "longer", "fine line", ""]) for _ in range(4)) for _ in range(12)]
+    got = line_dedup.dedup_lines(spark.createDataFrame(list(enumerate(texts)), DOCS), min_docs, min_chars, batches=3)
+    key = lambda line: brute.lower_ascii(line.strip(brute.BLANK))
+    seen = Counter(k for t in texts for k in {key(x) for x in t.split("\n")} if len(k) >= min_chars)
+    want = ["\n".join(x for x in t.split("\n") if seen[key(x)] < min_docs) for t in texts]
+    assert [r["text"] for r in got.orderBy("doc_id").collect()] == want
+
+
+# WARC packages.
+
+
+@pytest.mark.parametrize("zip64", [False, True])
+def test_packages_are_zip_files_and_read_back(spark, tmp_path, monkeypatch, zip64):
+    monkeypatch.setattr(warc_zip, "PACKAGE_RECORDS", 7)
+    monkeypatch.setattr(warc_zip, "RANGE_BYTES", 500)
+    html = [f"<p>{i % 9} é</p>" * (i % 9) for i in range(40)]
+    pages = spark.createDataFrame([(i, f"http://x/{i}", h) for i, h in enumerate(html)], "page_id long, url string, html string")
+    folder = f"file:{tmp_path}/packages"
+    packages = warc_zip.write_packages(pages.coalesce(1), folder, zip64=zip64)
+    found = packages.collect()
+    assert sum(r["records"] for r in found) == 40 and all(r["records"] <= 7 for r in found)
+    for r in found:
+        with zipfile.ZipFile(f"{tmp_path}/packages/{r['package']}") as z:
+            assert z.testzip() is None
+            assert [i.compress_type for i in z.infolist()] == [zipfile.ZIP_STORED] * 3
+            assert len(z.read(warc_zip.INDEX).splitlines()) == r["records"]
+            assert z.read(warc_zip.RECORDS)[:2] == b"\x1f\x8b"
+    records = warc_zip.read_records(packages, folder).collect()
+    assert {r["page_id"]: r["payload"].decode() for r in records if r["record_type"] == "response"} == {
+        i: h for i, h in enumerate(html) if i >= 31
+    }
+    assert Counter((r["page_id"], r["refers_to"]) for r in records) == Counter((x[0], x[4]) for x in brute.warc(list(enumerate(html))))
+    assert {r["url"] for r in records} == {f"http://x/{i}" for i in range(40)}
+
+
+def test_a_reader_takes_foreign_packages_and_refuses_broken_ones():
+    plain = io.BytesIO()
+    with zipfile.ZipFile(plain, "w", zipfile.ZIP_STORED) as z:
+        z.writestr("a.txt", b"stored")
+        z.writestr("b.txt", b"x" * 999, zipfile.ZIP_DEFLATED)
+        z.comment = b"PK\x05\x06 a comment that looks like an end"
+    raw = plain.getvalue()
+    reader = warc_zip.PackageReader(io.BytesIO(raw), len(raw))
+    assert reader.read("a.txt") == b"stored"
+    with pytest.raises(ValueError, match="can't be read in ranges"):
+        reader.read("b.txt")
+    with pytest.raises(ValueError, match="no end"):
+        warc_zip.PackageReader(io.BytesIO(raw[:60]), 60)
+    damaged = raw.replace(b"stored", b"stared", 1)
+    with pytest.raises(ValueError, match="damaged"):
+        warc_zip.PackageReader(io.BytesIO(damaged), len(damaged)).read("a.txt")
+
+
+def test_sizes_beyond_four_gigabytes_come_from_the_large_fields():
+    extra = b"\x01\x00\x18\x00" + (5 << 32).to_bytes(8, "little") * 2 + (6 << 32).to_bytes(8, "little")
+    full = warc_zip.FULL32
+    assert warc_zip.PackageReader._large(b"\x99\x00\x01\x00z" + extra, full, full, full) == (5 << 32, 5 << 32, 6 << 32)
+    assert warc_zip.PackageReader._large(b"\x01\x00\x08\x00" + (7 << 32).to_bytes(8, "little"), 3, 3, full) == (3, 3, 7 << 32)
+
+
+# Mixing.
+
+
+def test_a_source_factor_solves_its_line(spark):
+    rng = random.Random(5)
+    cells = 6
+    x = [rng.choice([0.0, 0.2, 0.7, 1.3, 1.3]) + 0.01 * i for i in range(cells)]
+    rows = [([float(rng.randrange(50)) for _ in range(cells)], rng.uniform(0, 220)) for _ in range(60)]
+    df = spark.createDataFrame(rows, "weights array<double>, target double")
+    for r in df.withColumn("a", mixing.source_factor(F.col("target"), x)).collect():
+        drawn = sum(w * min(1.0, r["a"] * v) for w, v in zip(r["weights"], x, strict=True))
+        possible = sum(w for w, v in zip(r["weights"], x, strict=True) if v > 0)
+        assert drawn == pytest.approx(min(r["target"], possible), rel=1e-9, abs=1e-9)
+
+
+def test_raking_without_limits_is_plain_proportional_fitting(spark):
+    rng = random.Random(6)
+    rows = [(s, lang, t, rng.randrange(50, 200)) for s in "abcd" for lang in ("en", "de", "*") for t in ("x", "*")]
+    weights = spark.createDataFrame(rows, "source string, language string, topic string, tokens long")
+    mix = mixing.rake(weights, {"en": 0.5, "de": 0.3}, {"x": 0.6}, keep=0.05, flatten=0.0)
+    factor = {r["source"]: r["factor"] for r in mix.sources.collect()}
+    fitted = np.array([n for *_, n in rows], dtype=float).reshape(4, 3, 2)
+    budget = 0.05 * fitted.sum()
+    for _ in range(500):
+        fitted *= (budget / 4 / fitted.sum(axis=(1, 2)))[:, None, None]
+        fitted *= (budget * np.array([0.5, 0.3, 0.2]) / fitted.sum(axis=(0, 2)))[None, :, None]
+        fitted *= (budget * np.array([0.6, 0.4]) / fitted.sum(axis=(0, 1)))[None, None, :]
+    got = [n * factor[s] * mix.languages[lang] * mix.topics[t] for s, lang, t, n in rows]
+    assert got == pytest.approx(fitted.ravel().tolist(), rel=1e-3)
+    assert mix.deviation <= mixing.NEAR
+
+
+def test_a_sample_keeps_all_columns_and_is_repeatable(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumn("topic", F.lit("kept")).withColumn("tokens", F.lit(1))
+    draw = lambda: mixing.sample(docs, {"en": 0.7}, {}, F.lit(None).cast("string"), keep=0.4)
+    first = draw()
+    assert first.columns == docs.columns
+    rows = {r["doc_id"]: r for r in first.collect()}
+    assert rows == {r["doc_id"]: r for r in draw().collect()}
+    assert 0 < len(rows) < docs.count() and {r["topic"] for r in rows.values()} == {"kept"}
+
+
+# Personal data.
+
+
+def pii_docs(n=400):
+    rng = random.Random(7)
+    texts = []
+    for i in range(n):
+        number = f"({rng.randrange(200, 999)}) 555-{rng.randrange(1000, 9999)}"
+        junk = f"token={rng.randrange(16**8):08x} key{rng.randrange(10**11)}z"
+        texts.append(f"{prose(rng, 8)} +1 {number} {prose(rng, 5)} u{i}@mail.example.com {prose(rng, 4)} {junk}.")
+    texts.append("reach me: 606 555 7814 5 or user (at) host (dot) org soon")
+    return texts
+
+
+def test_trees_add_looser_forms_and_leave_other_numbers(spark):
+    texts = pii_docs()
+    found = pii.find_spans(spark.createDataFrame(list(enumerate(texts)), DOCS)).collect()
+    spans = {r["doc_id"]: [(pii.KINDS[s["kind"]], texts[r["doc_id"]][s["start"] : s["end"]], s["base"]) for s in r["spans"]] for r in found}
+    last = spans.pop(len(texts) - 1)
+    assert ("email", "user (at) host (dot) org", False) in last
+    assert all(not base for _, _, base in last)
+    for d, mine in spans.items():
+        assert [k for k, _, base in mine if base] == ["phone", "email"], texts[d]
+        assert all(base for _, _, base in mine), texts[d]
+
+
+def test_without_examples_nothing_is_added(spark):
+    docs = spark.createDataFrame([(1, "call 606 555 7814 now or +1 (606) 555-7814")], DOCS)
+    spans = pii.find_spans(docs).first()["spans"]
+    assert [(s["start"], s["end"], s["base"]) for s in spans] == [(25, 42, True)]
+
+
+def test_redaction(spark):
+    text = "é a@b.cd, +1 (606) 555-7814"
+    rows = [(text, [(2, 0, 8, True), (10, 3, 27, True)]), (text, [(2, 0, 8, True), (5, 1, 12, False)]), (text, [])]
+    df = spark.createDataFrame(rows, "text string, spans array<struct<start:long,kind:int,end:long,base:boolean>>")
+    got = [r[0] for r in df.select(pii.redact(F.col("text"), F.col("spans"))).collect()]
+    assert got == ["é [email], [phone]", "é [email] (606) 555-7814", text]
+
+
+# Quality.
+
+
+def test_forest_scores_the_odd_one_highest():
+    rng = np.random.default_rng(0)
+    rows = rng.normal(size=(2000, 3)) * 0.1
+    scores = quality.Forest(rows, 50, 256, 1).scores(np.vstack([rows[:500], [[3.0, 3.0, 3.0]]]))
+    assert scores.argmax() == 500 and scores[500] > 0.6
+    assert (quality.Forest(rows[:1], 5, 256, 1).scores(rows[:3]) <= 1).all()
+
+
+def test_repeated_words_of_any_width():
+    rng = random.Random(8)
+    for n, width in [(0, 8), (7, 8), (40, 8), (300, 5), (300, 3)]:
+        words = [rng.randrange(4) for _ in range(n)]
+        runs = Counter(tuple(words[i : i + width]) for i in range(n - width + 1))
+        want = {i + j for i in range(n - width + 1) if runs[tuple(words[i : i + width])] > 1 for j in range(width)}
+        assert quality.repeated_words(np.array(words, dtype=np.int64), width) == len(want)
+
+
+def test_labelled_documents_are_told_apart(spark):
+    folder = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    judged = queries.op6_quality(spark, folder).join(labels, "doc_id").filter(~F.col("base_failed"))
+    share = {r["quality"]: r["kept"] for r in judged.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()}
+    assert share[1] > 0.99 and share[0] < 0.05
+
+
+def test_without_labels_the_forest_rejects_nothing(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    judged = quality.judge(docs, none, ["doc_id"])
+    assert judged.filter(F.col("kept") == F.col("base_failed")).isEmpty()
+
+
+# Substring dedup.
+
+
+def test_covers_hold_every_difference():
+    for period, cover in substring_dedup.COVERS.items():
+        assert {(a - b) % period for a in cover for b in cover} == set(range(period))
+
+
+@pytest.mark.parametrize("window", [1, 3, 8, 20, 50])
+def test_repeats_of_any_window(spark, monkeypatch, tmp_path, window):
+    monkeypatch.setattr(substring_dedup, "CHUNK_ROWS", 5)
+    rng = random.Random(window)
+    passages = [prose(rng, rng.randrange(window, 3 * window + 2)) for _ in range(6)]
+    texts = []
+    for _ in range(40):
+        parts = [prose(rng, rng.randrange(0, 30)), rng.choice(passages), prose(rng, rng.randrange(0, 30)), rng.choice(passages)]
+        texts.append(" \n".join(parts))
+    texts += [texts[3], None, "", "a b a b a b a b " * window]
+    docs = [(i if i % 9 else None, t) for i, t in enumerate(texts)] + [(5, texts[6])]
+    spark.createDataFrame(docs, DOCS).write.parquet(str(tmp_path / "d"))
+    for df in (spark.read.parquet(str(tmp_path / "d")), spark.createDataFrame(docs, DOCS)):
+        got = substring_dedup.remove_repeats(df, window)
+        rows = got.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256)).collect()
+        assert Counter(tuple(r) for r in rows) == Counter(brute.remove_repeats(docs, window))
+
+
+def test_rolling_hashes_are_those_of_the_runs():
+    rng = np.random.default_rng(1)
+    words = rng.integers(0, 2**63, 60).astype(np.uint64)
+    for length in (1, 2, 7, 20, 59, 60, 61):
+        power = [pow(substring_dedup.FIRST, length - 1 - i, 2**64) for i in range(length)]
+        want = [sum(int(w) * p for w, p in zip(words[i : i + length], power, strict=True)) % 2**64 for i in range(60 - length + 1)]
+        assert substring_dedup.rolling(words, length, substring_dedup.FIRST).tolist() == want
+
+
+# Top-k search.
+
+
+def test_blocks_and_narrow_histograms_give_the_same(spark, monkeypatch):
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(topk, "BINS", 4)
+    monkeypatch.setattr(topk, "ROWS_AT_ONCE", 7)
+    rng = random.Random(9)
+    rows = [(i, [rng.choice([-1.0, 0.5, 2.0]) for _ in range(3)]) for i in range(120)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    got = topk.top_k(df, F.col("vec_id") % 10 == 0, k=13)
+    assert Counter(tuple(r) for r in got.collect()) == Counter(brute.top_k(rows, 10, 13))
+    few = topk.top_k(df.filter("vec_id < 5"), F.col("vec_id") % 10 == 0, k=13)
+    assert Counter(tuple(r) for r in few.collect()) == Counter(brute.top_k(rows[:5], 10, 13))
+
+
+# SimHash.
+
+
+def linked(bits, distance):
+    """Which fingerprints hang together, by comparing all."""
+    group = {b: b for b in bits}
+
+    def find(b):
+        while group[b] != b:
+            b = group[b]
+        return b
+
+    for a in bits:
+        for b in bits:
+            if (a ^ b).bit_count() <= distance:
+                group[max(find(a), find(b))] = min(find(a), find(b))
+    return {b: find(b) for b in bits}
+
+
+def near_bits(seed, n, half=None):
+    rng = random.Random(seed)
+    centres = [rng.getrandbits(64) for _ in range(3)]
+    bits = set(centres)
+    while len(bits) < n:
+        b = rng.choice(sorted(bits))
+        for _ in range(rng.randrange(1, 6)):
+            b ^= 1 << rng.randrange(64)
+        bits.add(b)
+    return sorted(bits)
+
+
+@pytest.mark.parametrize("distance", [0, 1, 2, 3])
+def test_variants_find_every_component(spark, monkeypatch, distance):
+    monkeypatch.setattr(simhash, "LARGE_BUCKET", 8)
+    bits = near_bits(distance, 150)
+    signed = [b - 2**64 if b >= 2**63 else b for b in bits]
+    index = simhash.variants(spark.createDataFrame([(b,) for b in signed], "fingerprint long"))
+    assert index.count() == 64 * len(bits)
+    edges = [(a % 2**64, b % 2**64) for a, b in simhash.links(index, distance).collect()]
+    assert all((a ^ b).bit_count() <= distance for a, b in edges)
+    want, group = linked(bits, distance), {b: b for b in bits}
+    for _ in range(len(bits)):
+        for a, b in edges:
+            group[a] = group[b] = min(group[a], group[b])
+    assert len({(want[b], group[b]) for b in bits}) == len(set(want.values())) == len(set(group.values()))
+
+
+def test_one_document_of_each_group_stays(spark):
+    base = prose(random.Random(10), 200).split()
+    texts = [" ".join(base), " ".join([*base[:-1], "other"]), "something else entirely here", "", None, " "]
+    rows = [(i + 5, t, i) for i, t in enumerate(texts)] + [(None, texts[2], 9), (5, texts[0], 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, component long")
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    found = brute.simhash([(r[0], r[1]) for r in rows])
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted({c for _, _, c in found})
+
+
+def test_components_of_long_paths_and_hubs(spark):
+    rng = random.Random(11)
+    path = [(i, i + 1) for i in range(100, 260)]
+    rng.shuffle(path)
+    hub = [(1000, i) for i in range(1001, 1400)]
+    edges = path + hub + [(7, 7), (5, 9), (9, 5), (9, 3)]
+    got = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**{i: 100 for i in range(100, 261)}, **{i: 1000 for i in range(1000, 1400)}, 5: 3, 9: 3, 3: 3}
+    assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+# Sharding.
+
+
+def test_a_group_of_equal_texts_is_split_only_if_it_is_large(spark):
+    rng = random.Random(12)
+    rows = [(i, "hot text " * 20) for i in range(1500)] + [(i, f"small {i // 3} " * 12) for i in range(1500, 4500)]
+    rng.shuffle(rows)
+    placed = sharding.shards(spark.createDataFrame(rows, DOCS), 8).collect()
+    sizes = Counter()
+    for r in placed:
+        sizes[r["shard"]] += r["size"]
+    share = sum(sizes.values()) / 8
+    assert all(abs(n - share) <= 0.03 * share for n in sizes.values())
+    text, shards = dict(rows), defaultdict(set)
+    for r in placed:
+        shards[text[r["doc_id"]]].add(r["shard"])
+    assert all(len(s) == 1 for t, s in shards.items() if t.startswith("small"))
+
+
+def test_overfull_ranges_are_subdivided(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "SAMPLED_PER_RANGE", 1)
+    monkeypatch.setattr(sharding, "ROWS_PER_RANGE", 40)
+    rows = spark.createDataFrame([(i, "x" * (i % 50)) for i in range(3000)], DOCS)
+    staged = sharding.sized(rows, "text").cache()
+    total = staged.agg(F.sum("size")).first()[0]
+    _, sizes = sharding.balanced_ranges(staged, total, 75)
+    assert sum(s for _, s, _ in sizes) == total
+    assert max(s for _, s, _ in sizes) <= 3 * total / 75
+    staged.unpersist()
+
+
+def test_written_shards_hold_the_rows_in_order(spark, tmp_path):
+    rows = [(i, f"text {i}", zlib.crc32(str(i).encode())) for i in range(200)] + [(3, "text 3", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, shard long")
+    sharding.write_shards(docs, 5, str(tmp_path / "s"))
+    back = spark.read.parquet(str(tmp_path / "s"))
+    assert Counter(tuple(r["document"]) for r in back.collect()) == Counter(rows)
+    place = {r["doc_id"]: (r["shard"], r["slot"]) for r in sharding.shards(docs, 5).collect() if r["doc_id"] != 3}
+    assert all(place[r["document"]["doc_id"]] == (r["shard"], r["slot"]) for r in back.collect() if r["document"]["doc_id"] != 3)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tripweave.llm import line_dedup, mixing, packing, pii, quality, sharding, simhash, substring_dedup, topk, warc_zip
 from tripweave.llm.common import table
+from tripweave.llm.oracle import ORACLES as ORACLES
 
 # The sequence length and the vocabulary of the packed corpus.
 SEQUENCE_TOKENS = 4096
@@ -119,5 +120,3 @@ QUERIES = {
     "op9_simhash": op9_simhash,
     "op10_sharding": op10_sharding,
 }
-
-ORACLES: dict[str, str] = {}
