@@ -32,10 +32,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Tokens packed in one task, and groups whose open sequences are packed again together.
 GROUP_TOKENS = 16_000_000
 GROUPS_TOGETHER = 64
-# Words a task remembers the ids of.
-CACHED_WORDS = 600_000
-# Texts that are encoded together.
-ROWS_AT_ONCE = 2000
+# Bytes of text whose words are numbered together, and texts whose ids are put together at once.
+TEXT_AT_ONCE = 16 << 20
+ROWS_AT_ONCE = 1000
 # The punctuation of ASCII.
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -47,12 +46,23 @@ def _list(array: pa.Array) -> list:
     return array.to_numpy(zero_copy_only=False).tolist()
 
 
+def _gather(ids: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of ``ids``, one after the other, and where each of them ends."""
+    ends = np.cumsum(size, dtype=np.int64)
+    used = np.flatnonzero(size)
+    step = np.ones(int(ends[-1]) if len(ends) else 0, dtype=np.int32)
+    step[ends[used] - size[used]] = first[used]
+    step[ends[used[:-1]]] -= first[used[:-1]] + size[used[:-1]] - 1
+    return ids[np.cumsum(step, dtype=np.int32)], ends
+
+
 class WordEncoder:
-    """Token ids of texts, word by word with a bounded memory of words.
+    """Token ids of texts, each different word of which is encoded once.
 
     For vocabularies that drop white space, fold case and mark the end of a word: no token then spans two words, so the
-    ids of a text are those of its words, and the ids of words of letters can be told apart by their ends. Only white
-    space, letters and punctuation of ASCII are handled here; all else is the tokenizer's.
+    ids of a text are those of its words, and the ids of words of letters can be told apart by their ends. Arrow splits
+    and numbers the words. Only white space, letters and punctuation of ASCII are handled here; all else is the
+    tokenizer's.
     """
 
     def __init__(self, path: str):
@@ -62,74 +72,87 @@ class WordEncoder:
         self.ends_word = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
         for token, number in self.tokenizer.get_vocab().items():
             self.ends_word[number] = token.endswith("</w>")
-        self.known: dict[bytes, bytes] = {}
 
-    def encode(self, texts: pa.Array) -> list[np.ndarray]:
-        """The ids of each text; words are told apart and numbered by Arrow, and looked up once per call."""
+    def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text. All texts are split together, their ids put together some at a time."""
         texts = texts.cast(pa.string()).fill_null("")
         special = pa.compute.match_substring(texts, "<|").to_numpy(zero_copy_only=False)
         plain = pa.compute.if_else(pa.array(special), "", texts)
         split = pa.compute.ascii_split_whitespace(pa.compute.ascii_lower(plain))
+        bounds = split.offsets.to_numpy() - split.offsets[0].as_py()
         numbered = split.flatten().dictionary_encode()
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        words = _list(numbered.dictionary.cast(pa.binary()))
-        self._learn(set(words).difference(self.known))
-        held = list(map(self.known.__getitem__, words))
-
-        size = np.fromiter(map(len, held), dtype=np.int32, count=len(held)) // 4
-        first = np.cumsum(size, dtype=np.int32) - size
-        at = numbered.indices.to_numpy()
-        sizes = size[at]
-        ends = np.cumsum(sizes, dtype=np.int64)
-        # A batch's words, and so their ids, are far fewer than a 32-bit number counts; its tokens need not be.
-        total = int(ends[-1]) if len(ends) else 0
-        step = np.ones(total, dtype=np.int32)
-        used = np.flatnonzero(sizes)
-        begin = ends[used] - sizes[used]
-        step[begin] = first[at[used]]
-        step[begin[1:]] -= first[at[used[:-1]]] + sizes[used[:-1]] - 1
-        ids = np.frombuffer(b"".join(held), dtype="<u4")[np.cumsum(step, dtype=np.int32)]
-        bounds = np.concatenate([[0], ends])[split.offsets.to_numpy() - split.offsets[0].as_py()]
-        found = [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
-        for i in np.flatnonzero(special):
-            found[i] = np.array(self._ids([texts[i].as_py()])[0], dtype="<u4")
-        return found
-
-    def _learn(self, words: set[bytes]) -> None:
-        """Closing punctuation after a letter or digit is a unit of its own; so most new words are known stems."""
-        known, new = self.known, pa.array(words, pa.binary()).cast(pa.string())
-        stems = pa.compute.utf8_rtrim(new, PUNCTUATION)
-        cut = pa.compute.and_(pa.compute.not_equal(new, stems), pa.compute.match_substring_regex(stems, "[0-9a-z]$"))
-        split = zip(*[_list(side.filter(cut).cast(pa.binary())) for side in (new, stems)], strict=True)
-        split = [(w, s, w[len(s) :]) for w, s in split]
-        units = {u for _, s, t in split for u in (s, t)}
-        units.update(_list(new.filter(pa.compute.invert(cut)).cast(pa.binary())))
-        self._encode_units(pa.array(units.difference(known), pa.binary()).cast(pa.string()))
-        known.update([(w, known[s] + known[t]) for w, s, t in split])
-
-    def _encode_units(self, units: pa.Array) -> None:
+        ids, first, size = self._words(numbered.dictionary)
+        word = numbered.indices.to_numpy()
+        for a in range(0, len(texts), ROWS_AT_ONCE):
+            b = min(a + ROWS_AT_ONCE, len(texts))
+            here = word[bounds[a] : bounds[b]]
+            found, ends = _gather(ids, first[here], size[here])
+            cuts = np.concatenate([[0], ends])[bounds[a : b + 1] - bounds[a]].tolist()
+            for i in range(a, b):
+                if special[i]:
+                    yield np.array(self._ids([texts[i].as_py()])[0], dtype="<u4")
+                else:
+                    yield found[cuts[i - a] : cuts[i - a + 1]]
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and where those of each word begin and how many they are.
+
+        Closing punctuation after a letter or digit is a unit of its own, so many words share their stem.
+        """
+        stems = pa.compute.utf8_rtrim(words, PUNCTUATION)
+        cut = pa.compute.and_(pa.compute.not_equal(words, stems), pa.compute.match_substring_regex(stems, "[0-9a-z]$"))
+        length = pa.compute.binary_length(stems.filter(cut)).to_pylist()
+        closing = [w[n:] for w, n in zip(_list(words.filter(cut).cast(pa.binary())), length, strict=True)]
+        stems = pa.compute.if_else(cut, stems, words)
+        units = pa.concat_arrays([stems, pa.array(closing, pa.binary()).cast(pa.string())]).dictionary_encode()
+        ids, first, size = self._units(units.dictionary)
+        unit = units.indices.to_numpy()
+        whole, closed = unit[: len(words)], np.flatnonzero(cut.to_numpy(zero_copy_only=False))
+        both = np.stack([whole[closed], unit[len(words) :]], axis=1).ravel()
+        more, ends = _gather(ids, first[both], size[both])
+        word_first, word_size = first[whole], size[whole]
+        word_size[closed] += size[unit[len(words) :]]
+        word_first[closed] = len(ids) + ends[1::2] - word_size[closed]
+        return np.concatenate([ids, more]), word_first, word_size
+
+    def _units(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Words of letters only end with the only word-end token they have, so many go in one call."""
-        letters = pa.compute.utf8_is_alpha(units)
-        other = _list(units.filter(pa.compute.invert(letters)))
-        plain = _list(units.filter(letters))
-        for at in range(0, len(plain), 4096):
-            part = plain[at : at + 4096]
-            ids = np.array(self._ids([" ".join(part)])[0], dtype="<u4")
-            ends = ((np.flatnonzero(self.ends_word[ids]) + 1) * 4).tolist()
+        letters = pa.compute.utf8_is_alpha(units).to_numpy(zero_copy_only=False)
+        text = _list(units)
+        plain, other = np.flatnonzero(letters), np.flatnonzero(~letters).tolist()
+        size = np.zeros(len(units), dtype=np.int32)
+        first = np.zeros(len(units), dtype=np.int32)
+        found, at = [np.zeros(0, dtype="<u4")], 0
+        for start in range(0, len(plain), 4096):
+            part = plain[start : start + 4096]
+            ids = np.array(self._ids([" ".join([text[i] for i in part])])[0], dtype="<u4")
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
             if len(ends) != len(part):
-                other += part
+                other += part.tolist()
                 continue
-            raw = ids.tobytes()
-            pieces = [raw[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
-            self.known.update(zip(map(str.encode, part), pieces, strict=True))
-        for unit, ids in zip(other, self._ids(other), strict=True):
-            self.known[unit.encode()] = np.array(ids, dtype="<u4").tobytes()
+            size[part] = np.diff(ends, prepend=0)
+            first[part] = at + ends - size[part]
+            found.append(ids)
+            at += len(ids)
+        for i, ids in zip(other, self._ids([text[i] for i in other]), strict=True):
+            size[i], first[i] = len(ids), at
+            found.append(np.array(ids, dtype="<u4"))
+            at += len(ids)
+        return np.concatenate(found), first, size
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
+def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of about ``TEXT_AT_ONCE`` bytes of text."""
+    size = pa.compute.fill_null(pa.compute.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False)
+    number = np.cumsum(size, dtype=np.int64) // TEXT_AT_ONCE
+    cuts = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        yield batch.slice(a, b - a)
+
+
 def tokenize(
     docs: DataFrame, tokenizer: str, capacity: int, end_id: int = 1, text: str = "text", with_ids: bool = False
 ) -> DataFrame:
@@ -138,8 +161,7 @@ def tokenize(
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = WordEncoder(tokenizer), np.array([end_id], dtype="<u4").tobytes()
         for whole in batches:
-            for at in range(0, whole.num_rows, ROWS_AT_ONCE):
-                batch = whole.slice(at, ROWS_AT_ONCE)
+            for batch in slices(whole, 1):
                 doc, piece, start, length, crc, raw = [], [], [], [], [], []
                 for n, found in zip(batch[0].to_pylist(), encoder.encode(batch[1]), strict=True):
                     ids = found.tobytes() + end
