@@ -26,6 +26,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+# The queries with days and timestamps in their own types.
+TYPED: dict[str, Query] = {}
 
 
 def portable(df: DataFrame) -> DataFrame:
@@ -41,6 +43,7 @@ def query(select: str | None = None, *needs: str) -> Callable[[Query], Query]:
 
     def register(fn: Query) -> Query:
         name = fn.__name__
+        TYPED[name] = fn
         QUERIES[name] = lambda spark, sf_dir: portable(fn(spark, sf_dir))
         if select is not None:
             ORACLES[name] = sql(select, *needs)
@@ -167,11 +170,15 @@ def parquet_roundtrip(spark, sf_dir):
     return datasets.read_dataset(spark, path)
 
 
-@query(f"{TEXT_DAY} linked", "linked")
+@query("SELECT * REPLACE (CAST(service_date AS VARCHAR) AS service_date), CAST(service_date AS VARCHAR) AS folder FROM linked", "linked")
 def parquet_by_day(spark, sf_dir):
+    """Written once, then one day again; with the folder each row lies in."""
     path = scratch_path(spark, "linked-by-day")
-    datasets.write_linked(daily.linked(_pings(spark, sf_dir)), path)
-    return datasets.read_dataset(spark, path)
+    linked = _linked(spark, sf_dir)
+    datasets.write_linked(linked, path)
+    datasets.write_linked(linked.filter("day_of_month = 1"), path)
+    folder = F.regexp_extract("_metadata.file_path", "service_date=([^/]+)", 1)
+    return datasets.read_dataset(spark, path).withColumn("folder", folder)
 
 
 @query(

@@ -5,28 +5,24 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
 SHARED = "spark.checkpoint.dir"
+# Where a local session stages if its configuration names no folder: all its threads share the machine.
+ONE_MACHINE = "/tmp/tripweave-shared"
 
 
-def local_session(app_name: str = "tripweave", cores: str = "8", shared: str = "/tmp/tripweave-shared") -> SparkSession:
-    """A single-JVM session for tests and the bench. Clusters bring their own session.
-
-    ``shared`` is taken where the configuration names no shared folder.
-    """
-    builder = (
+def local_session(app_name: str = "tripweave", cores: str = "8") -> SparkSession:
+    """A single-JVM session for tests and the bench. Clusters bring their own session."""
+    return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .getOrCreate()
     )
-    if not SparkConf().contains(SHARED):
-        builder = builder.config(SHARED, shared)
-    return builder.getOrCreate()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -36,8 +32,7 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError(f"set {SHARED} to a folder shared by all executors")
-    spark.conf.set(SHARED, "/tmp/tripweave-shared")  # one machine: any folder is shared
-    return spark.conf.get(SHARED)
+    return ONE_MACHINE
 
 
 def scratch_dir(spark: SparkSession) -> str:
