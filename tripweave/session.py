@@ -30,7 +30,8 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get(SHARED, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    master = spark.conf.get("spark.master", "")
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError(f"set {SHARED} to a folder shared by all executors")
     return ONE_MACHINE
 
