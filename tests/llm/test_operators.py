@@ -206,6 +206,13 @@ def test_raking_without_limits_is_plain_proportional_fitting(spark):
     assert mix.deviation <= mixing.NEAR
 
 
+def test_shares_stay_within_reach():
+    owned = {"a": 10.0, "b": 100.0, "c": 1000.0}
+    assert mixing.within_reach({"a": 0.2, "b": 0.3, "c": 0.5}, owned, 100.0) == pytest.approx({"a": 0.09, "b": 0.34125, "c": 0.56875})
+    assert mixing.within_reach({"a": 0.2, "b": 0.8}, owned, 100.0) == pytest.approx({"a": 0.09, "b": 0.9})
+    assert mixing.within_reach({"c": 1.0}, owned, 100.0) == {"c": 1.0}
+
+
 def test_a_sample_keeps_all_columns_and_is_repeatable(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumn("topic", F.lit("kept")).withColumn("tokens", F.lit(1))
     draw = lambda: mixing.sample(docs, {"en": 0.7}, {}, F.lit(None).cast("string"), keep=0.4)

@@ -8,7 +8,8 @@ Sources may be many: their weights stay in a table with one row per source and o
 topic class, and a sweep is one aggregation of it to one row. Languages and topics are those named in the targets; all
 others, null among them, form one class that gets what the named ones leave.
 
-A source that has fewer tokens than its target is taken whole and falls short. Targets of sources are their tokens to
+A source that has fewer tokens than its target is taken whole and falls short. A language or topic is never asked for
+more than nine tenths of its tokens; the others share what is left of its target. Targets of sources are their tokens to
 the power ``flatten``: 1 keeps their shares, 0 makes them equal.
 
 Defined results: a null or empty text weighs nothing and is kept with its class's probability; a null source is a
@@ -25,6 +26,8 @@ from pyspark.sql import functions as F
 
 from tripweave.session import stage
 
+# The largest part of a language's or topic's tokens that is asked for: near all of them, its factor has no bound.
+MOST = 0.9
 # Sweeps at most, and how near the shares must come to their targets, as a part of each.
 SWEEPS = 60
 NEAR = 1e-5
@@ -64,6 +67,22 @@ def _shares(targets: dict[str, float], found: dict[str, float]) -> dict[str, flo
     return {c: (w / total if total else 1.0 / len(wanted)) for c, w in wanted.items()}
 
 
+def within_reach(shares: dict[str, float], owned: dict[str, float], budget: float) -> dict[str, float]:
+    """Shares of which none asks for more than ``MOST`` of a class's tokens; what is cut off goes to the others, in
+    proportion. If all are at that limit, they add up to less than one."""
+    limit = {c: MOST * owned[c] / budget for c in shares}
+    held: dict[str, float] = {}
+    while True:
+        rest = {c: s for c, s in shares.items() if c not in held}
+        left = 1.0 - sum(held.values())
+        total = sum(rest.values())
+        scaled = {c: s * left / total if total else 0.0 for c, s in rest.items()}
+        over = {c: limit[c] for c, s in scaled.items() if s > limit[c]}
+        if not over:
+            return {c: held.get(c, scaled.get(c, 0.0)) for c in shares}
+        held |= over
+
+
 def _literals(values: list[float]) -> Column:
     return F.array(*[F.lit(float(v)) for v in values])
 
@@ -131,7 +150,10 @@ def rake(
         return out
 
     owned = [first[f"w{i}"] for i in range(len(pairs))]
-    wanted = [_shares(t, margins(owned, side)) for side, t in enumerate((languages, topics))]
+    wanted = []
+    for side, targets in enumerate((languages, topics)):
+        found = margins(owned, side)
+        wanted.append(within_reach(_shares(targets, found), found, budget))
     factors = [{c: 1.0 if c in w else 0.0 for c in margins(owned, side)} for side, w in enumerate(wanted)]
     share = flat / F.lit(first["flat"])
 
@@ -144,14 +166,21 @@ def rake(
         cells = [row[f"w{i}"] for i in range(len(pairs))]
         all_ = sum(cells)
         deviation = max(
-            abs(margins(cells, side)[c] / all_ - s) / s for side in (0, 1) for c, s in wanted[side].items() if s > 0
+            (
+                abs(margins(cells, side)[c] / all_ - s / sum(wanted[side].values())) / s
+                for side in (0, 1)
+                for c, s in wanted[side].items()
+                if s > 0
+            ),
+            default=0.0,
         )
         sweeps += 1
         if deviation <= NEAR or sweeps == SWEEPS:
             return Mix(factors[0], factors[1], table.select("source", factor.alias("factor")), sweeps, deviation)
         for side in (0, 1):
             have = margins(cells, side)
-            step = {c: s * all_ / have[c] if have[c] else 1.0 for c, s in wanted[side].items()}
+            asked = all_ / sum(wanted[side].values())
+            step = {c: s * asked / have[c] if have[c] else 1.0 for c, s in wanted[side].items()}
             factors[side] = {c: f * step.get(c, 1.0) ** RELAX for c, f in factors[side].items()}
             cells = [n * step.get(pair[side], 1.0) for pair, n in zip(pairs, cells, strict=True)]
 

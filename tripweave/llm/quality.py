@@ -198,7 +198,7 @@ def grow_forest(rows: DataFrame, key: str) -> Forest | None:
     passed = rows.filter(~base_failed())
     chance = F.lit(SAMPLE_ROWS / max(1, passed.count()))
     drawn = F.pmod(F.xxhash64(F.lit(SEED), F.col("document")[key], *features), F.lit(2**40)) / F.lit(float(2**40))
-    some = passed.filter(drawn < chance).select(*features).orderBy(*features).collect()
+    some = sorted(passed.filter(drawn < chance).select(*features).collect())
     return Forest(np.array(some, dtype=np.float64), TREES, TREE_ROWS, SEED) if len(some) > 1 else None
 
 
