@@ -1,7 +1,7 @@
 """Personal data by candidate spans and gradient-boosted trees.
 
 Base patterns find emails, IP addresses, card and phone numbers in their usual forms; a check drops those that can't be
-real. Wide patterns, one per kind, propose spans in looser forms, which overlap each other and the base. Candidates that
+real. Wide patterns, one or more per kind, propose spans in looser forms, which overlap each other and the base. Candidates that
 cover a base span are positive examples; those that fail the kind's check, touch other word characters or lie on a span
 of another kind are negative ones. Trees are boosted on a bounded sample of both, on the form of the span and the words
 around it, without the signs that define the base forms. Candidates that are neither are then scored, and redacted
@@ -36,13 +36,22 @@ BASE = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 WIDE = {
-    "email": (
+    "email": [
         r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++\x20?(?:@|[\[({]\x20?at\x20?[\])}])\x20?[A-Za-z0-9-]++"
         r"(?:\x20?(?:\.|[\[({]\x20?dot\x20?[\])}])\x20?[A-Za-z0-9-]++)*+"
-    ),
-    "ip": r"(?<![0-9])[0-9]{1,3}+\x20?[.,:]\x20?[0-9]{1,3}+\x20?[.,:]\x20?[0-9]{1,3}+\x20?[.,:]\x20?[0-9]{1,3}+",
-    "card": r"(?<![0-9])[0-9](?:[\x20./-]{0,2}+[0-9]){11,18}+(?![0-9])",
-    "phone": r"(?<![0-9])\+?\(?[0-9](?:[\x20()./-]{0,3}+[0-9]){6,15}+(?![0-9])",
+    ],
+    "ip": [
+        r"(?<![0-9])[0-9]{1,3}+\x20?[.,:]\x20?[0-9]{1,3}+\x20?[.,:]\x20?[0-9]{1,3}+\x20?[.,:]\x20?[0-9]{1,3}+",
+    ],
+    "card": [
+        r"(?<![0-9])[0-9](?:[\x20./-]{0,2}+[0-9]){11,18}(?![0-9])",
+        r"(?<![0-9])[0-9]{12,19}(?![0-9])",
+        r"(?<![0-9])[0-9]{4}(?:[\x20-][0-9]{4}){2}[\x20-][0-9]{1,7}(?![0-9])",
+    ],
+    "phone": [
+        r"(?<![0-9])\+?\(?[0-9](?:[\x20()./-]{0,3}+[0-9]){6,15}(?![0-9])",
+        r"\+[0-9]{1,3}[\x20-]?\(?[0-9]{2,4}\)?[\x20-]?[0-9]{3,4}[\x20-]?[0-9]{3,4}(?![0-9])",
+    ],
 }
 # Texts that hold none of these have no spans of any kind.
 SIGNS = r"[0-9@]|[\[({]\x20?at\x20?[\])}]"
@@ -106,25 +115,31 @@ def matches(docs: DataFrame, text: str = "text") -> DataFrame:
     kind = "struct<skip:int,span:string,before:string,after:string>"
     columns = []
     for i, name in enumerate(KINDS):
-        for base, pattern, around in ((True, BASE[name], 0), (False, WIDE[name], AROUND)):
-            found = F.when(F.col("text").rlike(SIGNS), _found(F.col("text"), pattern, around))
+        for n, pattern in enumerate([BASE[name], *WIDE[name]]):
+            found = F.when(F.col("text").rlike(SIGNS), _found(F.col("text"), pattern, AROUND if n else 0))
             columns.append(
-                F.struct(F.lit(i).alias("kind"), F.lit(base).alias("base"), found.cast(f"array<{kind}>").alias("found"))
+                F.struct(F.lit(i).alias("kind"), F.lit(n).alias("form"), found.cast(f"array<{kind}>").alias("found"))
             )
     every = F.filter(F.array(*columns), lambda c: F.size(c["found"]) > 0)
     return stage(some.select("row", "doc_id", every.alias("matches")), "matches")
 
 
 def candidates(found: DataFrame) -> DataFrame:
-    """One row per span with its place, whether it is a base span, and whether its check holds."""
+    """One row per span with its place, whether it has the base form, and whether its check holds."""
     each = found.select("row", F.explode("matches").alias("m")).select(
-        "row", "m.kind", "m.base", F.posexplode("m.found").alias("nth", "s")
+        "row", "m.kind", "m.form", F.posexplode("m.found").alias("nth", "s")
     )
-    order = Window.partitionBy("row", "kind", "base").orderBy("nth")
+    order = Window.partitionBy("row", "kind", "form").orderBy("nth")
     passed = F.sum(F.col("s.skip") + F.length("s.span")).over(order)
-    placed = each.withColumn("end", passed).withColumn("start", F.col("end") - F.length("s.span"))
+    placed = (
+        each.withColumn("end", passed)
+        .withColumn("start", F.col("end") - F.length("s.span"))
+        .withColumn("base", F.col("form") == 0)
+    )
+    same = Window.partitionBy("row", "kind", "base", "start", "end").orderBy("form")
+    once = placed.withColumn("copy", F.row_number().over(same)).filter("copy = 1")
     digits = F.regexp_replace("s.span", "[^0-9]", "")
-    return placed.withColumn("digits", digits).withColumn("checked", checked()).select(
+    return once.withColumn("digits", digits).withColumn("checked", checked()).select(
         "row", "kind", "base", "start", "end", "checked", "digits", "s.span", "s.before", "s.after"
     )
 
@@ -247,8 +262,21 @@ def added_spans(spans: DataFrame) -> DataFrame:
     limit = F.lit(None).cast("double")
     for kind, value in limits.items():
         limit = F.when(F.col("kind") == kind, F.lit(value)).otherwise(limit)
-    chosen = scored.filter(F.col("label").isNull() & (F.col("score") >= limit))
-    return chosen.select("row", F.col("kind").cast("int"), "start", "end")
+    return best_of_overlapping(scored.filter(F.col("label").isNull() & (F.col("score") >= limit)))
+
+
+def best_of_overlapping(chosen: DataFrame) -> DataFrame:
+    """Of spans of a kind that overlap in a chain, the one with the highest score; the longer, then the first of equals."""
+    by_place = Window.partitionBy("row", "kind").orderBy("start", "end")
+    reached = F.max("end").over(by_place.rowsBetween(Window.unboundedPreceding, -1))
+    apart = F.coalesce(F.col("start") >= reached, F.lit(True)).cast("int")
+    chained = chosen.withColumn("apart", apart).withColumn("chain", F.sum("apart").over(by_place))
+    best = F.max(F.struct("score", (F.col("end") - F.col("start")).alias("length"), (-F.col("start")).alias("first")))
+    found = chained.groupBy("row", "kind", "chain").agg(best.alias("best"))
+    start = -F.col("best.first")
+    return found.select(
+        "row", F.col("kind").cast("int"), start.alias("start"), (start + F.col("best.length")).alias("end")
+    )
 
 
 def find_spans(docs: DataFrame, text: str = "text") -> DataFrame:
