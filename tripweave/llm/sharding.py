@@ -6,7 +6,7 @@ subdivided. The exact sizes of the ranges before a row and a running sum inside
 the whole order, in bytes and in rows; a shard is an equal stretch of it.
 
 Equal texts are neighbours in this order. A group of equal texts at the edge of two shards goes to one of them whole,
-unless it is larger than a hundredth of a shard: such groups are cut, or one group could fill a shard.
+unless it is larger than a twenty-fifth of a shard: such groups are cut, or one group could fill a shard.
 
 Defined results: a null text has no bytes; a null id sorts before all others; repeated rows have places of their own;
 an empty table gives no rows; with fewer rows than shards some shards stay empty; other columns are not read.
@@ -40,7 +40,7 @@ SAMPLED_PER_RANGE = 16
 OVERFULL = 2
 REFINEMENTS = 8
 # A group of equal texts is kept whole up to this part of a shard.
-WHOLE_GROUP = 0.01
+WHOLE_GROUP = 0.04
 
 KEY = ["_hash", "_id", "_row"]
 
