@@ -12,8 +12,12 @@ EDGE = ["a", "b"]
 
 
 def _least_neighbours(edges: DataFrame) -> DataFrame:
-    """The smallest of every node and its neighbours, for rows (a, b) meaning that b is next to a."""
-    return edges.groupBy("a").agg(F.min("b").alias("_least")).select("a", F.least("a", "_least").alias("_least"))
+    """The smallest of every node and its neighbours, for rows (a, b) meaning that b is next to a.
+
+    Stored, so that the join with it has a plain exchange on either side: adaptive execution can then split hubs.
+    """
+    least = edges.groupBy("a").agg(F.min("b").alias("_least"))
+    return stage(least.select("a", F.least("a", "_least").alias("_least")), "least-neighbours")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

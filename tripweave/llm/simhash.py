@@ -169,7 +169,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3, text:
     grouped = distinct.join(member, "fingerprint", "left").withColumn(
         "component", F.coalesce("component", "fingerprint")
     )
-    least = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
+    grouped = stage(grouped, "grouped")
+    least = stage(grouped.groupBy("component").agg(F.min("least").alias("component_id")), "least-ids")
     named = stage(grouped.join(least, "component").select("fingerprint", "component", "component_id"), "components")
     return prints.join(named, "fingerprint")
 
