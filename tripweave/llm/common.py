@@ -9,6 +9,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripweave.session import delete
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Two independent 64-bit hashes of a row: collisions are out of reach for any number of rows.
@@ -27,11 +29,8 @@ def row_key(*columns: str) -> list[Column]:
 
 def drop_staged(df: DataFrame) -> None:
     """Delete the files of a staged table that nothing reads any more."""
-    spark = df.sparkSession
-    hadoop = spark._jvm.org.apache.hadoop.fs
     for folder in {name.rpartition("/")[0] for name in df.inputFiles()}:
-        path = hadoop.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete(df.sparkSession, folder)
 
 
 def texts_of(column: pa.Array) -> list[bytes]:

@@ -217,9 +217,9 @@ def mixed(
     carry: list[str] | None = None,
     text: str = "text",
 ) -> DataFrame:
-    """``document`` with the carried columns, id, source, language and topic class, tokens, probability, sampled."""
+    """Id, source, language and topic class, tokens, probability, sampled; ``document`` with the columns to carry."""
     rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in (carry or [])], F.lit(0).alias("_")).alias("document"),
+        *([F.struct(*[F.col(f"`{c}`") for c in carry]).alias("document")] if carry else []),
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
         class_of(F.col("lang").cast("string"), languages).alias("language"),

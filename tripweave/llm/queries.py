@@ -56,7 +56,7 @@ def topic_of(text: Column) -> Column:
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return mixing.mixed(docs, LANGUAGES, TOPICS, topic_of(F.col("text")), KEEP, FLATTEN).drop("document")
+    return mixing.mixed(docs, LANGUAGES, TOPICS, topic_of(F.col("text")), KEEP, FLATTEN)
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
