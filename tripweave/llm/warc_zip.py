@@ -234,6 +234,8 @@ def with_originals(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     )
     copied = rows.filter(F.octet_length("payload") >= min_bytes)
     original = copied.groupBy("sha1").agg(F.max("page_id").alias("original"), F.count("*").alias("n")).filter("n > 1")
+    # Stored, so that the join has a plain exchange on either side, whose hot payloads adaptive execution can split.
+    original = stage(original, "originals")
     other = (F.octet_length("payload") >= min_bytes) & ~F.col("page_id").eqNullSafe(F.col("original"))
     return rows.join(original, "sha1", "left").select(
         "page_id", "url", "payload", F.when(other, F.col("original")).alias("refers_to")
