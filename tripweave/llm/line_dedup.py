@@ -151,6 +151,7 @@ def dedup_lines(
     shared = shared_lines(lines, min_docs, batches)
     hashed = F.concat(*[F.unhex(F.lpad(F.hex(c), 16, "0")) for c in LINE])
     dropped = lines.join(shared, LINE, "left_semi").groupBy(*ROW_KEY).agg(F.collect_set(hashed).alias("_dropped"))
+    dropped = stage(dropped, "dropped")  # a plain exchange: adaptive execution can split rows that repeat very often
 
     columns = [c for c in docs.columns if not (counts and c in ("n_lines", "n_dropped"))]
     kept = T.StructType([docs.schema[c] for c in columns])
