@@ -249,6 +249,36 @@ def test_trees_add_looser_forms_and_leave_other_numbers(spark):
         assert all(base for _, _, base in mine), texts[d]
 
 
+def test_numbers_side_by_side_are_all_proposed(spark):
+    texts = [
+        "call 202 555 0143 202 555 0199",
+        "é paid 3782 822463 10005 3714 496353 98431.",
+        "(202) 555-0143 (202) 555-0199 or (3782 822463 10005)",
+        "order 12, " + " ".join(["4111 1111 1111 1111"] * 40),
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), DOCS)
+    spans = pii.candidates(pii.matches(df).coalesce(1)).join(pii.matches(df).select("row", "doc_id"), "row").collect()
+    found = {(r["doc_id"], pii.KINDS[r["kind"]], r["start"], r["end"]) for r in spans if not r["base"] and r["checked"]}
+    for r in spans:
+        assert texts[r["doc_id"]][r["start"] : r["end"]] == r["span"]
+        if not r["base"] and r["kind"] >= pii.CARD:
+            assert texts[r["doc_id"]][: r["start"]].endswith(r["before"]) and texts[r["doc_id"]][r["end"] :].startswith(r["after"])
+
+    def places(d, number):
+        return [i for i in range(len(texts[d])) if texts[d].startswith(number, i)]
+
+    wanted = [
+        (0, "phone", "202 555 0143"), (0, "phone", "202 555 0199"),
+        (1, "card", "3782 822463 10005"), (1, "card", "3714 496353 98431"),
+        (2, "phone", "(202) 555-0143"), (2, "phone", "(202) 555-0199"), (2, "card", "3782 822463 10005"),
+        (3, "card", "4111 1111 1111 1111"),
+    ]
+    for d, kind, number in wanted:
+        assert places(d, number)
+        for at in places(d, number):
+            assert (d, kind, at, at + len(number)) in found, (kind, number, at)
+
+
 def test_without_examples_nothing_is_added(spark):
     docs = spark.createDataFrame([(1, "call 606 555 7814 now or +1 (606) 555-7814")], DOCS)
     spans = pii.find_spans(docs).first()["spans"]

@@ -29,6 +29,7 @@ from tripweave.session import stage
 # The kinds in their order, and the base forms. Runs are possessive and start where a run starts, which
 # finds the same spans in time that grows with the text alone. \G is where the span before ended.
 KINDS = ["email", "ip", "card", "phone"]
+CARD, PHONE, RUNS = 2, 3, 4
 BASE = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
@@ -53,6 +54,12 @@ WIDE = {
         r"\+[0-9]{1,3}[\x20-]?\(?[0-9]{2,4}\)?[\x20-]?[0-9]{3,4}[\x20-]?[0-9]{3,4}(?![0-9])",
     ],
 }
+# Numbers side by side: runs of groups of digits, cut at their separators. Every sequence of neighbouring groups whose
+# digits are as many as a kind's is proposed, as a phone or, without brackets and long separators, as a card.
+RUN = r"(?<![0-9])\+?\(?[0-9]++(?:[\x20()./-]{1,3}+[0-9]++)*+"
+PREFIX = r"^\+?\(?"
+AS_CARD = r"^[0-9](?:[\x20./-]{0,2}+[0-9])*+$"
+CARD_DIGITS, PHONE_DIGITS = (12, 19), (9, 15)
 # Texts that hold none of these have no spans of any kind.
 SIGNS = r"[0-9@]|[\[({]\x20?at\x20?[\])}]"
 # Words that go before personal data, and words and signs that go before other numbers.
@@ -120,6 +127,8 @@ def matches(docs: DataFrame, text: str = "text") -> DataFrame:
             columns.append(
                 F.struct(F.lit(i).alias("kind"), F.lit(n).alias("form"), found.cast(f"array<{kind}>").alias("found"))
             )
+    runs = F.when(F.col("text").rlike(SIGNS), _found(F.col("text"), RUN, AROUND))
+    columns.append(F.struct(F.lit(RUNS).alias("kind"), F.lit(1).alias("form"), runs.cast(f"array<{kind}>").alias("found")))
     every = F.filter(F.array(*columns), lambda c: F.size(c["found"]) > 0)
     return stage(some.select("row", "doc_id", every.alias("matches")), "matches")
 
@@ -136,14 +145,66 @@ def candidates(found: DataFrame) -> DataFrame:
         .withColumn("start", F.col("end") - F.length("s.span"))
         .withColumn("base", F.col("form") == 0)
     )
+    plain = placed.filter(F.col("kind") != RUNS)
+    placed = plain.select("row", "kind", "form", "base", "start", "end", "s.span", "s.before", "s.after").unionByName(
+        side_by_side(placed.filter(F.col("kind") == RUNS))
+    )
     same = Window.partitionBy("row", "kind", "base", "start", "end").orderBy("form")
     once = placed.withColumn("copy", F.row_number().over(same)).filter("copy = 1")
-    digits = F.regexp_replace("s.span", "[^0-9]", "")
+    digits = F.regexp_replace("span", "[^0-9]", "")
     return once.withColumn("digits", digits).withColumn("checked", checked()).select(
-        "row", "kind", "base", "start", "end", "checked", "digits", "s.span", "s.before", "s.after"
+        "row", "kind", "base", "start", "end", "checked", "digits", "span", "before", "after"
     )
 
 
+def side_by_side(runs: DataFrame) -> DataFrame:
+    """Of runs of digit groups, every sequence of neighbouring groups that has as many digits as a card or a phone.
+
+    From the start of a group, at most one sequence has a given number of digits: they grow with the text alone.
+    """
+    least, most = PHONE_DIGITS[0], CARD_DIGITS[1]
+    text = F.concat("s.before", "s.span", "s.after")
+    kind = "array<struct<skip:int,span:string,before:string,after:string>>"
+    forms = []
+    for n in range(least, most + 1):
+        # One digit is taken, so that the next match may start inside the sequence.
+        pattern = (
+            rf"(?s)(?<![0-9])(?<=(\A.{{0,{AROUND - 1}}}|.{{{AROUND}}}))"
+            rf"(?=(\+?\(?[0-9](?:[\x20()./-]{{0,3}}+[0-9]){{{n - 1}}}(?![0-9]))(.{{0,{AROUND}}}))\+?\(?[0-9]"
+        )
+        before, span, after = (F.regexp_extract_all("text", F.lit(pattern), F.lit(i)) for i in (1, 2, 3))
+        skip = F.transform(F.slice(F.split("text", pattern, -1), F.lit(1), F.size(span)), F.length)
+        found = F.arrays_zip(skip.alias("skip"), span.alias("span"), before.alias("before"), after.alias("after"))
+        forms.append(F.struct(F.lit(n).alias("n"), found.cast(kind).alias("found")))
+    each = (
+        runs.filter(F.length(F.regexp_replace("s.span", "[^0-9]", "")) >= least)
+        .select("row", F.col("start").alias("from"), F.col("end").alias("upto"), F.length("s.before").alias("ahead"), text.alias("text"))
+        .select("row", "from", "upto", "ahead", F.explode(F.array(*forms)).alias("f"))
+        .select("row", "from", "upto", "ahead", "f.n", F.posexplode("f.found").alias("nth", "s"))
+    )
+    prefix = F.regexp_extract("s.span", PREFIX, 0)
+    order = Window.partitionBy("row", "from", "n").orderBy("nth")
+    passed = F.sum(F.col("s.skip") + F.length(prefix) + 1).over(order)
+    placed = (
+        each.withColumn("prefix", prefix)
+        .withColumn("start", F.col("from") - F.col("ahead") + passed - F.length("prefix") - 1)
+        .withColumn("end", F.col("start") + F.length("s.span"))
+        .filter((F.col("start") >= F.col("from")) & (F.col("end") <= F.col("upto")))
+    )
+    number = F.substr("s.span", F.length("prefix") + 1)
+    shape = [F.lit(False).alias("base"), F.col("end")]
+    phones = placed.filter(F.col("n") <= PHONE_DIGITS[1]).select(
+        "row", F.lit(PHONE).alias("kind"), F.lit(len(WIDE["phone"]) + 1).alias("form"), *shape, "start",
+        "s.span", "s.before", "s.after",
+    )
+    cards = placed.filter((F.col("n") >= CARD_DIGITS[0]) & number.rlike(AS_CARD)).select(
+        "row", F.lit(CARD).alias("kind"), F.lit(len(WIDE["card"]) + 1).alias("form"), *shape,
+        (F.col("start") + F.length("prefix")).alias("start"),
+        number.alias("span"), F.right(F.concat("s.before", "prefix"), F.lit(AROUND)).alias("before"), "s.after",
+    )
+    return phones.unionByName(cards)
+
+
 def luhn(digits: Column) -> Column:
     """Whether a string of digits passes the Luhn check."""
     places = F.sequence(F.lit(1), F.greatest(F.length(digits), F.lit(1)))
@@ -158,14 +219,14 @@ def luhn(digits: Column) -> Column:
 
 def checked() -> Column:
     """The check of a span's kind; of the wide forms, what the base form would make of it."""
-    n, span = F.length("digits"), F.col("s.span")
+    n, span = F.length("digits"), F.col("span")
     parts = F.filter(F.split(span, r"[^0-9]+", -1), lambda p: p != "")
     mail = F.regexp_replace(F.regexp_replace(span, r"[\[({]\x20?dot\x20?[\])}]", "."), r"\x20", "")
     return (
         F.when(F.col("kind") == 0, F.col("base") | mail.rlike(r"\.[A-Za-z]{2,}$"))
         .when(F.col("kind") == 1, F.forall(parts, lambda p: p.try_cast("decimal(38,0)") <= 255))
-        .when(F.col("kind") == 2, F.when((n >= 12) & (n <= 19), luhn(F.col("digits"))).otherwise(F.lit(False)))
-        .otherwise((n >= 9) & (n <= 15))
+        .when(F.col("kind") == 2, F.when(n.between(*CARD_DIGITS), luhn(F.col("digits"))).otherwise(F.lit(False)))
+        .otherwise(n.between(*PHONE_DIGITS))
     )
 
 
@@ -174,7 +235,9 @@ def base_spans(spans: DataFrame) -> DataFrame:
 
 
 def examples(spans: DataFrame) -> DataFrame:
-    """The wide spans with their features and ``label``: 1 on a base span, 0 if they can't be real, else null."""
+    """The wide spans with their features and ``label``: 1 over a base span, 0 if they can't be real, else null.
+
+    Those that cut a base span of their kind short are parts of what stays anyway, and are left out."""
     real = F.col("base") & F.coalesce("checked", F.lit(False))
     some = spans.filter(~F.col("base") | real)
 
@@ -186,8 +249,15 @@ def examples(spans: DataFrame) -> DataFrame:
         following = F.min(F.when(F.col("base"), F.col("start"))).over(order.rowsBetween(1, Window.unboundedFollowing))
         return F.coalesce(upto > F.col("start"), F.lit(False)) | F.coalesce(following < F.col("end"), F.lit(False))
 
-    marked = some.withColumn("on_own", overlaps("row", "kind")).withColumn("on_any", overlaps("row"))
-    wide = marked.filter(~F.col("base"))
+    # Base spans of a kind don't overlap: of those that start no earlier, the first ends first.
+    later = Window.partitionBy("row", "kind").orderBy("start", "base", "end").rowsBetween(1, Window.unboundedFollowing)
+    covers = F.coalesce(F.min(F.when(F.col("base"), F.col("end"))).over(later) <= F.col("end"), F.lit(False))
+    marked = (
+        some.withColumn("on_own", overlaps("row", "kind"))
+        .withColumn("on_any", overlaps("row"))
+        .withColumn("covers", covers)
+    )
+    wide = marked.filter(~F.col("base") & (F.col("covers") | ~F.col("on_own")))
     touches = F.col("before").rlike("[A-Za-z0-9_]$") | F.col("after").rlike("^[A-Za-z0-9_]")
     near = F.lower("before")
     own = F.lit(False)
@@ -196,7 +266,7 @@ def examples(spans: DataFrame) -> DataFrame:
     rest = F.regexp_replace("span", "[0-9A-Za-z]", "")
     groups = F.filter(F.split("span", "[^0-9A-Za-z]+", -1), lambda g: g != "")
     passes = F.coalesce("checked", F.lit(False))
-    label = F.when(F.col("on_own"), 1.0).when(~passes | touches | F.col("on_any"), 0.0)
+    label = F.when(F.col("covers"), 1.0).when(~passes | touches | F.col("on_any"), 0.0)
     features = {
         "length": F.length("span"),
         "letters": F.length(F.regexp_replace("span", "[^A-Za-z]", "")),
