@@ -279,6 +279,14 @@ def test_numbers_side_by_side_are_all_proposed(spark):
             assert (d, kind, at, at + len(number)) in found, (kind, number, at)
 
 
+def test_nothing_of_an_accepted_span_is_left_out(spark):
+    rows = [(0, 2.0, 0, 12, 0.9), (0, 2.0, 10, 22, 0.99), (0, 2.0, 20, 32, 0.9), (0, 2.0, 32, 40, 0.9), (0, 3.0, 5, 15, 0.9)]
+    rows += [(1, 2.0, 0, 30, 0.9), (1, 2.0, 3, 9, 0.99), (1, 2.0, 25, 33, 0.9)]
+    chosen = spark.createDataFrame(rows, "row long, kind double, start int, end int, score double")
+    got = {tuple(r) for r in pii.joined(chosen).collect()}
+    assert got == {(0, 2, 0, 32), (0, 2, 32, 40), (0, 3, 5, 15), (1, 2, 0, 33)}
+
+
 def test_without_examples_nothing_is_added(spark):
     docs = spark.createDataFrame([(1, "call 606 555 7814 now or +1 (606) 555-7814")], DOCS)
     spans = pii.find_spans(docs).first()["spans"]

@@ -246,11 +246,13 @@ def examples(spans: DataFrame) -> DataFrame:
         before this one's end. Base spans come first where starts are equal."""
         order = Window.partitionBy(*keys).orderBy("start", F.desc("base"), "end")
         upto = F.max(F.when(F.col("base"), F.col("end"))).over(order.rowsBetween(Window.unboundedPreceding, -1))
-        following = F.min(F.when(F.col("base"), F.col("start"))).over(order.rowsBetween(1, Window.unboundedFollowing))
+        back = Window.partitionBy(*keys).orderBy(F.desc("start"), "base", F.desc("end"))
+        following = F.min(F.when(F.col("base"), F.col("start"))).over(back.rowsBetween(Window.unboundedPreceding, -1))
         return F.coalesce(upto > F.col("start"), F.lit(False)) | F.coalesce(following < F.col("end"), F.lit(False))
 
     # Base spans of a kind don't overlap: of those that start no earlier, the first ends first.
-    later = Window.partitionBy("row", "kind").orderBy("start", "base", "end").rowsBetween(1, Window.unboundedFollowing)
+    back = Window.partitionBy("row", "kind").orderBy(F.desc("start"), F.desc("base"), F.desc("end"))
+    later = back.rowsBetween(Window.unboundedPreceding, -1)
     covers = F.coalesce(F.min(F.when(F.col("base"), F.col("end"))).over(later) <= F.col("end"), F.lit(False))
     marked = (
         some.withColumn("on_own", overlaps("row", "kind"))
@@ -332,21 +334,17 @@ def added_spans(spans: DataFrame) -> DataFrame:
     limit = F.lit(None).cast("double")
     for kind, value in limits.items():
         limit = F.when(F.col("kind") == kind, F.lit(value)).otherwise(limit)
-    return best_of_overlapping(scored.filter(F.col("label").isNull() & (F.col("score") >= limit)))
+    return joined(scored.filter(F.col("label").isNull() & (F.col("score") >= limit)))
 
 
-def best_of_overlapping(chosen: DataFrame) -> DataFrame:
-    """Of spans of a kind that overlap in a chain, the one with the highest score; the longer, then the first of equals."""
+def joined(chosen: DataFrame) -> DataFrame:
+    """Spans of a kind that overlap in a chain as one span, so that nothing of what was accepted is left out."""
     by_place = Window.partitionBy("row", "kind").orderBy("start", "end")
     reached = F.max("end").over(by_place.rowsBetween(Window.unboundedPreceding, -1))
     apart = F.coalesce(F.col("start") >= reached, F.lit(True)).cast("int")
     chained = chosen.withColumn("apart", apart).withColumn("chain", F.sum("apart").over(by_place))
-    best = F.max(F.struct("score", (F.col("end") - F.col("start")).alias("length"), (-F.col("start")).alias("first")))
-    found = chained.groupBy("row", "kind", "chain").agg(best.alias("best"))
-    start = -F.col("best.first")
-    return found.select(
-        "row", F.col("kind").cast("int"), start.alias("start"), (start + F.col("best.length")).alias("end")
-    )
+    found = chained.groupBy("row", "kind", "chain").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    return found.select("row", F.col("kind").cast("int"), "start", "end")
 
 
 def find_spans(docs: DataFrame, text: str = "text") -> DataFrame:
