@@ -336,6 +336,14 @@ def test_without_labels_the_forest_rejects_nothing(spark, sf_dir):
     assert judged.filter(F.col("kept") == F.col("base_failed")).isEmpty()
 
 
+@pytest.mark.parametrize("quality_", [0, 1])
+def test_labels_of_one_kind_reject_nothing(spark, sf_dir, quality_):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    labels = docs.select("doc_id", F.lit(quality_).alias("quality"), F.lit(0).alias("toxic"))
+    judged = quality.judge(docs, labels, ["doc_id"])
+    assert judged.filter(F.col("kept") == F.col("base_failed")).isEmpty()
+
+
 # Substring dedup.
 
 

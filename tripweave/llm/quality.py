@@ -6,7 +6,7 @@ The forest is grown on a bounded sample, its trees see ``TREE_ROWS`` documents e
 
 The threshold comes from the labelled documents: their scores are counted in bins by label over the whole table, and
 the lowest score is taken above which at most ``CLEAN_LOSS`` of the good documents lie. Only a threshold that separates
-is used: without labels, or if it would catch bad documents no more often than good ones, the forest rejects nothing.
+is used: without labels of both kinds on documents that pass the rules, or if it would catch bad documents no more often than good ones, the forest rejects nothing.
 
 Defined results: a null or empty text has no words and is rejected by the rules; a null id is scored like any other
 and has no label; a document with several labels counts once for each; rows that repeat are each scored; an empty table
@@ -232,6 +232,8 @@ def threshold(scored: DataFrame, labels: DataFrame, key: str, clean_loss: float
     count = {True: np.zeros(SCORE_BINS + 1), False: np.zeros(SCORE_BINS + 1)}
     for r in bins:
         count[r["good"]][r["bin"]] = r["count"]
+    if not (count[True].any() and count[False].any()):
+        return float("inf")
     above = {good: c[::-1].cumsum()[::-1] for good, c in count.items()}
     total = {good: max(c.sum(), 1) for good, c in count.items()}
     cut = int(np.flatnonzero(above[True] <= clean_loss * total[True])[0])
