@@ -223,6 +223,21 @@ def test_a_sample_keeps_all_columns_and_is_repeatable(spark, sf_dir):
     assert 0 < len(rows) < docs.count() and {r["topic"] for r in rows.values()} == {"kept"}
 
 
+def test_unnamed_languages_and_null_texts_are_sampled(spark):
+    rng = random.Random(11)
+    langs = ["en", "en", "en", "de", "fr", "es", "it", None]
+    rows = [(i, prose(rng, rng.randrange(20, 300)), langs[i % 8], "ab"[i // 8 % 2]) for i in range(1200)]
+    rows += [(1200 + i, None, "en", "a") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    topic = F.when(F.col("text").isNotNull(), "any")
+    got = mixing.mixed(docs.coalesce(1), queries.LANGUAGES, {"any": 1.0}, topic, 0.5, 0.7).toPandas()
+    assert (got["probability"] > 0).all()
+    drawn = (got["probability"] * got["tokens"]).groupby(got["language"]).sum()
+    share = got["tokens"].groupby(got["language"]).sum() / got["tokens"].sum()
+    assert drawn["*"] / drawn.sum() == pytest.approx(share["*"], rel=0.02)
+    assert got[got["language"] == "*"]["sampled"].any() and got[got["tokens"] == 0]["sampled"].any()
+
+
 # Personal data.
 
 

@@ -6,7 +6,8 @@ of sources are solved exactly in each sweep with that limit in place, those of l
 
 Sources may be many: their weights stay in a table with one row per source and one number per pair of language and
 topic class, and a sweep is one aggregation of it to one row. Languages and topics are those named in the targets; all
-others, null among them, form one class that gets what the named ones leave.
+others, null among them, form one class that gets what the named ones leave. If they leave nothing, that class keeps its
+share of all tokens, and the named targets are parts of the rest. A class without tokens has the mean factor.
 
 A source that has fewer tokens than its target is taken whole and falls short. A language or topic is never asked for
 more than nine tenths of its tokens; the others share what is left of its target. Targets of sources are their tokens to
@@ -31,6 +32,8 @@ MOST = 0.9
 # Sweeps at most, and how near the shares must come to their targets, as a part of each.
 SWEEPS = 60
 NEAR = 1e-5
+# Of the shares, what rounding may leave.
+NOTHING = 1e-9
 # Factors are moved somewhat further than one step alone would, which takes fewer sweeps.
 RELAX = 1.5
 # Steps of the uniform numbers that documents are drawn with.
@@ -62,6 +65,10 @@ def class_of(value: Column, targets: dict[str, float]) -> Column:
 def _shares(targets: dict[str, float], found: dict[str, float]) -> dict[str, float]:
     """Target shares of the classes that have tokens, adding up to one."""
     left = max(0.0, 1.0 - sum(targets.values()))
+    if left <= NOTHING and found.get(OTHER, 0.0) > 0:
+        left = found[OTHER] / sum(found.values())
+        named = sum(w for c, w in targets.items() if found.get(c, 0.0) > 0)
+        targets = {c: w * (1.0 - left) / named for c, w in targets.items()} if named else {}
     wanted = {c: targets.get(c, left if c == OTHER else 0.0) for c, tokens in found.items() if tokens > 0}
     total = sum(wanted.values())
     return {c: (w / total if total else 1.0 / len(wanted)) for c, w in wanted.items()}
@@ -176,6 +183,10 @@ def rake(
         )
         sweeps += 1
         if deviation <= NEAR or sweeps == SWEEPS:
+            for side in (0, 1):
+                own = margins(owned, side)
+                mean = sum(factors[side][c] * n for c, n in own.items()) / sum(own.values())
+                factors[side] = {c: f if own[c] else mean for c, f in factors[side].items()}
             return Mix(factors[0], factors[1], table.select("source", factor.alias("factor")), sweeps, deviation)
         for side in (0, 1):
             have = margins(cells, side)

@@ -40,7 +40,8 @@ def op3_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Target shares by language and topic; what is named in neither shares the rest.
+# Target shares by language and topic; they leave nothing, so what is named in neither
+# keeps its share of the tokens.
 LANGUAGES = {"en": 0.5, "de": 0.2, "fr": 0.2, "es": 0.1}
 TOPICS = {"contact": 0.1, "short": 0.1, "long": 0.8}
 # The part of all tokens to sample, and the power of a source's tokens that is its target.
