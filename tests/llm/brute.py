@@ -181,3 +181,101 @@ def simhash(docs, shingle=3, distance=3):
 
 def sizes(docs):
     return [(d, len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for d, t in docs]
+
+
+def in_turns(rows):
+    """Conversation by id: its (role, text) in order of turn, nulls first; ties must be equal rows."""
+    held = defaultdict(list)
+    for conv, turn, role, text in rows:
+        held[conv].append((turn is not None, turn or 0, role or "", text or ""))
+    return {c: [(role, text) for _, _, role, text in sorted(turns)] for c, turns in held.items()}
+
+
+def chats(rows):
+    """(conv_id, n_turns, turns_sha256, loss_chars, loss_sha256) of every conversation and the planted one."""
+    said = "</s>[INST] ok [/INST]"
+    out = []
+    for c, turns in in_turns([*rows, (-7, 0, "user", said), (-7, 1, "assistant", said)]).items():
+        learnt = "".join(text for role, text in turns if role == "assistant")
+        digest = sha256("".join(f"{role}\n{text}\n" for role, text in turns))
+        out.append((c, len(turns), digest, len(learnt), sha256(learnt)))
+    return out
+
+
+def rebuilt(rows):
+    turns = in_turns(r for r in rows if r[0] is not None)
+    out = {}
+    for c, own in turns.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        base = c - int(math.fmod(c, 5))  # of an id below zero, as in SQL, the multiple above it
+        out[c] = turns.get(base, [])[:h] + own[h:]
+    return out
+
+
+def trie(convs):
+    """Every node's contract columns, from all prefixes of all conversations."""
+    members, ends = defaultdict(list), defaultdict(list)
+    for c, turns in convs.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(c)
+        ends[tuple(turns)].append(c)
+    children = Counter(p[:-1] for p in members if p)
+    leaves, saved = Counter(), Counter()
+    for p, own in members.items():
+        for d in range(len(p) + 1):
+            leaves[p[:d]] += not children[p]
+            saved[p[:d]] += (len(own) - 1) * len(p[-1][1].encode()) if p else 0
+    return [
+        (min(own), len(p), min(members[p[:-1]]) if p else None, len(own), children[p], leaves[p], saved[p])
+        + (sha256(",".join(map(str, sorted(ends[p])))),)
+        for p, own in members.items()
+    ]
+
+
+def smallest_period(words):
+    return next(q for q in range(1, len(words) + 1) if all(a == b for a, b in zip(words, words[q:], strict=False)))
+
+
+def runs(words, powers=4, least=6):
+    """(start, length, period) of every run, by comparing at every distance."""
+    out = []
+    for q in range(1, len(words) // powers + 1):
+        i = 0
+        while i + q < len(words):
+            start = i
+            while i + q < len(words) and words[i] == words[i + q]:
+                i += 1
+            length = i + q - start
+            if length >= max(least, powers * q) and smallest_period(words[start : start + length]) == q:
+                out.append((start, length, q))
+            i += i == start
+    return sorted(out)
+
+
+def planted_runs(doc_id, text):
+    words = WORD.findall(text or "")
+    n, h = len(words), 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h % 10 == 0 and n:
+        g = h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+    return words
+
+
+def periodic_runs(docs):
+    """The contract columns of every document."""
+    out = []
+    for doc_id, text in docs:
+        words = planted_runs(doc_id, text)
+        found = runs(words)
+        gone = {i for start, length, q in found for i in range(start + q, start + length)}
+        best = None
+        for run in found:
+            if best is None or run[1] * best[2] > best[1] * run[2]:
+                best = run
+        shown = (*best, 1000 * best[1] // best[2]) if best else (None,) * 4
+        listed = "".join("%d,%d,%d\n" % run for run in found)
+        kept = " ".join(w for i, w in enumerate(words) if i not in gone)
+        out.append((doc_id, len(found), *shown, sha256(listed), sha256(kept)))
+    return out

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,3 +38,13 @@ def drop_staged(df: DataFrame) -> None:
 def texts_of(column: pa.Array) -> list[bytes]:
     """The UTF-8 bytes of a string column; null becomes empty."""
     return [b"" if v is None else v for v in column.cast(pa.binary()).to_pylist()]
+
+
+def text_slices(batch: pa.RecordBatch, column: int, at_once: int) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of about ``at_once`` bytes of text; a longer text is a slice of its own. No row, no slice."""
+    size = pa.compute.fill_null(pa.compute.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False)
+    number = np.cumsum(size, dtype=np.int64) // at_once
+    cuts = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        if a < b:
+            yield batch.slice(a, b - a)

@@ -54,9 +54,72 @@ WITH vectors AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 *
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
 FROM scored QUALIFY rank <= 10"""
 
+# The turns as the template writes them: an attachment's notation counts as its placeholder.
+ENDINGS = {"IMG": "png|jpe?g|gif|webp", "AUDIO": "mp3|wav|flac|ogg", "DOC": "pdf|docx?|txt|csv"}
+
+
+def _escaped(text: str) -> str:
+    doubled = f"replace({text}, '\\', '\\\\')"
+    angle = f"regexp_replace({doubled}, '<(/s>)', '<\\\\\\1', 'g')"
+    return f"regexp_replace({angle}, '\\[(/?INST\\]|/?ROLE\\]|IMG\\]|AUDIO\\]|DOC\\])', '[\\\\\\1', 'g')"
+
+
+def _attachments(text: str) -> str:
+    for mark, endings in ENDINGS.items():
+        by = "\x01" * (len(mark) + 2)
+        text = f"regexp_replace({text}, '!\\[[^\\]\\n]*\\]\\([^)\\s]+\\.({endings})\\)', '{by}', 'g')"
+    return text
+
+
+OP11 = f"""
+WITH said AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+ written AS (SELECT *, {_escaped(_attachments("text"))} AS content, {_escaped("role")} AS name FROM said),
+ formatted AS (SELECT *, CASE role WHEN 'user' THEN '[INST]' || content || '[/INST]' WHEN 'assistant' THEN content || '</s>'
+  ELSE '[ROLE]' || name || '[/ROLE]' || content || '</s>' END AS formatted FROM written)
+SELECT conv_id, count(*) AS n_turns,
+ sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, formatted)) AS turns_sha256,
+ CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+ sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, formatted) FILTER (role = 'assistant'), '')) AS loss_sha256,
+ CAST(sum(length(formatted)) AS BIGINT) AS formatted_chars
+FROM formatted GROUP BY conv_id"""
+
+# The checksum of the decimal id, bit by bit; every conversation's prefixes as texts.
+CRC32 = """xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+  list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+  lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)))"""
+OP12 = f"""
+WITH hashed AS (SELECT conv_id, turn, octet_length(encode(coalesce(text, ''))) AS size,
+  sha256(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest
+  FROM conversations WHERE conv_id IS NOT NULL),
+ placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) AS k FROM hashed),
+ ids AS (SELECT conv_id, {CRC32} % 9 AS h FROM (SELECT DISTINCT conv_id FROM placed)),
+ rebuilt AS (SELECT i.conv_id, p.k, p.digest, p.size FROM ids i JOIN placed p
+   ON p.conv_id = i.conv_id - i.conv_id % 5 AND p.k <= i.h
+  UNION ALL SELECT i.conv_id, p.k, p.digest, p.size FROM ids i JOIN placed p ON p.conv_id = i.conv_id AND p.k > i.h),
+ prefixes AS (SELECT conv_id, row_number() OVER w AS depth, size,
+   md5(string_agg(digest, '') OVER (PARTITION BY conv_id ORDER BY k)) AS prefix,
+   row_number() OVER w = count(*) OVER (PARTITION BY conv_id) AS is_end
+  FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY k)
+  UNION ALL SELECT i.conv_id, 0, 0, 'root', NOT EXISTS (SELECT 1 FROM rebuilt r WHERE r.conv_id = i.conv_id) FROM ids i),
+ nodes AS (SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(size) AS size,
+   sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (is_end), '')) AS ends_sha256
+  FROM prefixes GROUP BY prefix, depth),
+ tied AS (SELECT n.*, p.prefix AS parent_prefix FROM nodes n LEFT JOIN prefixes p
+   ON p.conv_id = n.conv_id AND p.depth = n.depth - 1),
+ counted AS (SELECT t.*, u.conv_id AS parent_conv_id, (SELECT count(*) FROM tied c WHERE c.parent_prefix = t.prefix) AS n_children
+  FROM tied t LEFT JOIN nodes u ON u.prefix = t.parent_prefix),
+ above AS (SELECT p.prefix, count(*) FILTER (c.n_children = 0) AS n_leaves, sum((c.n_convs - 1) * c.size) AS saved
+  FROM counted c JOIN prefixes p ON p.conv_id = c.conv_id AND p.depth <= c.depth GROUP BY p.prefix)
+SELECT c.conv_id, CAST(c.depth AS BIGINT) AS depth, c.parent_conv_id, c.n_convs, c.n_children, a.n_leaves,
+ CAST(a.saved AS BIGINT) AS saved_tokens, c.ends_sha256
+FROM counted c JOIN above a ON a.prefix = c.prefix"""
+
 ORACLES = {
     "op2_line_dedup": OP2,
     "op3_warc_zip": OP3,
     "op7_substring_dedup": OP7,
     "op8_topk": OP8,
+    "op11_chat_format": OP11,
+    "op12_prefix_trie": OP12,
 }

@@ -5,9 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripweave.llm import line_dedup, mixing, packing, pii, quality, sharding, simhash, substring_dedup, topk, warc_zip
+from tripweave.llm import (
+    chat_format,
+    line_dedup,
+    mixing,
+    packing,
+    periodic_runs,
+    pii,
+    prefix_trie,
+    quality,
+    sharding,
+    simhash,
+    substring_dedup,
+    topk,
+    warc_zip,
+)
 from tripweave.llm.common import table
 from tripweave.llm.oracle import ORACLES as ORACLES
+from tripweave.session import stage
 
 # The sequence length and the vocabulary of the packed corpus.
 SEQUENCE_TOKENS = 4096
@@ -109,6 +124,75 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    planted = spark.createDataFrame(
+        [(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string"
+    )
+    turns = table(spark, sf_dir, "conversations").select(*planted.columns).unionByName(planted)
+    return chat_format.read_back(chat_format.format_turns(turns))
+
+
+def with_shared_openings(paths: DataFrame) -> DataFrame:
+    """Conversations that begin with up to eight turns of the one whose id is the multiple of five next to theirs towards zero."""
+    at_most = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9).cast("int")
+    base = paths.filter(F.col("conv_id") % 5 == 0).select(
+        F.col("conv_id").alias("_base"), F.slice("turns", 1, 8).alias("_opening")
+    )
+    opening = F.coalesce("_opening", F.slice("turns", 1, 0))
+    return (
+        paths.withColumn("_base", F.col("conv_id") - F.col("conv_id") % 5)
+        .join(base, "_base", "left")
+        .select("conv_id", F.concat(F.slice(opening, 1, at_most), F.slice("turns", at_most + 1, F.size("turns"))).alias("turns"))
+    )
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = stage(prefix_trie.paths(table(spark, sf_dir, "conversations")), "conversation-paths")
+    return prefix_trie.prefix_trie(with_shared_openings(paths))
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """Every tenth document, by the checksum of its id, repeats a stretch of its words up to its end."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = docs.select(
+        "doc_id",
+        F.col("text").cast("string").alias("text"),
+        h.alias("_h"),
+        F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"))).alias("_words"),
+    )
+    g, n = F.floor(F.col("_h") / 10), F.size("_words")
+    placed = words.withColumn("_a", F.when(n > 0, (g % n).cast("int"))).withColumn(
+        "_p", F.when(n > 0, (1 + F.floor((n - F.col("_a")) / (3 + g % 8))).cast("int"))
+    )
+    a, p = F.col("_a"), F.col("_p")
+    times = F.ceil((n - a) / p).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice("_words", a + 1, p), times)), 1, n - a)
+    repeated = F.concat_ws(" ", F.slice("_words", 1, a), tail)
+    return placed.select("doc_id", F.when(a.isNotNull(), repeated).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.collapse_runs(with_planted_runs(table(spark, sf_dir, "documents")), powers=4, min_words=6)
+    longer = lambda r, best: r["length"] * best["period"] > best["length"] * r["period"]
+    best = F.aggregate(
+        F.slice("runs", 2, F.greatest(F.size("runs"), F.lit(1))),
+        F.get("runs", F.lit(0)),
+        lambda best, r: F.when(longer(r, best), r).otherwise(best),
+    )
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("kept", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_line_dedup": op2_line_dedup,
@@ -120,4 +204,7 @@ QUERIES = {
     "op8_topk": op8_topk,
     "op9_simhash": op9_simhash,
     "op10_sharding": op10_sharding,
+    "op11_chat_format": op11_chat_format,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_periodic_runs": op13_periodic_runs,
 }
