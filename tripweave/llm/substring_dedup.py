@@ -45,8 +45,11 @@ COVERS = {
 }
 # An anchor has so many words at least, if the window allows it.
 ANCHOR_WORDS = 8
-# Neighbouring rows that are worked on together.
+# Neighbouring rows that are worked on together, and the bytes beyond which a text is worked on alone.
 CHUNK_ROWS = 256
+LONG_TEXT = 1 << 18
+# Short chunk numbers, which the marks carry.
+CHUNK_NUMBERS = 2**31
 # Multipliers of two independent rolling hashes, odd 64-bit numbers.
 FIRST, SECOND = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 LAST_ID = 2**63 - 1
@@ -79,9 +82,9 @@ def rolling(words: np.ndarray, length: int, multiplier: int) -> np.ndarray:
 class Chunk:
     """The words of neighbouring documents in one row of hashes, and which runs of them lie in one document."""
 
-    def __init__(self, table: pa.Table, window: int, copies: set[int] = frozenset()):
+    def __init__(self, table: pa.Table, window: int, copies: set[tuple[int, int]] = frozenset()):
         self.window = window
-        self.rows = table["row"].to_pylist()
+        self.rows = list(zip(table["row"].to_pylist(), table["whole"].to_pylist(), strict=True))
         self.ids = table["doc_id"].to_pylist()
         self.texts = texts_of(table["text"].combine_chunks())
         digest, hashes, size = xxhash.xxh3_64_intdigest, [], []
@@ -162,30 +165,33 @@ class Chunk:
 
 
 def chunked(docs: DataFrame, text: str) -> DataFrame:
-    """Chunk, row in its file, id and text of every document; tables that are not stored are stored first."""
+    """Chunk, its whole number, row in its file, id and text of every document; tables that are not stored are stored first."""
     rows = docs.select(F.col("doc_id").cast("bigint"), F.col(text).cast("string").alias("text"))
     try:
+        own = F.col(text).cast("string")
+        alone = F.when(F.octet_length(own) > LONG_TEXT, F.col("_metadata.row_index"))
+        together = F.floor(F.col("_metadata.row_index") / CHUNK_ROWS)
         placed = docs.select(
-            F.xxhash64("_metadata.file_path", F.floor(F.col("_metadata.row_index") / CHUNK_ROWS)).alias("_chunk"),
+            F.xxhash64("_metadata.file_path", together, alone).alias("whole"),
             F.col("_metadata.row_index").alias("row"),
             F.col("doc_id").cast("bigint"),
-            F.col(text).cast("string").alias("text"),
+            own.alias("text"),
         )
     except AnalysisException:
         return chunked(stage(rows, "texts"), "text")
-    # Chunks that share a short number are worked on together, which changes no result.
-    return placed.withColumn("chunk", F.pmod(F.col("_chunk"), F.lit(2**31)).cast("int")).drop("_chunk")
+    # Chunks that share a short number are worked on together; their rows differ in the whole number.
+    return placed.withColumn("chunk", F.pmod(F.col("whole"), F.lit(CHUNK_NUMBERS)).cast("int"))
 
 
 def whole_copies(docs: DataFrame) -> DataFrame:
     """Rows whose whole text a smaller id has too."""
     order = F.coalesce("doc_id", F.lit(LAST_ID))
     keyed = docs.filter(F.length("text") > 0).select(
-        "chunk", "row", order.alias("id"), *[F.xxhash64(F.lit(i), "text").alias(f"t{i}") for i in (0, 1)]
+        "chunk", "row", "whole", order.alias("id"), *[F.xxhash64(F.lit(i), "text").alias(f"t{i}") for i in (0, 1)]
     )
     first = keyed.groupBy("t0", "t1").agg(F.min("id").alias("first"), F.count("*").alias("n")).filter("n > 1")
     copies = keyed.join(first, ["t0", "t1"]).filter(F.col("id") > F.col("first"))
-    return copies.select("chunk", F.lit(0).alias("kind"), F.col("row").alias("a"), F.lit(0).cast("bigint").alias("b"))
+    return copies.select("chunk", F.lit(0).alias("kind"), F.col("row").alias("a"), F.col("whole").alias("b"))
 
 
 def _marks(table: pa.Table, kind: int) -> tuple[np.ndarray, np.ndarray]:
@@ -202,7 +208,8 @@ def remove_repeats(docs: DataFrame, window: int = 20, text: str = "text") -> Dat
         return rows.groupBy("chunk").cogroup(marks.groupBy("chunk"))
 
     def chunk_of(left: pa.Table, right: pa.Table) -> Chunk:
-        return Chunk(left, window, set(_marks(right, 0)[0].tolist()))
+        row, whole = _marks(right, 0)
+        return Chunk(left, window, set(zip(row.tolist(), whole.tolist(), strict=True)))
 
     def send_anchors(left: pa.Table, right: pa.Table) -> pa.Table:
         number = left["chunk"][0].as_py() if left.num_rows else 0
