@@ -6,9 +6,11 @@ score wide. Then the rows above the k-th value are filtered out, and of the rows
 smallest ids, as many as are missing. A task reports bins from its top down to its own k-th row only, since the global
 k-th value is never below it.
 
-Vectors become whole numbers, so scores are exact in any order of summation.
+Vectors become whole numbers, so scores are exact in any order of summation. Scores come from a matrix product of
+doubles; a pair whose lengths allow a score beyond 53 bits is taken out and summed in 64-bit or, beyond those, in
+unbounded whole numbers. A few vectors with large components therefore cost their own pairs more and nothing else.
 
-Defined results: vectors that are null or hold null or non-finite components and candidates without an id take no part; empty vectors score zero
+Defined results: a score beyond the range of a long counts as the largest or smallest long but two; vectors that are null or hold null or non-finite components and candidates without an id take no part; empty vectors score zero
 among themselves; vectors of different lengths are not compared; of rows that repeat a query's id one asks, the smallest
 vector, and none of them is its candidate; repeated candidate rows each count; an empty table gives no rows; other
 columns are not read.
@@ -37,6 +39,11 @@ BINS = 1024
 ROWS_AT_ONCE = 2048
 # Whole numbers up to here are exact as doubles, so sums of products may be taken by matrix products of doubles.
 EXACT = 2**53
+# Sums of products up to here fit 64 bits, with room for the rounding of the bound; the largest score kept apart
+# from the mark of a query's own row; pairs that are summed at once.
+LONG_SAFE = 2.0**62
+LARGEST = 2**63 - 3
+PAIRS_AT_ONCE = 1 << 16
 
 RESULT = "query_id long, rank int, vec_id long, score long"
 
@@ -48,8 +55,10 @@ def whole(column: pa.Array, scale: float) -> Iterator[tuple[np.ndarray, np.ndarr
         at = np.flatnonzero(sizes == size)
         flat = column.take(pa.array(at)).flatten().cast(pa.float64())
         matrix = flat.to_numpy(zero_copy_only=False).reshape(len(at), size)  # null components become NaN
-        good = np.isfinite(matrix).all(axis=1)
-        yield at[good], np.floor(scale * matrix[good])
+        with np.errstate(over="ignore"):
+            scaled = np.floor(scale * matrix)
+        good = np.isfinite(scaled).all(axis=1)
+        yield at[good], scaled[good]
 
 
 def whole_vectors(rows: DataFrame, scale: float, vector: str) -> DataFrame:
@@ -69,19 +78,48 @@ def whole_vectors(rows: DataFrame, scale: float, vector: str) -> DataFrame:
     )
 
 
+def lengths(vectors: np.ndarray) -> np.ndarray:
+    """Euclidean lengths; squares beyond the range of doubles stay out of reach by scaling."""
+    largest = np.abs(vectors).max(axis=1, initial=1.0)
+    return largest * np.sqrt(((vectors / largest[:, None]) ** 2).sum(axis=1))
+
+
+def inner_products(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Exact inner products of whole-number vectors, by query and row."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        limit = lengths(queries)[:, None] * lengths(rows)[None, :] * (1 + 1e-9)
+        far = limit >= EXACT
+        score = np.where(far, 0, queries @ rows.T).astype(np.int64)
+        pairs = np.argwhere(far)
+        for a in range(0, len(pairs), PAIRS_AT_ONCE):
+            q, r = pairs[a : a + PAIRS_AT_ONCE].T
+            wide = limit[q, r] >= LONG_SAFE
+            short_q, short_r = q[~wide], r[~wide]
+            # A length below the bound bounds every component, or the other vector is zero.
+            left, right = (np.clip(x, -LONG_SAFE, LONG_SAFE).astype(np.int64) for x in (queries[short_q], rows[short_r]))
+            score[short_q, short_r] = (left * right).sum(axis=1)
+            for i, j in zip(q[wide].tolist(), r[wide].tolist(), strict=True):
+                exact = sum(int(x) * int(y) for x, y in zip(queries[i].tolist(), rows[j].tolist(), strict=True))
+                score[i, j] = max(-LARGEST, min(LARGEST, exact))
+    return score
+
+
 class Block:
-    """Queries of one length: ids, vectors, and the interval that holds the k-th score of each."""
+    """Queries of one length: ids, vectors, and the interval that holds the k-th score of each, ends included."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, longest: float, k: int):
         self.ids, self.vectors = ids, vectors
-        norms = np.sqrt((vectors * vectors).sum(axis=1))
-        bound = np.floor(norms * longest).astype(np.int64) + 1
-        if len(bound) and bound.max() >= EXACT:
-            raise OverflowError("inner products are beyond 53 bits")
-        self.low, self.high = -bound, bound + 1
-        self.width = np.maximum(1, -(-(self.high - self.low) // BINS))
+        bound = [min(LARGEST, int(min(n * longest, 2.0**63)) + 1) for n in lengths(vectors).tolist()]
+        self.low = np.array([-b for b in bound], dtype=np.int64)
+        self.high = np.array(bound, dtype=np.int64)
+        self.width = np.array([2 * b // BINS + 1 for b in bound], dtype=np.int64)
         self.missing = np.full(len(ids), k)
 
+    def bins(self, score: np.ndarray) -> np.ndarray:
+        """The bin of each score of the interval: bins begin at multiples of the width."""
+        width = np.maximum(1, self.width)[:, None]
+        return score // width - self.low[:, None] // width
+
     def scores(self, batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Candidate ids and their scores by query, in pieces; a query's own id scores below every interval."""
         for at, matrix in whole(batch[1], 1.0):
@@ -91,7 +129,7 @@ class Block:
             known = batch[0].is_valid().to_numpy(zero_copy_only=False)[at]
             for a in range(0, len(at), ROWS_AT_ONCE):
                 part = ids[a : a + ROWS_AT_ONCE]
-                score = (self.vectors @ matrix[a : a + ROWS_AT_ONCE].T).astype(np.int64)
+                score = inner_products(self.vectors, matrix[a : a + ROWS_AT_ONCE])
                 own = (part[None, :] == self.ids[:, None]) | ~known[None, a : a + ROWS_AT_ONCE]
                 score[own] = np.iinfo(np.int64).min
                 yield part, score
@@ -101,13 +139,12 @@ def histograms(candidates: DataFrame, b: Block) -> DataFrame:
     """Counts per query and bin of its interval, from the top down to each task's own k-th row."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((len(b.ids), BINS), dtype=np.int64)
-        rows = np.arange(len(b.ids))[:, None] * BINS
+        counts = np.zeros((len(b.ids), BINS + 2), dtype=np.int64)
+        rows = np.arange(len(b.ids))[:, None] * counts.shape[1]
         for batch in batches:
             for _, score in b.scores(batch):
-                inside = (score >= b.low[:, None]) & (score < b.high[:, None])
-                bins = (score - b.low[:, None]) // np.maximum(b.width, 1)[:, None]
-                counts += np.bincount((rows + bins)[inside], minlength=counts.size).reshape(counts.shape)
+                inside = (score >= b.low[:, None]) & (score <= b.high[:, None])
+                counts += np.bincount((rows + b.bins(score))[inside], minlength=counts.size).reshape(counts.shape)
         above = counts[:, ::-1].cumsum(axis=1)[:, ::-1] - counts
         query, bin_ = np.nonzero((counts > 0) & (above < b.missing[:, None]))
         yield pa.RecordBatch.from_arrays(
@@ -145,10 +182,12 @@ def refine(candidates: DataFrame, block: Block) -> None:
                 continue
             r = kth[i]
             block.missing[i] -= r["upto"] - r["n"]
-            block.low[i] += r["bin"] * block.width[i]
-            block.high[i] = min(block.high[i], block.low[i] + block.width[i])
-            open_[i] = block.width[i] > 1
-            block.width[i] = max(1, -(-block.width[i] // BINS))
+            width = int(block.width[i])
+            first = (int(block.low[i]) // width + r["bin"]) * width
+            block.low[i] = max(int(block.low[i]), first)
+            block.high[i] = min(int(block.high[i]), first + width - 1)
+            open_[i] = block.low[i] < block.high[i]
+            block.width[i] = max(1, -(-width // BINS))
 
 
 def selected(candidates: DataFrame, b: Block) -> DataFrame:
@@ -184,7 +223,8 @@ def top_k(rows: DataFrame, is_query: Column, k: int, scale: float = 1024.0, vect
         candidates.filter(is_query & F.col("vec_id").isNotNull()).groupBy("vec_id").agg(F.min("vector").alias("vector")),
         "query-vectors",
     )
-    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))
+    # No vector is longer than its largest component times the root of their number.
+    norm = F.array_max(F.transform("vector", F.abs)) * F.sqrt(F.size("vector"))
     longest = candidates.agg(F.max(norm)).first()[0] or 0.0
     n_blocks = -(-queries.count() // QUERY_BLOCK)
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
