@@ -194,9 +194,10 @@ def place(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, n
     offset = np.zeros(len(lengths), dtype=np.int64)
     for i, size in enumerate(lengths.tolist()):
         before = count[size:]
-        # Moving a bin from gap g to g - size changes the sum of squares by 2 (N[g - size] - N[g] + 1).
-        change = np.where(before > 0, count[: capacity + 1 - size] - before, capacity * len(lengths) + 1)
-        change[0] = change[0] - 1 if before[0] else change[0]
+        # Moving a bin from gap g to g - size changes the sum of squares by 2 (N[g - size] - N[g] + 1), closing it
+        # by 1 - 2 N[size].
+        change = np.where(before > 0, 2 * (count[: capacity + 1 - size] - before + 1), 4 * len(lengths) + 4)
+        change[0] = 1 - 2 * before[0] if before[0] else change[0]
         best = int(change.argmin())
         gap = size + best
         if before[best]:
