@@ -23,9 +23,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def row_key(*columns: str) -> list[Column]:
-    """A 128-bit content key of the named columns; never null, and null differs from every value."""
-    parts = [c for name in columns for c in (F.col(name).isNull(), F.col(name))]
+def column(name: str) -> Column:
+    """A top-level column by its name, whatever characters the name holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def row_key(df: DataFrame) -> list[Column]:
+    """A 128-bit content key of the rows; never null, and null differs from every value.
+
+    Columns whose types have no hash (maps, variants, also inside others) enter as JSON text.
+    """
+    parts = []
+    for field in df.schema:
+        own = column(field.name)
+        kind = field.dataType.simpleString()
+        hashed = F.to_json(F.struct(own.alias("_"))) if "map<" in kind or "variant" in kind else own
+        parts += [own.isNull(), hashed]
     return [F.xxhash64(F.lit(seed), *parts).alias(name) for seed, name in enumerate(ROW_KEY)]
 
 

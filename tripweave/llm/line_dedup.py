@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripweave.llm.common import ROW_KEY, drop_staged, row_key, texts_of
+from tripweave.llm.common import ROW_KEY, column, drop_staged, row_key, texts_of
 from tripweave.session import scratch_path, stage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -62,7 +62,7 @@ def document_lines(docs: DataFrame, text: str, min_chars: int) -> DataFrame:
             columns += [pa.array(hashes[:, i].astype(np.int64)) for i in (0, 1)]
             yield pa.RecordBatch.from_arrays(columns, [*ROW_KEY, *LINE])
 
-    return docs.select(*row_key(*docs.columns), F.col(text).cast("string").alias("_text")).mapInArrow(
+    return docs.select(*row_key(docs), F.col(text).cast("string").alias("_text")).mapInArrow(
         lines, ", ".join(f"{c} long" for c in [*ROW_KEY, *LINE])
     )
 
@@ -180,6 +180,6 @@ def dedup_lines(
                 arrays += [pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())]
             yield pa.RecordBatch.from_arrays(arrays, kept.names)
 
-    named = {f"_{i}": F.col(f"`{c}`") for i, c in enumerate(columns)}
-    keyed = docs.select(*[c.alias(n) for n, c in named.items()], *row_key(*docs.columns))
+    named = {f"_{i}": column(c) for i, c in enumerate(columns)}
+    keyed = docs.select(*[c.alias(n) for n, c in named.items()], *row_key(docs))
     return keyed.join(dropped, ROW_KEY, "left").select(*named, "_dropped").mapInArrow(drop, kept)

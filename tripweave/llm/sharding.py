@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripweave.llm.common import ROW_KEY, drop_staged, row_key
+from tripweave.llm.common import ROW_KEY, column, drop_staged, row_key
 from tripweave.session import stage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -45,8 +45,8 @@ WHOLE_GROUP = 0.04
 KEY = ["_hash", "_id", "_row"]
 
 
-def sized(docs: DataFrame, text: str) -> DataFrame:
-    """Key, size and checksum of every row; the texts stay behind."""
+def sized(docs: DataFrame, text: str, more: list[Column]) -> DataFrame:
+    """Key, size and checksum of every row, and ``more``; the texts stay behind."""
     content = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
@@ -54,7 +54,7 @@ def sized(docs: DataFrame, text: str) -> DataFrame:
         F.crc32(content.cast("binary")).alias("text_crc32"),
         F.xxhash64(content).alias("_hash"),
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63))).alias("_id"),
-        *row_key(*docs.columns),
+        *more,
     )
     return rows.withColumn("_row", F.monotonically_increasing_id())
 
@@ -154,9 +154,9 @@ def whole_groups(rows: DataFrame, cuts: list[int], shard_bytes: float) -> list[i
     return moved
 
 
-def shards(docs: DataFrame, n_shards: int, text: str = "text") -> DataFrame:
-    """Row key, id, size, checksum, shard and gapless slot of every row."""
-    rows = stage(sized(docs, text), "sized")
+def shards(docs: DataFrame, n_shards: int, text: str = "text", more: list[Column] | None = None) -> DataFrame:
+    """Id, size, checksum, shard and gapless slot of every row, and what ``more`` gives of it."""
+    rows = stage(sized(docs, text, more or []), "sized")
     total, n = rows.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
     if not n:
         return rows.withColumns({"shard": F.lit(0), "slot": F.lit(0).cast("bigint")}).drop(*KEY)
@@ -173,8 +173,8 @@ def shards(docs: DataFrame, n_shards: int, text: str = "text") -> DataFrame:
 
 def write_shards(docs: DataFrame, n_shards: int, path: str, text: str = "text") -> None:
     """Write the rows themselves, one folder for each shard, in the order of their slots."""
-    place = shards(docs, n_shards, text).select(*ROW_KEY, F.struct("shard", "slot").alias("_place")).dropDuplicates(ROW_KEY)
-    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"), *row_key(*docs.columns))
+    place = shards(docs, n_shards, text, row_key(docs)).select(*ROW_KEY, F.struct("shard", "slot").alias("_place")).dropDuplicates(ROW_KEY)
+    keyed = docs.select(F.struct(*[column(c) for c in docs.columns]).alias("document"), *row_key(docs))
     (
         keyed.join(place, ROW_KEY)
         .select("document", "_place.*")

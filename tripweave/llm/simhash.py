@@ -25,7 +25,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import ROW_KEY, row_key, texts_of
+from tripweave.llm.common import ROW_KEY, column, row_key, texts_of
 from tripweave.llm.components import components
 from tripweave.session import stage
 
@@ -71,7 +71,7 @@ def fingerprints(docs: DataFrame, shingle: int, text: str = "text") -> DataFrame
                 [batch[0], batch[1], batch[2], pa.array(bits, pa.int64())], [*ROW_KEY, "doc_id", "fingerprint"]
             )
 
-    return docs.select(*row_key(*docs.columns), F.col("doc_id").cast("bigint"), F.col(text).cast("string")).mapInArrow(
+    return docs.select(*row_key(docs), F.col("doc_id").cast("bigint"), F.col(text).cast("string")).mapInArrow(
         compute, "_k1 long, _k2 long, doc_id long, fingerprint long"
     )
 
@@ -177,9 +177,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3, text:
 
 def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 3, text: str = "text") -> DataFrame:
     """``docs`` with one document of each group: that with the smallest id; of several such rows, one."""
-    columns = docs.columns
     found = near_duplicates(docs, shingle, distance, text)
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", *ROW_KEY))
     chosen = found.groupBy("component").agg(first.alias("_first")).select("_first.*").select(*ROW_KEY)
-    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_doc"), *row_key(*columns))
+    keyed = docs.select(F.struct(*[column(c) for c in docs.columns]).alias("_doc"), *row_key(docs))
     return keyed.join(chosen, ROW_KEY, "left_semi").dropDuplicates(ROW_KEY).select("_doc.*")
