@@ -55,6 +55,10 @@ def odd(spark, tmp_path_factory):
     docs = spark.createDataFrame(rows, DOCS)
     for name in CLASHING:
         docs = docs.withColumn(name, F.lit("x"))
+    # Names with dots and backticks, and types that have no hash.
+    docs = docs.withColumns(
+        {"a.b": F.lit(1), "c`d": F.lit(2), "tags": F.create_map(F.lit("k"), "lang")}
+    ).withColumn("nested", F.array(F.struct("tags")))
     docs.repartition(3).write.parquet(f"{folder}/documents.parquet")
     labels = [(i, [1, 0, None][i % 3], 0) for i in range(40)] + [(None, 1, 0)]
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")

@@ -53,6 +53,30 @@ def test_assembled_sequences_hold_the_tokens_in_order(spark):
         assert r["length"] == len(want) <= 256
 
 
+def squares(bins, capacity):
+    counts = Counter(capacity - sum(b) for b in bins)
+    return sum(n * n for gap, n in counts.items() if gap)
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_pieces_go_where_the_sum_of_squares_becomes_smallest(seed):
+    rng = random.Random(seed)
+    capacity = rng.choice([10, 16, 40])
+    lengths = [rng.randrange(1, capacity + 1) for _ in range(60)]
+    bins = []
+    for size in lengths:
+        choices = []
+        for b in bins:
+            if capacity - sum(b) >= size:
+                b.append(size)
+                choices.append((squares(bins, capacity), capacity - sum(b), b))
+                b.pop()
+        best = min(choices, key=lambda c: c[:2])[2] if choices else bins.append([]) or bins[-1]
+        best.append(size)
+    _, _, gap = packing.place(np.array(lengths), capacity)
+    assert Counter(gap.tolist()) == Counter(capacity - sum(b) for b in bins)
+
+
 def test_many_groups_pack_as_well_as_one(spark):
     rng = random.Random(2)
     lengths = [rng.randrange(1, 700) for _ in range(3000)]
@@ -518,3 +542,40 @@ def test_written_shards_hold_the_rows_in_order(spark, tmp_path):
     assert Counter(tuple(r["document"]) for r in back.collect()) == Counter(rows)
     place = {r["doc_id"]: (r["shard"], r["slot"]) for r in sharding.shards(docs, 5).collect() if r["doc_id"] != 3}
     assert all(place[r["document"]["doc_id"]] == (r["shard"], r["slot"]) for r in back.collect() if r["document"]["doc_id"] != 3)
+
+
+def test_chunks_with_one_number_lose_no_text(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "CHUNK_NUMBERS", 1)
+    monkeypatch.setattr(substring_dedup, "LONG_TEXT", 2000)
+    rng = random.Random(31)
+    copied, longer = prose(rng, 30), prose(rng, 900)
+    rows = [(i, prose(rng, 30)) for i in range(12)] + [(20, copied), (21, copied), (22, longer), (23, "x " + longer)]
+    for i in range(4):
+        spark.createDataFrame(rows[i::4], DOCS).coalesce(1).write.mode("append").parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    got = substring_dedup.remove_repeats(docs, 20).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256))
+    assert Counter(tuple(r) for r in got.collect()) == Counter(brute.remove_repeats(rows))
+
+
+@pytest.mark.parametrize("large", [1e6, 1e9, 1e30])
+def test_large_components_change_no_other_score(spark, large):
+    rng = random.Random(32)
+    rows = [(i, [rng.uniform(-1, 1) for _ in range(6)]) for i in range(300)]
+    rows += [(300, [large] * 6), (301, [-large, large, 1.0, 0.0, 0.5, large / 3]), (302, [1e306, *[0.0] * 5])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = Counter(tuple(r) for r in topk.top_k(table, F.col("vec_id") % 50 == 0, 10).collect())
+    vectors = {i: [int(np.floor(1024 * x)) for x in v] for i, v in rows if i < 302}
+    want = Counter()
+    for q in range(0, 301, 50):
+        score = {i: sum(a * b for a, b in zip(vectors[q], v, strict=True)) for i, v in vectors.items() if i != q}
+        score = {i: max(-topk.LARGEST, min(topk.LARGEST, s)) for i, s in score.items()}
+        best = sorted(score, key=lambda i: (-score[i], i))[:10]
+        want.update((q, n + 1, i, score[i]) for n, i in enumerate(best))
+    assert got == want
+
+
+def test_shards_read_only_ids_and_texts(spark, tmp_path):
+    path = str(tmp_path / "docs")
+    spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], DOCS + ", other string").write.parquet(path)
+    plan = sharding.sized(spark.read.parquet(path), "text", [])._jdf.queryExecution().toString()
+    assert "other" not in plan.split("Physical Plan")[1]
