@@ -16,8 +16,8 @@ def test_chain(spark, sf_dir, tmp_path, capfd):
     write_pings_tsv(pings, at("pings"))
     for job in (
         ["daily", at("pings/*"), at("linked")],
-        ["compact", at("linked"), at("compacted"), "--by", "service_date"],
-        ["trips", at("compacted"), at("trips")],
+        ["compact", at("linked"), "--target-mb", "64"],
+        ["trips", at("linked"), at("trips")],
         ["commute", at("trips"), at("commute")],
         ["union", at("trips"), at("union")],
         ["table", at("commute"), at("table"), "--bounds", at("trips-bounds")],
@@ -46,7 +46,7 @@ def test_chain(spark, sf_dir, tmp_path, capfd):
     assert metrics("score", at("table"), at("model"), "--resplit", "0.8")["rows"] == want.count() - int(want.count() * 0.8)
     assert spark.read.parquet(at("report") + "/0").count() == 7
     assert spark.read.parquet(at("linked-rejects")).isEmpty() and spark.read.parquet(at("trips-rejects")).isEmpty()
-    day = spark.read.parquet(at("compacted")).filter("service_date = date'2014-08-01'")
+    day = spark.read.parquet(at("linked")).filter("service_date = date'2014-08-01'")
     assert "PartitionFilters: [isnotnull(service_date" in day._jdf.queryExecution().executedPlan().toString()
 
 

@@ -1,3 +1,4 @@
+from collections import Counter
 from datetime import date, datetime
 
 import pytest
@@ -5,7 +6,7 @@ from helpers import rows
 
 from tripweave.operators import cleaning
 from tripweave.operators.features import LINKED_SCHEMA
-from tripweave.sources import datasets, pings_tsv, profile
+from tripweave.sources import compaction, datasets, files, pings_tsv, profile
 
 HEADER = "latitude\ttime_received\tvehicle_id\tdistance_along_trip\tinferred_phase\tnext_scheduled_stop_distance\tnext_scheduled_stop_id"
 
@@ -77,23 +78,112 @@ def test_days_are_replaced_one_by_one(spark, tmp_path):
 
 
 def test_compaction_keeps_rows(spark, tmp_path):
-    many, few = (str(tmp_path / n) for n in ("many", "few"))
-    spark.range(1000).repartition(12).write.parquet(many)
-    assert tuple(datasets.compact(spark, many, few).first()) == (12, 1)
-    assert rows(datasets.read_dataset(spark, few), "id") == [(i,) for i in range(1000)]
+    path = str(tmp_path / "many")
+    spark.range(1000).repartition(12).write.parquet(path)
+    report = compaction.compact_folder(spark, path).first()
+    assert (report["files_before"], report["files_after"], report["rewritten"]) == (12, 1, 12)
+    assert rows(datasets.read_dataset(spark, path), "id") == [(i,) for i in range(1000)]
 
 
 def test_compaction_keeps_the_day_layout(spark, tmp_path):
-    many, few = (str(tmp_path / n) for n in ("many", "few"))
+    path = str(tmp_path / "many")
     df = spark.range(90).selectExpr("id", "date_add(date'2014-08-01', int(id % 3)) AS day")
-    df.repartition(5).write.partitionBy("day").parquet(many)
-    assert datasets.compact(spark, many, few, "day").first()["after"] == 3
-    back = datasets.read_dataset(spark, few)
+    df.repartition(5).write.partitionBy("day").parquet(path)
+    report = compaction.compact_folder(spark, path)
+    assert rows(report, "files_before", "files_after") == [(5, 1)] * 3
+    back = datasets.read_dataset(spark, path)
     assert {tuple(r) for r in back.select("id", "day").collect()} == {tuple(r) for r in df.collect()}
     plan = back.filter("day = date'2014-08-01'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(day" in plan
 
 
+def wide_rows(spark, n, seed=0):
+    return spark.range(n).selectExpr("id", f"sha2(string(id + {seed}), 512) AS text", "int(id % 2) AS half")
+
+
+@pytest.mark.parametrize(
+    "settings",
+    [
+        {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "3"},
+        {"spark.sql.adaptive.enabled": "true", "spark.sql.shuffle.partitions": "200"},
+        {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.files.maxRecordsPerFile": "50"},
+    ],
+)
+def test_the_files_left_over_follow_from_stored_bytes_alone(spark, tmp_path, settings):
+    path = str(tmp_path / "data")
+    for i in range(3):
+        wide_rows(spark, 4000, i).repartition(4).write.partitionBy("half").mode("append").parquet(path)
+    wide_rows(spark, 30_000, 9).coalesce(1).write.partitionBy("half").mode("append").parquet(path)
+    want = Counter(tuple(r) for r in spark.read.parquet(path).collect())
+    before = {r["path"]: r["length"] for r in files.listed(spark, path, "*.parquet").collect()}
+    target = 300_000
+    large = {p for p, n in before.items() if n >= target / 2}
+    old = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        report = compaction.compact_folder(spark, path, target).collect()
+        again = compaction.compact_folder(spark, path, target).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    left = {r["path"]: r["length"] for r in files.listed(spark, path, "*.parquet").collect()}
+    assert large and large <= set(left) and not (set(before) - large) & set(left)
+    assert Counter(tuple(r) for r in spark.read.parquet(path).collect()) == want
+    assert [r["files_after"] for r in report] == [4, 4] and {r["rewritten"] for r in again} == {0}
+
+
+def test_a_plan_fills_bins_and_leaves_single_files():
+    sizes = [50, 10, 90, 40, 60, 30, 20]
+    bins = compaction.packed(sizes, 100)
+    held = Counter()
+    for size, bin_ in zip(sizes, bins, strict=True):
+        held[bin_] += size
+    assert max(held.values()) <= 100 and len(held) == 3
+    assert compaction.packed([], 100) == []
+
+
+@pytest.mark.parametrize("step", ["written", "listed", "deleted", "moved"])
+def test_a_compaction_that_was_cut_off_is_completed_or_undone(spark, tmp_path, monkeypatch, step):
+    path = str(tmp_path / "data")
+    wide_rows(spark, 900).repartition(6).write.partitionBy("half").parquet(path)
+    want = Counter(tuple(r) for r in spark.read.parquet(path).collect())
+    calls = Counter()
+
+    def failing(name, after):
+        original = getattr(files.Folder, name)
+
+        def call(self, *args):
+            calls[name] += 1
+            if calls[name] == after:
+                raise RuntimeError("cut off")
+            return original(self, *args)
+
+        monkeypatch.setattr(files.Folder, name, call)
+
+    if step == "written":
+        monkeypatch.setattr(compaction, "_replace", lambda *a: (_ for _ in ()).throw(RuntimeError("cut off")))
+    elif step == "listed":
+        failing("delete", 1)
+    else:
+        failing(*(("delete", 4) if step == "deleted" else ("move", 2)))
+    with pytest.raises(RuntimeError):
+        compaction.compact_folder(spark, path)
+    monkeypatch.undo()
+    report = compaction.compact_folder(spark, path)
+    assert {r["files_after"] for r in report.collect()} == {1}
+    spark.catalog.refreshByPath(path)
+    assert Counter(tuple(r) for r in spark.read.parquet(path).collect()) == want
+
+
+def test_files_without_rows_keep_their_schema(spark, tmp_path):
+    path = str(tmp_path / "data")
+    for _ in range(3):
+        spark.range(0).coalesce(1).write.mode("append").parquet(path)
+    assert compaction.compact_folder(spark, path).first()["files_after"] == 1
+    assert spark.read.parquet(path).columns == ["id"]
+
+
 def test_a_dataset_is_overwritten(spark, tmp_path):
     path = str(tmp_path / "d")
     datasets.write_dataset(spark.range(10), path)

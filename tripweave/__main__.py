@@ -4,7 +4,9 @@
 
     daily     PINGS OUT          text pings (folder or glob) to linked segments, one folder per day; what
                                  can't be used goes to OUT-rejects, with the reason
-    compact   SOURCE OUT         many small Parquet files to few
+    ingest    PINGS OUT LEDGER   the same for files that keep arriving: only the days that new, changed or
+                                 vanished files touch are built again
+    compact   DATA               many small Parquet files to few, in place
     trips     LINKED OUT         encoded, scaled segments with trip starts; the scale in OUT-bounds, segments
                                  without a place in a vehicle's order in OUT-rejects
     commute   TRIPS OUT          trips arriving in the commute window
@@ -26,15 +28,17 @@ import argparse
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripweave.operators import scaling, views
 from tripweave.operators.cleaning import type_pings
 from tripweave.operators.metrics import evaluate
 from tripweave.operators.splits import in_order, ordered_head
-from tripweave.plans import daily, features, training
+from tripweave.plans import daily, features, ingest, training
 from tripweave.session import clear_staged
 from tripweave.sources import datasets, profile
-from tripweave.sources.pings_tsv import read_headerless, read_pings_tsv
+from tripweave.sources.compaction import compact_folder
+from tripweave.sources.pings_tsv import file_headers, read_headerless, read_pings_tsv, read_unlike_tsv
 
 
 def build_parser() -> argparse.ArgumentParser:
@@ -48,7 +52,8 @@ def build_parser() -> argparse.ArgumentParser:
         return sub
 
     job("daily", "pings", "out").add_argument("--columns", help="column names of files without a header, comma-joined")
-    job("compact", "source", "out").add_argument("--by", help="folder column to keep, such as service_date")
+    job("ingest", "pings", "out", "ledger")
+    job("compact", "data").add_argument("--target-mb", type=int, default=256, help="size of the files to make")
     job("trips", "linked", "out")
     job("commute", "trips", "out")
     job("union", "trips", "out")
@@ -83,12 +88,20 @@ def run(spark: SparkSession, a: argparse.Namespace) -> list[DataFrame]:
     match a.job:
         case "daily":
             names = a.columns and a.columns.split(",")
-            raw = read_headerless(spark, a.pings, names) if names else read_pings_tsv(spark, a.pings)
-            pings = type_pings(raw)
-            datasets.write_linked(daily.linked(pings), a.out)
-            datasets.write_dataset(daily.rejects(raw), f"{a.out}-rejects")
+            if names:
+                raw, unread = read_headerless(spark, a.pings, names), None
+            else:
+                raw, unread = read_unlike_tsv(spark, file_headers(spark, a.pings))
+            linked, rejects = daily.build(raw)
+            datasets.write_linked(linked, a.out)
+            if unread is not None:
+                reason = F.concat_ws(",", "missing").alias("reason")
+                rejects = rejects.unionByName(daily.as_records([("file", unread.select(reason, "path", "header"))]))
+            datasets.write_dataset(rejects, f"{a.out}-rejects")
+        case "ingest":
+            return [ingest.ingest(spark, a.pings, a.out, a.ledger)]
         case "compact":
-            return [datasets.compact(spark, a.source, a.out, a.by)]
+            return [compact_folder(spark, a.data, a.target_mb << 20)]
         case "trips":
             linked = read(a.linked)
             trips, bounds = features.started(linked)

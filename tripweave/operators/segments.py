@@ -145,10 +145,14 @@ def build_segments(crossings: DataFrame) -> DataFrame:
 
 def segment_rejects(crossings: DataFrame) -> DataFrame:
     """Segments that cannot be used because a stop id has no number, with the column it is in."""
+    return chain_rejects(chain_segments(crossings))
+
+
+def chain_rejects(chained: DataFrame) -> DataFrame:
     reason = F.when(parse_stop(F.col("exit_stop_id")).isNull(), "exit_stop_id").when(
         parse_stop(F.col("target_stop_id")).isNull(), "target_stop_id"
     )
-    return chain_segments(crossings).withColumn("reason", reason).filter(F.col("reason").isNotNull())
+    return chained.withColumn("reason", reason).filter(F.col("reason").isNotNull())
 
 
 def segments_of(pings: DataFrame) -> DataFrame:

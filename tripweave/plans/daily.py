@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +12,10 @@ from tripweave.operators.features import linked_features
 from tripweave.operators.linking import link_routes
 from tripweave.operators.modal import keep_modal, round_distances, trip_modes
 from tripweave.operators.segments import (
+    chain_rejects,
+    chain_segments,
     classify_pairs,
+    number_stops,
     ping_pairs,
     segment_rejects,
     segments_of,
@@ -38,7 +43,12 @@ def modal_segments(pings: DataFrame) -> DataFrame:
     The segments are read twice, for the modes and for the filter, so they are staged. The modes are
     staged as well: the planner then knows whether they are small enough to broadcast.
     """
-    rounded = round_distances(stage(segments(pings), "segments"))
+    return modal_of(stage(segments(pings), "segments"))
+
+
+def modal_of(stored: DataFrame) -> DataFrame:
+    """Stored segments at their trip's modal distance."""
+    rounded = round_distances(stored)
     return keep_modal(rounded, stage(trip_modes(rounded), "trip-modes"))
 
 
@@ -47,10 +57,30 @@ def linked(pings: DataFrame) -> DataFrame:
     return linked_features(link_routes(modal_segments(pings)))
 
 
+def build(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Linked segments of all-text pings and what can't be used, from one computation of the segments.
+
+    The chains are stored with their stop ids as text: those with numbers go on, the others are rejects.
+    """
+    chained = stage(chain_segments(crossings(type_pings(raw))), "chains")
+    numbered = number_stops(chained).dropna(subset=["exit_stop", "target_stop"])
+    kept = linked_features(link_routes(modal_of(numbered)))
+    return kept, as_records([("ping", ping_rejects(raw)), ("segment", chain_rejects(chained))])
+
+
+def as_records(found: list[tuple[str, DataFrame]]) -> DataFrame:
+    """Rejects of several steps as step, reason and record in JSON."""
+    rows = [
+        df.select(
+            F.lit(step).alias("step"),
+            "reason",
+            F.to_json(F.struct(*[c for c in df.columns if c != "reason"])).alias("record"),
+        )
+        for step, df in found
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
 def rejects(raw: DataFrame) -> DataFrame:
     """What the daily build can't use of all-text pings: the step, the reason, and the record as JSON."""
-    found = []
-    for step, rows in (("ping", ping_rejects(raw)), ("segment", segment_rejects(crossings(type_pings(raw))))):
-        record = F.to_json(F.struct(*[c for c in rows.columns if c != "reason"]))
-        found.append(rows.select(F.lit(step).alias("step"), "reason", record.alias("record")))
-    return found[0].unionByName(found[1])
+    return as_records([("ping", ping_rejects(raw)), ("segment", segment_rejects(crossings(type_pings(raw))))])

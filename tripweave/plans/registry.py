@@ -15,12 +15,12 @@ from pyspark.sql import types as T
 from tripweave.operators import cleaning, encoding, features, linking, metrics, modal, models, scaling
 from tripweave.operators import segments as seg
 from tripweave.operators import splits, trip_start, views
-from tripweave.plans import daily, training
+from tripweave.plans import daily, ingest, training
 from tripweave.plans import features as build
 from tripweave.plans.oracle import CLAIM, sql
 from tripweave.plans.sample_pings import sample_pings
 from tripweave.session import scratch_path, stage
-from tripweave.sources import datasets, pings_tsv, profile
+from tripweave.sources import compaction, datasets, pings_tsv, profile
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -147,6 +147,47 @@ def tsv_headerless(spark, sf_dir):
     return pings_tsv.read_headerless_tsv(spark, path)
 
 
+def _unlike_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files in the usual order of columns, in another one, with more columns, and without one that is needed."""
+    path = scratch_path(spark, "pings-unlike")
+    text = sample_pings(spark, sf_dir).withColumn("time_received", F.col("time_received").cast("string"))
+    more = [F.lit("M1").alias("route"), *text.columns, (F.col("vehicle_id") % 2).alias("direction")]
+    columns = [text.columns, text.columns[::-1], more, [c for c in text.columns if c != "next_scheduled_stop_id"]]
+    for kind, names in enumerate(columns):
+        rows = text.filter(F.col("vehicle_id") % 4 == kind)
+        rows.select(*names).write.csv(f"{path}/kind-{kind}", sep="\t", header=True)
+    return pings_tsv.file_headers(spark, path)
+
+
+@query(f"{PING_TEXT} WHERE vehicle_id % 4 <> 3", "pings")
+def tsv_unlike_headers(spark, sf_dir):
+    return cleaning.type_pings(pings_tsv.read_unlike_tsv(spark, _unlike_files(spark, sf_dir))[0])
+
+
+@query("SELECT DISTINCT 'next_scheduled_stop_id' AS missing, 'kind-3' AS folder FROM pings WHERE vehicle_id % 4 = 3", "pings")
+def tsv_unread_files(spark, sf_dir):
+    unread = pings_tsv.read_unlike_tsv(spark, _unlike_files(spark, sf_dir))[1]
+    folder = F.regexp_extract("path", "(kind-[0-9])", 1)
+    return unread.select(F.concat_ws(",", "missing").alias("missing"), folder.alias("folder")).distinct()
+
+
+@query(f"{TEXT_DAY} linked", "linked")
+def incremental_ingest(spark, sf_dir):
+    """Files taken in by three runs, the last of which brings one for all earlier days; a fourth finds nothing."""
+    source, out, ledger = (scratch_path(spark, n) for n in ("pings-in", "linked-grown", "ledger"))
+    pings = stage(sample_pings(spark, sf_dir), "pings")
+    late = F.col("vehicle_id") % 7 == 3
+    first = F.to_date("time_received") <= F.lit("2014-08-02").cast("date")
+    for step, part in enumerate((first & ~late, ~first & ~late, late)):
+        text = pings.filter(part).withColumn("time_received", F.col("time_received").cast("string"))
+        text.write.csv(f"{source}/step-{step}", sep="\t", header=True)
+        ingest.ingest(spark, source, out, ledger)
+    again = ingest.ingest(spark, source, out, ledger)
+    if not again.isEmpty():
+        raise AssertionError("a run without new files built days again")
+    return datasets.read_dataset(spark, out)
+
+
 @query(
     f"SELECT {DAY}, count(*) AS pings, count(DISTINCT vehicle_id) AS vehicles FROM "
     "(SELECT *, CAST(time_received AS DATE) AS service_date FROM pings) GROUP BY 1",
@@ -182,17 +223,25 @@ def parquet_by_day(spark, sf_dir):
 
 
 @query(
-    f"SELECT {DAY}, count(*) AS pings, true AS fewer_files FROM "
-    "(SELECT CAST(time_received AS DATE) AS service_date FROM pings) GROUP BY 1",
+    f"SELECT {DAY}, count(*) AS pings, CAST(sum(distance_along_trip) AS BIGINT) AS metres, 1::BIGINT AS files, "
+    "0::BIGINT AS rewritten_again FROM (SELECT *, CAST(time_received AS DATE) AS service_date FROM pings) GROUP BY 1",
     "pings",
 )
 def compact(spark, sf_dir):
-    many, few = scratch_path(spark, "pings-many"), scratch_path(spark, "pings-few")
+    """Four files a day become one; a second run rewrites none."""
+    path = scratch_path(spark, "pings-many")
     dated = sample_pings(spark, sf_dir).withColumn("service_date", F.to_date("time_received"))
-    dated.repartition(4, "vehicle_id").write.partitionBy("service_date").parquet(many)
-    files = datasets.compact(spark, many, few, "service_date").first()
-    counted = datasets.read_dataset(spark, few).groupBy("service_date").agg(F.count("*").alias("pings"))
-    return counted.withColumn("fewer_files", F.lit(files["after"] < files["before"]))
+    dated.repartition(4, "vehicle_id").write.option("maxRecordsPerFile", 0).partitionBy("service_date").parquet(path)
+    compaction.compact_folder(spark, path)
+    again = compaction.compact_folder(spark, path)
+    day = F.regexp_extract("folder", "service_date=([^/]+)", 1).cast("date")
+    report = again.select(
+        day.alias("service_date"), F.col("files_after").alias("files"), F.col("rewritten").alias("rewritten_again")
+    )
+    counted = datasets.read_dataset(spark, path).groupBy("service_date").agg(
+        F.count("*").alias("pings"), F.sum("distance_along_trip").cast("bigint").alias("metres")
+    )
+    return counted.join(report, "service_date")
 
 
 def _profile_sql(columns: list[str]) -> str:
@@ -274,7 +323,7 @@ def ping_rejects(spark, sf_dir):
     "pings", "segments_broken",
 )
 def daily_rejects(spark, sf_dir):
-    return daily.rejects(_broken_text(spark, sf_dir)).groupBy("step", "reason").agg(F.count("*").alias("records"))
+    return daily.build(_broken_text(spark, sf_dir))[1].groupBy("step", "reason").agg(F.count("*").alias("records"))
 
 
 @query(f"{TEXT_DAY} segments_broken WHERE reason IS NOT NULL", "segments_broken")
@@ -434,6 +483,21 @@ def vehicle_dictionary(spark, sf_dir):
     return encoding.vehicle_dictionary(_linked(spark, sf_dir))
 
 
+@query(
+    "SELECT id, CAST(row_number() OVER (ORDER BY first_day, id) AS INTEGER) AS code, "
+    "CAST(dense_rank() OVER (ORDER BY first_day) AS INTEGER) AS version FROM (SELECT id, min(service_date) AS first_day FROM "
+    "(SELECT exit_stop AS id, service_date FROM linked UNION ALL SELECT target_stop, service_date FROM linked) GROUP BY id)",
+    "linked",
+)
+def dictionary_growth(spark, sf_dir):
+    """Stops numbered as their days arrive: codes once given stay, new stops follow."""
+    linked = _linked(spark, sf_dir)
+    dictionary = encoding.StableDictionary(spark, scratch_path(spark, "stop-codes"))
+    for day in sorted(r["service_date"] for r in linked.select("service_date").distinct().collect()):
+        codes = dictionary.merge(encoding.all_stops(linked.filter(F.col("service_date") == F.lit(day))))
+    return codes
+
+
 @query(f"{TEXT_DAY} encoded", "encoded")
 def encode_ids(spark, sf_dir):
     return build.encoded(_linked(spark, sf_dir))
@@ -483,6 +547,19 @@ def first_time(spark, sf_dir):
     return trip_start.trip_starts(_scaled(spark, sf_dir))
 
 
+@query(f"{TEXT_DAY} started", "started")
+def first_time_daily(spark, sf_dir):
+    """Day by day from stored states; the second day arrives last."""
+    rows, out, states = (scratch_path(spark, n) for n in ("scaled-days", "starts-days", "start-states"))
+    scaled = _scaled(spark, sf_dir)
+    days = sorted(r["service_date"] for r in scaled.select("service_date").distinct().collect())
+    late = days[1:2]
+    for part in [[d] for d in days if d not in late] + [late]:
+        scaled.filter(F.col("service_date").isin(part)).write.mode("append").partitionBy("service_date").parquet(rows)
+        ingest.extend_starts(spark, rows, out, states, part)
+    return datasets.read_dataset(spark, out).select("first_time", *scaled.columns)
+
+
 # Windows and views.
 
 

@@ -1,9 +1,8 @@
-"""Parquet datasets: reading, day-partitioned writing, compaction."""
+"""Parquet datasets: reading, day-partitioned writing."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tripweave.operators.features import LINKED_SCHEMA, conform
 
@@ -32,30 +31,3 @@ def write_linked(linked: DataFrame, path: str) -> None:
         .partitionBy("service_date")
         .parquet(path)
     )
-
-
-def dataset_files(spark: SparkSession, path: str) -> DataFrame:
-    """Name and size of the Parquet files at a folder or glob; file contents are not read."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet")
-        .load(path)
-        .select("path", "length")
-    )
-
-
-def compact(spark: SparkSession, source: str, target: str, by: str | None = None) -> DataFrame:
-    """Rewrite many small files as few; returns the number of files before and after.
-
-    The rebalance cuts and merges by bytes, up to the session's advisory partition size, which is best set
-    to the wanted file size. A folder partitioned by ``by`` stays so: days are gathered one by one, and
-    readers go on skipping the others.
-    """
-    rows = spark.read.parquet(source)
-    if by is None:
-        rows.hint("rebalance").write.mode("overwrite").parquet(target)
-    else:
-        rows.hint("rebalance", by).write.mode("overwrite").partitionBy(by).parquet(target)
-    counts = [dataset_files(spark, path).agg(F.count("*").alias(name)) for path, name in ((source, "before"), (target, "after"))]
-    return spark.createDataFrame([tuple(c.first()[0] for c in counts)], "before long, after long")
