@@ -67,6 +67,8 @@ def build_parser() -> argparse.ArgumentParser:
     score.add_argument("--resplit", type=float, help="cut at this share instead of the model's own; may score training rows")
     best = job("best", "table", "model")
     best.add_argument("--features", choices=sorted(training.FEATURES), default="long")
+    best.add_argument("--rounds", help="grow in rounds stored in this folder, and go on from those it holds")
+    best.add_argument("--patience", type=int, help="with --rounds: stop when the least loss is so many trees old")
     job("scored", "table", "out")
     search = job("search", "table")
     search.add_argument("--random", type=int, default=40)
@@ -121,7 +123,8 @@ def run(spark: SparkSession, a: argparse.Namespace) -> list[DataFrame]:
         case "score":
             return [evaluate(training.score_stored(read(a.table), a.model, a.resplit))]
         case "best":
-            return list(training.best_iteration(in_order(read(a.table)), a.features, a.model)[:2])
+            rows = in_order(read(a.table))
+            return list(training.best_iteration(rows, a.features, a.model, a.rounds, a.patience)[:2])
         case "scored":
             datasets.write_dataset(training.scored_training_rows(in_order(read(a.table))), a.out)
         case "search":

@@ -123,6 +123,13 @@ class Boundary:
         same = df.filter(key == pivot).withColumn("_copy", nth).filter(F.col("_copy") > self.copies)
         return later.unionByName(same.drop("_copy"))
 
+    def before(self, df: DataFrame, gone: int = 0) -> DataFrame:
+        """The rows of ``df`` before the cut, of whose identical rows ``gone`` are no longer in ``df``."""
+        key, pivot = _key(self.order), _pivot(df, self.row, self.order)
+        nth = F.row_number().over(Window.partitionBy(*self.order).orderBy(F.lit(1)))
+        same = df.filter(key == pivot).withColumn("_copy", nth).filter(F.col("_copy") <= self.copies - gone)
+        return df.filter(key < pivot).unionByName(same.drop("_copy"))
+
     def save(self, spark: SparkSession, path: str) -> None:
         frame = spark.createDataFrame([(json.dumps(self.row.asDict(), default=str), self.copies, self.order)], BOUNDARY)
         frame.write.mode("overwrite").parquet(path)

@@ -12,7 +12,19 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripweave.operators import cleaning, encoding, features, linking, metrics, modal, models, scaling
+from tripweave.operators import (
+    boosting,
+    cleaning,
+    encoding,
+    features,
+    linking,
+    metrics,
+    modal,
+    models,
+    moments,
+    order_index,
+    scaling,
+)
 from tripweave.operators import segments as seg
 from tripweave.operators import splits, trip_start, views
 from tripweave.plans import daily, ingest, training
@@ -719,6 +731,88 @@ def ordered_head(spark, sf_dir):
     return splits.ordered_head(_model_table(spark, sf_dir))
 
 
+@query(
+    f"SELECT * EXCLUDE (nth, n) REPLACE ({DAY}), CASE WHEN nth <= n - {HELD} THEN 'train' "
+    f"WHEN nth <= n - CAST(ceil({HELD} * 0.5::DOUBLE) AS BIGINT) THEN 'validation' ELSE 'final' END AS split FROM ranked",
+    "ranked",
+)
+def order_index_split(spark, sf_dir):
+    """The same parts from an order that grew by four runs, none of them later than the others."""
+    rows = _model_table(spark, sf_dir)
+    index = order_index.OrderIndex(spark, scratch_path(spark, "order-index"))
+    for part in range(4):
+        index.append(rows.filter(F.pmod(F.xxhash64("exit_time", "vehicle_id"), F.lit(4)) == part))
+    return splits.label_parts(index.split(splits.three_way_cuts(index.count())), ["train", "validation", "final"])
+
+
+MOMENT_COLUMNS = ["distance", "total_distance", "exit_time", "label", "speed", "total_speed"]
+
+
+def _moments_sql(where: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, count({c}) AS n, round(avg({c}), 6) AS mean, round(stddev_pop({c}), 6) AS deviation, "
+        f"CAST(min({c}) AS DOUBLE) AS low, CAST(max({c}) AS DOUBLE) AS high FROM model_input {where}"
+        for c in MOMENT_COLUMNS
+    )
+
+
+def _moments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "moments")
+    rows = _model_table(spark, sf_dir)
+    for part in (F.dayofmonth("service_date") != 2, F.dayofmonth("service_date") == 2):
+        moments.write_moments(moments.day_moments(rows.filter(part), MOMENT_COLUMNS), path)
+    return datasets.read_dataset(spark, path)
+
+
+def _shown(state: DataFrame) -> DataFrame:
+    deviation = F.round(F.sqrt(F.col("m2") / F.col("n")), 6).alias("deviation")
+    return state.select("feature", "n", F.round("mean", 6).alias("mean"), deviation, "low", "high")
+
+
+@query(_moments_sql(""), "model_input")
+def moments_merged(spark, sf_dir):
+    return _shown(moments.merged(_moments(spark, sf_dir)))
+
+
+@query(_moments_sql("WHERE service_date <> DATE '2014-08-01'"), "model_input")
+def moments_without_a_day(spark, sf_dir):
+    return _shown(moments.merged(_moments(spark, sf_dir).filter("service_date <> date'2014-08-01'")))
+
+
+PROFILED = ["vehicle_id", "exit_stop", "distance", "exit_time"]
+
+
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", count(*) AS row_count, count(*) FILTER ({c} IS NULL) AS nulls, "
+        f"CAST(min({c}) AS DOUBLE) AS low, CAST(max({c}) AS DOUBLE) AS high, true AS distinct_close, true AS median_close "
+        "FROM linked WHERE service_date >= DATE '2014-08-02'"
+        for c in PROFILED
+    ),
+    "linked",
+)
+def profile_of_days(spark, sf_dir):
+    """Of a range of days, from stored sketches; measured against the rows, within three standard errors."""
+    path = scratch_path(spark, "profiles")
+    linked = _linked(spark, sf_dir)
+    profile.day_profiles(linked, PROFILED).write.partitionBy("service_date").parquet(path)
+    later = "service_date >= date'2014-08-02'"
+    found = profile.merged_profile(datasets.read_dataset(spark, path).filter(later))
+    rows = linked.filter(later)
+    exact = rows.agg(*[F.count_distinct(c).alias(c) for c in PROFILED]).first()
+    flags = []
+    for r in found.collect():
+        c = r["column"]
+        below, upto, n = rows.agg(F.count_if(F.col(c) < r["q50"]), F.count_if(F.col(c) <= r["q50"]), F.count(c)).first()
+        slack = profile.RANK_ERROR * n + 1
+        close = abs(r["distinct_about"] / exact[c] - 1) <= 3 * profile.DISTINCT_ERROR
+        flags.append((c, close, below - slack <= n / 2 <= upto + slack))
+    measured = spark.createDataFrame(flags, "column string, distinct_close boolean, median_close boolean")
+    return found.join(measured, "column").select(
+        "column", "row_count", "nulls", "low", "high", "distinct_close", "median_close"
+    )
+
+
 def _rounded(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns({c: F.round(c, 6) for c in columns})
 
@@ -873,6 +967,29 @@ def gbt_fit_score(spark, sf_dir):
 ITERATIONS = 20
 
 
+@query(
+    f"SELECT CAST(i AS INTEGER) AS iteration, true AS same_loss, true AS loss_holds FROM range(1, {ITERATIONS + 1}) AS r(i)",
+)
+def boosting_rounds(spark, sf_dir):
+    """Trees grown in stored rounds: a run stopped after two rounds and resumed against one that was not stopped, and the
+    losses against those of the stored trees put together."""
+    train, validation, _ = splits.three_way_split(_ordered(spark, sf_dir))
+    train, validation = models.scale_parts([train, validation], views.LONG_FEATURES)
+    whole, cut = (scratch_path(spark, n) for n in ("boosted-whole", "boosted-cut"))
+    want = boosting.boost(train, validation, whole, ITERATIONS)
+    boosting.boost(train, validation, cut, ITERATIONS, most_rounds=2)
+    got = boosting.boost(train, validation, cut, ITERATIONS)
+    trees = boosting.Rounds(spark, cut).trees(ITERATIONS)
+    weights = [boosting.weight_of(i, 0.1) for i in range(ITERATIONS)]
+    again = boosting.loss_after(models.trees_as_model(spark, trees, weights), validation)
+    rows = [
+        (i, abs(a / b - 1) < 1e-9, abs(a / c - 1) < 1e-9)
+        for i, (a, b, c) in enumerate(zip(got.losses, want.losses, again, strict=True), 1)
+    ]
+    return spark.createDataFrame(rows, "iteration int, same_loss boolean, loss_holds boolean")
+
+
+
 @query(
     f"SELECT CAST(i AS INTEGER) AS iteration, true AS flag_holds FROM range(1, {ITERATIONS + 1}) AS r(i)",
 )
@@ -909,7 +1026,8 @@ def best_iteration_eval(spark, sf_dir):
 )
 def param_search(spark, sf_dir):
     found = training.parameter_search(_ordered(spark, sf_dir))
-    best = found.agg(F.max_by("trial", F.struct("target", -F.col("trial")))).first()[0]
+    whole = found.filter("share = 1")
+    best = whole.agg(F.max_by("trial", F.struct("target", -F.col("trial")))).first()[0]
     inside = F.lit(True)
     for name, (low, high) in models.SEARCH_BOUNDS.items():
         inside = inside & F.col(name).between(low, high)
