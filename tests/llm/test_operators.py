@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import random
+import re
 import zipfile
 import zlib
 from collections import Counter, defaultdict
@@ -318,6 +319,58 @@ def test_numbers_side_by_side_are_all_proposed(spark):
             assert (d, kind, at, at + len(number)) in found, (kind, number, at)
 
 
+def neighbours(text):
+    """Plain reading: every sequence of neighbouring digit groups with the digits of a phone or a card."""
+    found = set()
+    for run in re.finditer(pii.RUN, text):
+        groups = [(m.start() + run.start(), m.end() + run.start()) for m in re.finditer("[0-9]+", run.group())]
+        if sum(b - a for a, b in groups) < pii.PHONE_DIGITS[0]:
+            continue
+        for i, (first, _) in enumerate(groups):
+            gap = text[groups[i - 1][1] if i else run.start() : first]
+            ahead = len(gap) if i == 0 else int(len(gap) > 1 and gap.endswith("("))
+            digits = 0
+            for a, b in groups[i:]:
+                digits += b - a
+                if digits > pii.CARD_DIGITS[1]:
+                    break
+                if pii.PHONE_DIGITS[0] <= digits <= pii.PHONE_DIGITS[1]:
+                    found.add((pii.PHONE, first - ahead, b))
+                if digits >= pii.CARD_DIGITS[0] and re.match(pii.AS_CARD, text[first:b]):
+                    found.add((pii.CARD, first, b))
+    return found
+
+
+def test_neighbouring_groups_against_a_plain_reading(spark):
+    rng = random.Random(3)
+    texts = []
+    for _ in range(60):
+        pieces = [rng.choice(["é", "", "+", "(", "+(", "x "])]
+        for _ in range(rng.randrange(1, 40)):
+            pieces += [str(rng.randrange(10 ** rng.choice([1, 2, 3, 4, 21]))), rng.choice([" ", "-", ") ", " (", ".", "((", " - ", " ab "])]
+        texts.append("".join(pieces))
+    docs = spark.createDataFrame(list(enumerate(texts)), DOCS).coalesce(2)
+    found = pii.matches(docs).filter(F.exists("matches", lambda m: m["kind"] == pii.RUNS))
+    spans = pii.candidates(found).join(found.select("row", "doc_id"), "row").filter(~F.col("base")).collect()
+    got = {i: set() for i in range(len(texts))}
+    for r in spans:
+        text = texts[r["doc_id"]]
+        assert text[r["start"] : r["end"]] == r["span"]
+        # Surroundings end where the next span of the pattern begins.
+        assert text[: r["start"]].endswith(r["before"]) and text[r["end"] :].startswith(r["after"])
+        got[r["doc_id"]].add((r["kind"], r["start"], r["end"]))
+    for i, text in enumerate(texts):
+        assert neighbours(text) <= got[i], text
+
+
+def test_candidates_grow_with_the_text_alone(spark):
+    docs = spark.createDataFrame([(n, "4111 1111 1111 1111 " * n) for n in (500, 1000, 2000, 4000)], DOCS)
+    found = pii.matches(docs)
+    counts = pii.candidates(found).join(found.select("row", "doc_id"), "row").groupBy("doc_id").count()
+    n = {r["doc_id"]: r["count"] for r in counts.collect()}
+    assert n[1000] < 2.05 * n[500] and n[2000] < 2.05 * n[1000] and n[4000] < 2.05 * n[2000]
+
+
 def test_nothing_of_an_accepted_span_is_left_out(spark):
     rows = [(0, 2.0, 0, 12, 0.9), (0, 2.0, 10, 22, 0.99), (0, 2.0, 20, 32, 0.9), (0, 2.0, 32, 40, 0.9), (0, 3.0, 5, 15, 0.9)]
     rows += [(1, 2.0, 0, 30, 0.9), (1, 2.0, 3, 9, 0.99), (1, 2.0, 25, 33, 0.9)]

@@ -90,47 +90,49 @@ FEATURES = [
 ]
 
 
-def _found(text: Column, pattern: str, around: int) -> Column:
-    """The spans of a pattern in order: the characters before each since the last, the span, and its surroundings.
-
-    A pattern splits the text into the pieces around its spans.
-    """
-    spans = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pieces = F.split(text, pattern, -1)
-    between = F.transform(
-        pieces,
-        lambda p: F.struct(
-            F.length(p).alias("skip"), F.right(p, F.lit(around)).alias("end"), F.left(p, F.lit(around)).alias("begin")
-        ),
+def _found(spans: Column, pieces: Column, around: int) -> Column:
+    """A pattern's spans in order, from the spans and the pieces of text around them: the characters before each since
+    the last, the span, and its surroundings."""
+    n = F.size(spans)
+    before, after = F.slice(pieces, F.lit(1), n), F.slice(pieces, F.lit(2), n)
+    return F.arrays_zip(
+        F.transform(before, F.length).alias("skip"),
+        spans.alias("span"),
+        F.transform(before, lambda p: F.right(p, F.lit(around))).alias("before"),
+        F.transform(after, lambda p: F.left(p, F.lit(around))).alias("after"),
     )
 
-    def span(s: Column, i: Column) -> Column:
-        before, after = F.get(between, i), F.get(between, i + 1)
-        return F.struct(
-            before["skip"].alias("skip"), s.alias("span"), before["end"].alias("before"), after["begin"].alias("after")
-        )
-
-    return F.transform(spans, span)
-
 
 def matches(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Every document's row number and id, and its base and wide spans: the one pass over the texts."""
+    """Every document's row number and id, and its base and wide spans: the one pass over the texts.
+
+    Each pattern cuts a text once; what is taken from the pieces is a column of its own, so that nothing is cut again
+    for every span.
+    """
     content = F.coalesce(F.col(text).cast("string"), F.lit(""))
     some = docs.select(F.col("doc_id").cast("bigint"), content.alias("text")).withColumn(
         "row", F.monotonically_increasing_id()
     )
-    kind = "struct<skip:int,span:string,before:string,after:string>"
-    columns = []
-    for i, name in enumerate(KINDS):
-        for n, pattern in enumerate([BASE[name], *WIDE[name]]):
-            found = F.when(F.col("text").rlike(SIGNS), _found(F.col("text"), pattern, AROUND if n else 0))
-            columns.append(
-                F.struct(F.lit(i).alias("kind"), F.lit(n).alias("form"), found.cast(f"array<{kind}>").alias("found"))
-            )
-    runs = F.when(F.col("text").rlike(SIGNS), _found(F.col("text"), RUN, AROUND))
-    columns.append(F.struct(F.lit(RUNS).alias("kind"), F.lit(1).alias("form"), runs.cast(f"array<{kind}>").alias("found")))
+    with_signs = F.when(F.col("text").rlike(SIGNS), F.col("text")).otherwise(F.lit(""))
+    patterns = [(i, n, p) for i, name in enumerate(KINDS) for n, p in enumerate([BASE[name], *WIDE[name]])]
+    patterns.append((RUNS, 1, RUN))
+    cut = some.select("row", "doc_id", with_signs.alias("text")).select(
+        "row",
+        "doc_id",
+        *[F.regexp_extract_all("text", F.lit(p), F.lit(0)).alias(f"spans_{i}_{n}") for i, n, p in patterns],
+        *[F.split("text", p, -1).alias(f"pieces_{i}_{n}") for i, n, p in patterns],
+    )
+    kind = "array<struct<skip:int,span:string,before:string,after:string>>"
+    columns = [
+        F.struct(
+            F.lit(i).alias("kind"),
+            F.lit(n).alias("form"),
+            _found(F.col(f"spans_{i}_{n}"), F.col(f"pieces_{i}_{n}"), AROUND if n else 0).cast(kind).alias("found"),
+        )
+        for i, n, _ in patterns
+    ]
     every = F.filter(F.array(*columns), lambda c: F.size(c["found"]) > 0)
-    return stage(some.select("row", "doc_id", every.alias("matches")), "matches")
+    return stage(cut.select("row", "doc_id", every.alias("matches")), "matches")
 
 
 def candidates(found: DataFrame) -> DataFrame:
@@ -160,49 +162,72 @@ def candidates(found: DataFrame) -> DataFrame:
 def side_by_side(runs: DataFrame) -> DataFrame:
     """Of runs of digit groups, every sequence of neighbouring groups that has as many digits as a card or a phone.
 
-    From the start of a group, at most one sequence has a given number of digits: they grow with the text alone.
+    Every group is a row with the groups that follow it, as many as the longest card has digits. A sequence's digits
+    are the difference of two running sums. From the start of a group, at most one sequence has a given number of
+    digits: they grow with the text alone.
     """
     least, most = PHONE_DIGITS[0], CARD_DIGITS[1]
-    text = F.concat("s.before", "s.span", "s.after")
-    kind = "array<struct<skip:int,span:string,before:string,after:string>>"
-    forms = []
-    for n in range(least, most + 1):
-        # One digit is taken, so that the next match may start inside the sequence.
-        pattern = (
-            rf"(?s)(?<![0-9])(?<=(\A.{{0,{AROUND - 1}}}|.{{{AROUND}}}))"
-            rf"(?=(\+?\(?[0-9](?:[\x20()./-]{{0,3}}+[0-9]){{{n - 1}}}(?![0-9]))(.{{0,{AROUND}}}))\+?\(?[0-9]"
-        )
-        before, span, after = (F.regexp_extract_all("text", F.lit(pattern), F.lit(i)) for i in (1, 2, 3))
-        skip = F.transform(F.slice(F.split("text", pattern, -1), F.lit(1), F.size(span)), F.length)
-        found = F.arrays_zip(skip.alias("skip"), span.alias("span"), before.alias("before"), after.alias("after"))
-        forms.append(F.struct(F.lit(n).alias("n"), found.cast(kind).alias("found")))
-    each = (
-        runs.filter(F.length(F.regexp_replace("s.span", "[^0-9]", "")) >= least)
-        .select("row", F.col("start").alias("from"), F.col("end").alias("upto"), F.length("s.before").alias("ahead"), text.alias("text"))
-        .select("row", "from", "upto", "ahead", F.explode(F.array(*forms)).alias("f"))
-        .select("row", "from", "upto", "ahead", "f.n", F.posexplode("f.found").alias("nth", "s"))
+    cut = runs.filter(F.length(F.regexp_replace("s.span", "[^0-9]", "")) >= least).select(
+        "row",
+        F.col("start").alias("from"),
+        F.col("s.before").alias("ahead"),
+        F.col("s.after").alias("behind"),
+        F.regexp_extract_all("s.span", F.lit("[0-9]++"), F.lit(0)).alias("numbers"),
+        F.split("s.span", "[0-9]++", -1).alias("gaps"),
+    )
+    zipped = F.arrays_zip(F.slice("gaps", F.lit(1), F.size("numbers")).alias("gap"), F.col("numbers").alias("number"))
+    groups = cut.select("row", "from", "ahead", "behind", F.posexplode(zipped).alias("nth", "g")).select(
+        "row", "from", "ahead", "behind", "nth", "g.gap", F.length("g.number").alias("n"), F.concat("g.gap", "g.number").alias("piece")
     )
-    prefix = F.regexp_extract("s.span", PREFIX, 0)
-    order = Window.partitionBy("row", "from", "n").orderBy("nth")
-    passed = F.sum(F.col("s.skip") + F.length(prefix) + 1).over(order)
+    order = Window.partitionBy("row", "from").orderBy("nth")
+    passed = order.rowsBetween(Window.unboundedPreceding, 0)
+
+    def text_of(piece: Column, first: int, last: int) -> Column:
+        return F.array_join(F.collect_list(piece).over(order.rowsBetween(first, last)), "")
+
+    # A group has a digit at least: as many groups as characters are enough for the surroundings.
+    lead = F.when(F.col("nth") == 0, F.regexp_extract("gap", PREFIX, 0)).otherwise(F.regexp_extract("gap", r"(?<=.)\($", 0))
+    ahead = F.concat("ahead", text_of(F.right("piece", F.lit(AROUND)), -AROUND, -1), F.left("gap", F.length("gap") - F.length("prefix")))
     placed = (
-        each.withColumn("prefix", prefix)
-        .withColumn("start", F.col("from") - F.col("ahead") + passed - F.length("prefix") - 1)
-        .withColumn("end", F.col("start") + F.length("s.span"))
-        .filter((F.col("start") >= F.col("from")) & (F.col("end") <= F.col("upto")))
+        groups.withColumn("prefix", lead)
+        .withColumn("end", F.col("from") + F.sum(F.length("piece")).over(passed))
+        .withColumn("total", F.sum("n").over(passed))
+        .withColumn("before", F.right(ahead, F.lit(AROUND)))
+        .withColumn("after", F.left(F.concat(text_of(F.left("piece", F.lit(AROUND)), 1, AROUND), "behind"), F.lit(AROUND)))
+        .withColumn("start", F.col("end") - F.col("n") - F.length("prefix"))
     )
-    number = F.substr("s.span", F.length("prefix") + 1)
-    shape = [F.lit(False).alias("base"), F.col("end")]
-    phones = placed.filter(F.col("n") <= PHONE_DIGITS[1]).select(
-        "row", F.lit(PHONE).alias("kind"), F.lit(len(WIDE["phone"]) + 1).alias("form"), *shape, "start",
-        "s.span", "s.before", "s.after",
+    # Longer groups are in no sequence.
+    short = F.when(F.col("n") <= most, F.col("piece"))
+    follower = F.struct("nth", "total", "end", "after", short.alias("piece"))
+    shorter = F.col("total") - F.col("n")
+    each = (
+        placed.withColumn("following", F.collect_list(follower).over(order.rowsBetween(0, most - 1)))
+        .withColumn("fits", F.filter("following", lambda f: (f["total"] - shorter).between(least, most)))
+        .select(
+            "row", "nth", "start", "before", "prefix", "gap", shorter.alias("shorter"),
+            F.col("following.piece").alias("pieces"), F.explode("fits").alias("f"),
+        )
+        .withColumn("joined", F.array_join(F.slice("pieces", F.lit(1), F.col("f.nth") - F.col("nth") + 1), ""))
+        .withColumn("number", F.substr("joined", F.length("gap") + 1))
+        .withColumn("n", F.col("f.total") - F.col("shorter"))
     )
-    cards = placed.filter((F.col("n") >= CARD_DIGITS[0]) & number.rlike(AS_CARD)).select(
-        "row", F.lit(CARD).alias("kind"), F.lit(len(WIDE["card"]) + 1).alias("form"), *shape,
-        (F.col("start") + F.length("prefix")).alias("start"),
-        number.alias("span"), F.right(F.concat("s.before", "prefix"), F.lit(AROUND)).alias("before"), "s.after",
+    phone = F.struct(
+        F.lit(PHONE).alias("kind"), F.lit(len(WIDE["phone"]) + 1).alias("form"), F.col("start"),
+        F.concat("prefix", "number").alias("span"), F.col("before"),
+    )
+    card = F.struct(
+        F.lit(CARD).alias("kind"), F.lit(len(WIDE["card"]) + 1).alias("form"),
+        (F.col("start") + F.length("prefix")).alias("start"), F.col("number").alias("span"),
+        F.right(F.concat("before", "prefix"), F.lit(AROUND)).alias("before"),
+    )
+    both = F.array(
+        F.when(F.col("n") <= PHONE_DIGITS[1], phone),
+        F.when((F.col("n") >= CARD_DIGITS[0]) & F.col("number").rlike(AS_CARD), card),
+    )
+    return each.select("row", "f", F.explode(F.filter(both, lambda c: c.isNotNull())).alias("c")).select(
+        "row", "c.kind", "c.form", F.lit(False).alias("base"), "c.start", F.col("f.end").alias("end"),
+        "c.span", "c.before", F.col("f.after").alias("after"),
     )
-    return phones.unionByName(cards)
 
 
 def luhn(digits: Column) -> Column:
