@@ -381,8 +381,27 @@ def test_nothing_of_an_accepted_span_is_left_out(spark):
 
 def test_without_examples_nothing_is_added(spark):
     docs = spark.createDataFrame([(1, "call 606 555 7814 now or +1 (606) 555-7814")], DOCS)
-    spans = pii.find_spans(docs).first()["spans"]
-    assert [(s["start"], s["end"], s["base"]) for s in spans] == [(25, 42, True)]
+    found = pii.find_spans(docs).first()
+    assert [(s["start"], s["end"], s["base"]) for s in found["spans"]] == [(25, 42, True)] and found["judged"] == ""
+
+
+def test_labels_of_candidates(spark):
+    texts = [
+        "call +1 (606) 555-7814 now",
+        "order 606 555 7814 now",
+        "we saw 606 555 7814 now",
+        "we saw 606 555 7814x now",
+        "paid 4111 1111 1111 1112 now",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), DOCS)
+    found = pii.matches(docs)
+    got = defaultdict(set)
+    for r in pii.examples(pii.stage(pii.candidates(found), "spans")).join(found.select("row", "doc_id"), "row").collect():
+        got[r["doc_id"], pii.KINDS[int(r["kind"])]].add((r["label"], r["alike"]))
+    assert (1.0, True) in got[0, "phone"]
+    assert got[1, "phone"] == {(0.0, True)} and got[2, "phone"] == {(None, True)}
+    assert got[3, "phone"] == {(0.0, False)} and got[4, "card"] == {(0.0, False)}
+    assert not {"checked", "touches", "near_other"} & set(pii.FEATURES)
 
 
 def test_redaction(spark):

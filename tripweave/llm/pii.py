@@ -2,11 +2,13 @@
 
 Base patterns find emails, IP addresses, card and phone numbers in their usual forms; a check drops those that can't be
 real. Wide patterns, one or more per kind, propose spans in looser forms, which overlap each other and the base. Candidates that
-cover a base span are positive examples; those that fail the kind's check, touch other word characters or lie on a span
-of another kind are negative ones. Trees are boosted on a bounded sample of both, on the form of the span and the words
-around it, without the signs that define the base forms. Candidates that are neither are then scored, and redacted
-beyond a threshold per kind, taken from the scores of all examples that the trees were not grown on. Base spans always
-stay. A kind whose scores don't separate adds nothing.
+cover a base span are positive examples; those that fail the kind's check, touch other word characters, lie on a span
+of another kind, or pass but follow words of other numbers (order, version, token) are negative ones. Trees are boosted
+on a bounded sample of both, on the form of the span and what is around it, without the signs that define the base forms
+or the labels. Candidates that are neither are then scored, and redacted beyond a threshold per kind. It is taken from
+held-out examples like those scored: real ones, and negative ones that only the words before them tell. Base spans always
+stay. A kind with too few real examples held out, or whose scores don't separate, adds nothing; ``judged`` names the
+kinds that have a threshold.
 
 All of it is column expressions, aggregations and windows, and Spark's own boosted trees. Texts are read once, and only
 spans with a few characters around them go on from there.
@@ -86,7 +88,7 @@ BINS = 1000
 
 FEATURES = [
     "kind", "length", "digits", "letters", "separators", "different_separators", "groups", "longest_group",
-    "checked", "touches", "near_own", "near_other", "line_start",
+    "near_own", "line_start", "after_word", "before_stop",
 ]
 
 
@@ -293,7 +295,8 @@ def examples(spans: DataFrame) -> DataFrame:
     rest = F.regexp_replace("span", "[0-9A-Za-z]", "")
     groups = F.filter(F.split("span", "[^0-9A-Za-z]+", -1), lambda g: g != "")
     passes = F.coalesce("checked", F.lit(False))
-    label = F.when(F.col("covers"), 1.0).when(~passes | touches | F.col("on_any"), 0.0)
+    refused = ~passes | touches | F.col("on_any")
+    label = F.when(F.col("covers"), 1.0).when(refused | near.rlike(NEARBY["other"]), 0.0)
     features = {
         "length": F.length("span"),
         "letters": F.length(F.regexp_replace("span", "[^A-Za-z]", "")),
@@ -301,28 +304,29 @@ def examples(spans: DataFrame) -> DataFrame:
         "different_separators": F.size(F.array_distinct(F.split(rest, ""))),
         "groups": F.size(groups),
         "longest_group": F.coalesce(F.array_max(F.transform(groups, F.length)), F.lit(0)),
-        "touches": touches,
         "near_own": own,
-        "near_other": near.rlike(NEARBY["other"]),
         "line_start": F.col("before").rlike(r"(^|\n)\s*$"),
+        "after_word": F.col("before").rlike(r"[A-Za-z][:,]?\x20?$"),
+        "before_stop": F.col("after").rlike(r"^[.,;:]?(\s|$)"),
     }
     return wide.select(
         "row",
         "start",
         "end",
         label.alias("label"),
+        (F.col("covers") | ~refused).alias("alike"),
         (F.pmod(F.xxhash64(F.lit(SEED), "row", "kind", "start"), F.lit(HELD_OUT)) == 0).alias("held_out"),
         F.col("kind").cast("double").alias("kind"),
         F.length("digits").cast("double").alias("digits"),
-        passes.cast("double").alias("checked"),
         *[c.cast("double").alias(name) for name, c in features.items()],
     )
 
 
 def thresholds(scored: DataFrame) -> dict[int, float]:
-    """By kind, the lowest score beyond which enough held-out examples are real; one row per bin comes to the driver."""
+    """By kind, the lowest score beyond which enough held-out examples are real, of those that pass all that is asked of
+    a span before it is scored; one row per bin comes to the driver."""
     bins = (
-        scored.filter(F.col("held_out") & F.col("label").isNotNull())
+        scored.filter(F.col("held_out") & F.col("alike") & F.col("label").isNotNull())
         .groupBy("kind", F.least(F.floor(F.col("score") * BINS), F.lit(BINS - 1)).alias("bin"))
         .agg(F.sum("label").alias("real"), F.count("*").alias("n"))
         .collect()
@@ -337,17 +341,16 @@ def thresholds(scored: DataFrame) -> dict[int, float]:
     return found
 
 
-def added_spans(spans: DataFrame) -> DataFrame:
-    """Spans beyond the base that the trees select."""
+def added_spans(spans: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Spans beyond the base that the trees select, and the kinds that have a threshold."""
     table = stage(examples(spans), "examples")
     nothing = table.filter(F.lit(False)).select("row", F.col("kind").cast("int"), "start", "end")
     labelled = table.filter(~F.col("held_out") & F.col("label").isNotNull())
     chance = F.lit(SAMPLE_ROWS / max(1, labelled.count()))
     drawn = F.pmod(F.xxhash64(F.lit(SEED + 1), "row", "start", "kind"), F.lit(2**40)) / F.lit(float(2**40))
     sample = stage(labelled.filter(drawn < chance), "sample")
-    count = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
-    if min(count.get(0.0, 0), count.get(1.0, 0)) < LEAST_REAL or table.filter(F.col("label").isNull()).isEmpty():
-        return nothing
+    if sample.select("label").distinct().count() < 2:
+        return nothing, []
     trees = GBTClassifier(
         featuresCol="features", labelCol="label", maxIter=TREES, maxDepth=DEPTH, seed=SEED, checkpointInterval=-1
     )
@@ -355,11 +358,12 @@ def added_spans(spans: DataFrame) -> DataFrame:
     scored = model.transform(table).withColumn("score", F.get(vector_to_array("probability"), F.lit(1)))
     limits = thresholds(scored)
     if not limits:
-        return nothing
+        return nothing, []
     limit = F.lit(None).cast("double")
     for kind, value in limits.items():
         limit = F.when(F.col("kind") == kind, F.lit(value)).otherwise(limit)
-    return joined(scored.filter(F.col("label").isNull() & (F.col("score") >= limit)))
+    chosen = scored.filter(F.col("label").isNull() & (F.col("score") >= limit))
+    return joined(chosen), [KINDS[kind] for kind in sorted(limits)]
 
 
 def joined(chosen: DataFrame) -> DataFrame:
@@ -373,17 +377,22 @@ def joined(chosen: DataFrame) -> DataFrame:
 
 
 def find_spans(docs: DataFrame, text: str = "text") -> DataFrame:
-    """One row per document: id, and its spans as structs (start, kind, end, base) in order; ``kind`` indexes KINDS."""
+    """One row per document: id, its spans as structs (start, kind, end, base) in order, where ``kind`` indexes KINDS,
+    and the kinds to which the trees could add spans."""
     found = matches(docs, text)
     spans = stage(candidates(found), "spans")
-    every = base_spans(spans).withColumn("base", F.lit(True)).unionByName(
-        added_spans(spans).withColumn("base", F.lit(False))
-    )
+    added, judged = added_spans(spans)
+    every = base_spans(spans).withColumn("base", F.lit(True)).unionByName(added.withColumn("base", F.lit(False)))
     grouped = every.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end", "base"))).alias("spans"))
     return (
         found.select("row", "doc_id")
         .join(grouped, "row", "left")
-        .select("row", "doc_id", F.coalesce("spans", F.expr("array()").cast(grouped.schema["spans"].dataType)).alias("spans"))
+        .select(
+            "row",
+            "doc_id",
+            F.coalesce("spans", F.expr("array()").cast(grouped.schema["spans"].dataType)).alias("spans"),
+            F.lit(",".join(judged)).alias("judged"),
+        )
     )
 
 

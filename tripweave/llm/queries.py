@@ -84,7 +84,7 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     counts = [count(i).alias(f"n_{kind}") for i, kind in enumerate(pii.KINDS)]
     return found.select(
-        "doc_id", *counts, F.sha2(pii.listed(base), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans")
+        "doc_id", *counts, F.sha2(pii.listed(base), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"), "judged"
     )
 
 
