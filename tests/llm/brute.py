@@ -279,3 +279,76 @@ def periodic_runs(docs):
         kept = " ".join(w for i, w in enumerate(words) if i not in gone)
         out.append((doc_id, len(found), *shown, sha256(listed), sha256(kept)))
     return out
+
+
+def mixing(docs, languages, topics, keep, flatten, most=0.9, sweeps=400):
+    """By position: (language class, topic class, tokens, probability, sampled); plain raking with bisected sources."""
+    rows = []
+    for d in docs:
+        text = d["text"]
+        topic = "*"
+        if text is not None:
+            topic = "contact" if re.search("@|[0-9]{4}", text) else "short" if len(text) < 1000 else "long"
+        language = d["lang"] if d["lang"] in languages else "*"
+        rows.append((d["source"], language, topic if topic in topics else "*", len(re.findall(WORD, text or ""))))
+    cells = defaultdict(int)
+    for source, language, topic, n in rows:
+        cells[source, language, topic] += n
+    total = sum(cells.values())
+    budget = keep * total
+
+    def wanted(named, side):
+        have = defaultdict(int)
+        for key, n in cells.items():
+            have[key[side]] += n
+        have = {c: n for c, n in have.items() if n}
+        left = 1 - sum(named.values())
+        if left < 1e-9 and "*" in have:
+            left = have["*"] / total
+            scale = (1 - left) / sum(w for c, w in named.items() if c in have)
+        else:
+            scale = 1
+        share = {c: named[c] * scale if c in named else left for c in have}
+        share = {c: w / sum(share.values()) for c, w in share.items()}
+        held = {}
+        while over := {c for c in share if c not in held and share[c] > most * have[c] / budget + 1e-15}:
+            held |= {c: most * have[c] / budget for c in over}
+            rest = sum(w for c, w in share.items() if c not in held)
+            share = {c: held.get(c, w * (1 - sum(held.values())) / rest) if rest else held[c] for c, w in share.items()}
+        return share
+
+    goals = [wanted(languages, 1), wanted(topics, 2)]
+    sources = defaultdict(list)
+    for (source, language, topic), n in cells.items():
+        sources[source].append((language, topic, n))
+    size = {s: sum(n for *_, n in own) for s, own in sources.items()}
+    flat = {s: n**flatten if n else 0 for s, n in size.items()}
+    factors = [dict.fromkeys(goals[0], 1.0), dict.fromkeys(goals[1], 1.0)]
+    for _ in range(sweeps):
+        chance = {}
+        for s, own in sources.items():
+            target = budget * flat[s] / sum(flat.values())
+            x = [(lang, t, n, factors[0].get(lang, 0) * factors[1].get(t, 0)) for lang, t, n in own]
+            low, high = 0.0, 1 / min((v for *_, n, v in x if v and n), default=1.0)
+            for _ in range(60):
+                a = (low + high) / 2
+                low, high = (a, high) if sum(n * min(1, a * v) for *_, n, v in x) < target else (low, a)
+            chance |= {(s, lang, t): min(1, high * v) for lang, t, n, v in x}
+        for side in (0, 1):
+            drawn = defaultdict(float)
+            for key, n in cells.items():
+                drawn[key[side + 1]] += n * chance[key]
+            all_ = sum(drawn.values()) / sum(goals[side].values())
+            step = {c: w * all_ / drawn[c] for c, w in goals[side].items()}
+            factors[side] = {c: f * step[c] for c, f in factors[side].items()}
+            chance = {key: p * step.get(key[side + 1], 1.0) for key, p in chance.items()}
+            if side == 0:
+                first = step
+    assert all(abs(v - 1) < 1e-5 for v in [*first.values(), *step.values()])
+    return [(language, topic, n, min(1.0, chance[source, language, topic])) for source, language, topic, n in rows]
+
+
+def drawn(doc_id, seed=1):
+    """The uniform number of a document."""
+    seed = xxhash.xxh64(struct.pack("<i", seed), seed=42).intdigest()
+    return xxhash.xxh64(struct.pack("<q", doc_id), seed=seed).intdigest() % 2**52 / 2**52

@@ -149,6 +149,27 @@ def test_op3_warc_zip(spark, folder):
     assert got == Counter(brute.warc(rows_of(folder, "pages", "page_id", "html")))
 
 
+def test_op4_probabilities_and_draws(spark, sf_dir):
+    docs = [r.asDict() for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    got = {r["doc_id"]: r for r in queries.op4_mixing(spark, sf_dir).collect()}
+    want = brute.mixing(docs, queries.LANGUAGES, queries.TOPICS, queries.KEEP, queries.FLATTEN)
+    assert len(got) == len(docs)
+    for d, (language, topic, tokens, probability) in zip(docs, want, strict=True):
+        r = got[d["doc_id"]]
+        assert (r["language"], r["topic"], r["tokens"], r["converged"]) == (language, topic, tokens, True)
+        assert not tokens or r["probability"] == pytest.approx(probability, rel=5e-3)
+        assert r["sampled"] == (brute.drawn(d["doc_id"]) < r["probability"])
+
+
+def test_targets_that_contradict_each_other_are_told(spark):
+    rows = [(i, "word " * 30, "en" if i % 2 else "de", "s") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    topic = F.when(F.col("lang") == "en", "first").otherwise("second")
+    with pytest.warns(UserWarning, match="off their targets"):
+        got = mixing.mixed(docs, {"en": 0.7, "de": 0.3}, {"first": 0.3, "second": 0.7}, topic, 0.3, 1.0)
+    assert {r["converged"] for r in got.select("converged").distinct().collect()} == {False}
+
+
 def test_op5_pii_base_spans(spark, folder):
     counts = [f"n_{k}" for k in pii.KINDS]
     found = queries.op5_pii(spark, folder).select("doc_id", *counts, "base_sha256", "spans").collect()

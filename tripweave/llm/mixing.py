@@ -11,7 +11,8 @@ share of all tokens, and the named targets are parts of the rest. A class withou
 
 A source that has fewer tokens than its target is taken whole and falls short. A language or topic is never asked for
 more than nine tenths of its tokens; the others share what is left of its target. Targets of sources are their tokens to
-the power ``flatten``: 1 keeps their shares, 0 makes them equal.
+the power ``flatten``: 1 keeps their shares, 0 makes them equal. Targets that can't be met at once end after ``SWEEPS``
+sweeps: the rows then say ``converged`` false, and a sample is drawn with a warning.
 
 Defined results: a null or empty text weighs nothing and is kept with its class's probability; a null source is a
 source of its own; a null id is drawn like any other, and rows that repeat an id are drawn together; with no tokens at
@@ -20,6 +21,7 @@ all, and in an empty table, every row has probability zero; other columns pass t
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -52,6 +54,10 @@ class Mix:
     sweeps: int
     deviation: float
 
+    @property
+    def converged(self) -> bool:
+        return self.deviation <= NEAR
+
 
 def word_count(text: Column) -> Column:
     """Words between blanks of ASCII; null has none."""
@@ -228,7 +234,8 @@ def mixed(
     carry: list[str] | None = None,
     text: str = "text",
 ) -> DataFrame:
-    """Id, source, language and topic class, tokens, probability, sampled; ``document`` with the columns to carry."""
+    """Id, source, language and topic class, tokens, probability, sampled, and whether the shares came as near to their
+    targets as asked; ``document`` with the columns to carry."""
     rows = docs.select(
         *([F.struct(*[F.col(f"`{c}`") for c in carry]).alias("document")] if carry else []),
         F.col("doc_id").cast("bigint").alias("doc_id"),
@@ -240,7 +247,9 @@ def mixed(
     if not carry:
         rows = stage(rows, "weights")
     mix = rake(rows.drop("document"), languages, topics, keep, flatten)
-    return with_probability(rows, mix, "doc_id", seed)
+    if not mix.converged:
+        warnings.warn(f"shares are off their targets by up to {mix.deviation:.3%} after {mix.sweeps} sweeps", stacklevel=2)
+    return with_probability(rows, mix, "doc_id", seed).withColumn("converged", F.lit(mix.converged))
 
 
 def sample(docs: DataFrame, *args, **options) -> DataFrame:
