@@ -15,6 +15,9 @@ SHORT_FEATURES = ["day_of_week", "exit_time", "distance", "exit_stop", "target_s
 LONG_FEATURES = ["day_of_week", "first_time", "total_distance", "first_stop", "target_stop"]
 TUNING_FEATURES = ["day_of_week", "total_speed", "first_stop", "target_stop", "total_distance", "first_time"]
 
+# Features with few different values, of which trees can try every cut.
+STOP_FEATURES = ["day_of_week", "distance", "first_stop", "exit_stop", "target_stop"]
+
 # Chronological order of segments. Vehicle and distances make it total but for identical rows.
 CHRONOLOGICAL = [
     "service_date",

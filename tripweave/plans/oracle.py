@@ -320,6 +320,51 @@ _step("linear", ["ranked", f"solved{len(_FIVE) - 1}"], f"""
  FROM ranked, solved{len(_FIVE) - 1} WHERE nth > CAST(floor(n * 0.9::DOUBLE) AS BIGINT)""")
 
 
+# Boosted trees of one cut each, over features of which every cut is tried: the first tree on the labels, each further one
+# on twice what is left to explain and counted by the step. A cut lies between two neighbouring values of the training part.
+CUT_FEATURES = ["day_of_week", "distance", "first_stop", "exit_stop", "target_stop"]
+STUMPS = 5
+_STEP = 0.1
+
+
+def _stumps(name: str, ranked: str, fits: str) -> None:
+    """Steps ``name``_0 to ``name``_<STUMPS>: the rows with their ``prediction`` after so many trees."""
+    _step(f"{name}_0", [ranked], f"SELECT *, {fits} AS fits, 0::DOUBLE AS prediction FROM {ranked}")
+    for i in range(STUMPS):
+        before, cut = f"{name}_{i}", f"{name}_cut_{i}"
+        rest = "2 * (label - prediction)" if i else "label"
+        counted = " UNION ALL ".join(
+            f"SELECT {f} AS feature, CAST({c} AS DOUBLE) AS value, count(*) AS n, sum(CAST({rest} AS DOUBLE)) AS total "
+            f"FROM {before} WHERE fits GROUP BY 2"
+            for f, c in enumerate(CUT_FEATURES)
+        )
+        _step(cut, [before], f"""
+ SELECT feature, (value + following) / 2 AS cut, below / n_below AS lower_mean, above / n_above AS upper_mean FROM (
+  SELECT feature, value, lead(value) OVER up AS following, sum(n) OVER up AS n_below, sum(total) OVER up AS below,
+   sum(n) OVER whole - sum(n) OVER up AS n_above, sum(total) OVER whole - sum(total) OVER up AS above
+  FROM ({counted}) WINDOW up AS (PARTITION BY feature ORDER BY value), whole AS (PARTITION BY feature))
+ WHERE following IS NOT NULL
+ ORDER BY below * below / n_below + above * above / n_above DESC, feature, value LIMIT 1""")
+        value = "CASE feature " + " ".join(f"WHEN {f} THEN {c}" for f, c in enumerate(CUT_FEATURES)) + " END"
+        grown = f"CASE WHEN {value} <= cut THEN lower_mean ELSE upper_mean END"
+        _step(f"{name}_{i + 1}", [before, cut], f"""
+ SELECT * EXCLUDE (feature, cut, lower_mean, upper_mean) REPLACE (prediction + {_STEP if i else 1.0}::DOUBLE * {grown} AS prediction)
+ FROM {before}, {cut}""")
+
+
+_step("ranked_with_speed", ["ranked"], """
+ SELECT * REPLACE (ROW_NUMBER() OVER (ORDER BY nth) AS nth, count(*) OVER () AS n) FROM ranked WHERE total_speed IS NOT NULL""")
+
+_stumps("stumps", "ranked", "nth <= CAST(floor(n * 0.9::DOUBLE) AS BIGINT)")
+_stumps("three_way", "ranked", "nth <= n - CAST(ceil(n * 0.2::DOUBLE) AS BIGINT)")
+_stumps("searched", "ranked_with_speed", "nth <= n - CAST(ceil(n * 0.1::DOUBLE) AS BIGINT)")
+
+
+def after_each(name: str) -> str:
+    """The rows of ``_stumps`` after every tree."""
+    return " UNION ALL ".join(f"SELECT *, {i} AS iteration FROM {name}_{i}" for i in range(1, STUMPS + 1))
+
+
 def _order_of(step: str, seen: list[str]) -> list[str]:
     for need in STEPS[step][0]:
         _order_of(need, seen)

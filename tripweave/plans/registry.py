@@ -29,7 +29,7 @@ from tripweave.operators import segments as seg
 from tripweave.operators import splits, trip_start, views
 from tripweave.plans import daily, ingest, training
 from tripweave.plans import features as build
-from tripweave.plans.oracle import CLAIM, sql
+from tripweave.plans.oracle import CLAIM, STUMPS, after_each, sql
 from tripweave.plans.sample_pings import sample_pings
 from tripweave.session import scratch_path, stage
 from tripweave.sources import compaction, datasets, pings_tsv, profile
@@ -964,6 +964,84 @@ def gbt_fit_score(spark, sf_dir):
     ).drop("first", "prediction", "abs_diff")
 
 
+# Trees of one cut each, tried at every value of features that have few: SQL finds the same ones, so that predictions,
+# losses and targets are compared as numbers.
+EVERY_CUT = {"maxDepth": 1, "maxBins": 2048}
+CUT_ROW = ", ".join(views.STOP_FEATURES)
+
+
+@query(
+    f"SELECT * EXCLUDE (nth, n, fits, prediction) REPLACE ({DAY}), round(prediction, 3) AS prediction, "
+    f"round(abs(label - prediction), 3) AS abs_diff FROM stumps_{STUMPS} WHERE NOT fits",
+    f"stumps_{STUMPS}",
+)
+def gbt_cuts_score(spark, sf_dir):
+    """Fitted, stored, loaded and applied to the held-out rows."""
+    path = scratch_path(spark, "gbt-cuts")
+    scored = training.fit_and_score(_ordered(spark, sf_dir), "gbt", path, features="stops", maxIter=STUMPS, **EVERY_CUT)
+    return scored.withColumns({c: F.round(c, 3) for c in ("prediction", "abs_diff")})
+
+
+VALIDATION = f"nth > n - {HELD} AND nth <= n - CAST(ceil({HELD} * 0.5::DOUBLE) AS BIGINT)"
+CURVE = f"(SELECT iteration, avg(pow(label - prediction, 2)) AS mse FROM ({after_each('three_way')}) WHERE {VALIDATION} GROUP BY 1)"
+
+
+@query(
+    "SELECT iteration, round(mse, 2) AS validation_mse, "
+    f"iteration = (SELECT arg_min(iteration, mse) FROM {CURVE}) AS is_best FROM {CURVE}",
+    f"three_way_{STUMPS}",
+)
+def best_iteration_curve(spark, sf_dir):
+    curve = training.best_iteration(_ordered(spark, sf_dir), "stops", maxIter=STUMPS, **EVERY_CUT)[0]
+    return curve.withColumn("validation_mse", F.round("validation_mse", 2))
+
+
+def _kept_metrics() -> str:
+    kept = (
+        f"(SELECT *, CASE WHEN {VALIDATION} THEN 'validation' ELSE 'final' END AS split FROM ({after_each('three_way')}) "
+        f"WHERE NOT fits AND iteration = (SELECT arg_min(iteration, mse) FROM {CURVE}))"
+    )
+    measures = {f"within_{s}": _within_sql(s) for s in metrics.THRESHOLDS} | {
+        "rmse": RMSE_SQL, "r2": R2_SQL, "rows": "CAST(count(*) AS DOUBLE)"}
+    return " UNION ALL ".join(
+        f"SELECT '{m}' AS metric, round({v}, 4) AS value, split FROM {kept} GROUP BY split" for m, v in measures.items()
+    )
+
+
+@query(_kept_metrics(), f"three_way_{STUMPS}")
+def best_iteration_metrics(spark, sf_dir):
+    """Of the kept trees, on the validation and the final part."""
+    report = training.best_iteration(_ordered(spark, sf_dir), "stops", maxIter=STUMPS, **EVERY_CUT)[1]
+    return report.withColumn("value", F.round("value", 4))
+
+
+@query(
+    f"SELECT {CUT_ROW}, round(prediction, 3) AS predicted_label FROM three_way_{STUMPS} WHERE fits",
+    f"three_way_{STUMPS}",
+)
+def scored_features_cuts(spark, sf_dir):
+    scored = training.scored_training_rows(_ordered(spark, sf_dir), "stops", maxIter=STUMPS, **EVERY_CUT)
+    return scored.withColumn("predicted_label", F.round("predicted_label", 3))
+
+
+TARGETS = (
+    f"(SELECT iteration, -sqrt(avg(pow(label - prediction, 2))) AS target FROM ({after_each('searched')}) "
+    "WHERE NOT fits GROUP BY 1)"
+)
+
+
+@query(
+    f"SELECT iteration AS trees, round(target, 4) AS target, target = (SELECT max(target) FROM {TARGETS}) AS is_best FROM {TARGETS}",
+    f"searched_{STUMPS}",
+)
+def param_search_targets(spark, sf_dir):
+    """A search for the number of trees: what its trials on all rows found, and which one it takes."""
+    bounds = {"maxIter": (1, STUMPS)} | {name: (value, value) for name, value in EVERY_CUT.items()}
+    found = training.parameter_search(_ordered(spark, sf_dir), 10, 10, views.STOP_FEATURES, bounds)
+    tried = found.filter("share = 1").groupBy(F.col("maxIter").alias("trees"), F.round("target", 4).alias("target"))
+    return tried.agg(F.bool_or("is_best").alias("is_best"))
+
+
 ITERATIONS = 20
 
 
@@ -989,7 +1067,6 @@ def boosting_rounds(spark, sf_dir):
     return spark.createDataFrame(rows, "iteration int, same_loss boolean, loss_holds boolean")
 
 
-
 @query(
     f"SELECT CAST(i AS INTEGER) AS iteration, true AS flag_holds FROM range(1, {ITERATIONS + 1}) AS r(i)",
 )
