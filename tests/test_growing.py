@@ -165,3 +165,10 @@ def test_only_the_best_proposals_go_on_to_all_rows():
 
 def test_without_random_trials_the_first_round_is_drawn():
     assert len(models.search(hill, BOX, 0, 12, random.Random(1))) == 12
+
+
+def test_a_parameter_with_one_value_keeps_it():
+    box = {"x": (0.0, 10.0), "fixed": (7, 7)}
+    trials = models.search(lambda p, whole: -abs(p["x"] - 3), box, 5, 30, random.Random(2))
+    assert len(trials) == 35 and {t["fixed"] for t in trials} == {7}
+    assert max(t["target"] for t in trials) > max(t["target"] for t in trials[:5])
