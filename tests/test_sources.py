@@ -221,3 +221,24 @@ def test_times_do_not_depend_on_the_session_zone(spark, tmp_path):
         spark.conf.set("spark.sql.session.timeZone", before)
     assert got == [(date(2014, 3, 9), 9000), (date(2014, 11, 2), 5400)]
     assert gaps == [(date(2014, 3, 8),), (date(2014, 3, 10),)]
+
+
+def test_a_bin_is_sorted_as_packed_chunks_in_the_order_of_its_files(spark, tmp_path):
+    path = str(tmp_path / "data")
+    kinds = "id", "timestamp_ntz'2014-08-01 06:00:00' AS t", "IF(id % 3 = 0, NULL, struct(string(id) AS s, array(id))) AS n"
+    for first in (0, 40_000, 80_000):
+        spark.range(first, first + 40_000, 1, 1).selectExpr(*kinds).write.mode("append").parquet(path)
+    want = sorted(map(str, spark.read.parquet(path).collect()))
+    listed = sorted(f["path"] for f in files.listed(spark, path, "*.parquet").collect())
+    order = [r["id"] for p in listed for r in sorted(spark.read.parquet(p).select("id").collect())]
+    seen = []
+    frame = type(spark.range(0))
+    original = frame.sortWithinPartitions
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(frame, "sortWithinPartitions", lambda df, *by: seen.append(df.columns) or original(df, *by))
+        assert compaction.compact_folder(spark, path).first()["files_after"] == 1
+    assert seen and all(columns == ["_bin", "_file", "_row", "_packed"] for columns in seen)
+    spark.catalog.refreshByPath(path)
+    left = spark.read.parquet(path)
+    assert sorted(map(str, left.collect())) == want
+    assert [r["id"] for r in left.select("id", "_metadata.row_index").orderBy("row_index").collect()] == order

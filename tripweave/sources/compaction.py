@@ -5,7 +5,8 @@ smaller ones are packed into bins of at most the target, largest first, each int
 of several files is rewritten as one file; a bin of one file is left alone. Rounds follow until no plan joins anything,
 so the files left over depend on the stored bytes only, not on the session, and a second run finds nothing to do.
 
-Rows keep the order of their files and of their places in them. A folder's files are replaced only when all new files
+Rows keep the order of their files and of their places in them. They travel and are sorted as packed chunks of a file, so
+that the task that writes a bin holds about the bytes of its files, however many rows these are. A folder's files are replaced only when all new files
 are written and the list of replacements is stored beside them; a run that was cut off after that point is completed by
 the next one, before it, undone. Readers should wait while files are replaced.
 
@@ -14,15 +15,23 @@ Folders of any partitioning, nested ones too, keep it: partition columns are nev
 
 from __future__ import annotations
 
+import sys
 import uuid
 from bisect import bisect_left, insort
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripweave.sources.files import Folder, listed
 
+# Executors need not have this package installed: its functions travel with the job.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 TARGET_BYTES = 256 << 20
 # The part of the target from which a file is kept.
 KEPT_FROM = 0.5
@@ -32,6 +41,7 @@ FILES_AT_ONCE = 10_000
 WORK = "_compaction-"
 
 PLAN = "path string, uri string, folder string, length long, bin int"
+CHUNKS = "_bin int, _file int, _row long, _packed binary"
 
 
 def packed(sizes: list[int], target: int) -> list[int]:
@@ -75,27 +85,54 @@ def _batches(plan: list) -> list[list]:
     return [b for b in batches if b]
 
 
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of neighbouring rows of one file as one compressed value each, with the place of their first row."""
+    for batch in batches:
+        places = {c: batch.column(c).to_numpy() for c in ("_bin", "_file", "_row")}
+        file, row = places["_file"], places["_row"]
+        edges = np.flatnonzero((file[1:] != file[:-1]) | (row[1:] != row[:-1] + 1)) + 1
+        starts = np.concatenate([[0], edges]) if len(row) else edges
+        rows = batch.select([c for c in batch.schema.names if c not in places])
+        held = []
+        for first, end in zip(starts, [*starts[1:], len(row)], strict=False):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+                stream.write_batch(rows.slice(first, end - first))
+            held.append(sink.getvalue().to_pybytes())
+        yield pa.RecordBatch.from_pydict({c: v[starts] for c, v in places.items()} | {"_packed": pa.array(held, pa.binary())})
+
+
+def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for packed_rows in batch.column("_packed"):
+            yield from pa.ipc.open_stream(packed_rows.as_buffer())
+
+
 def _rewrite(spark: SparkSession, folder: Folder, rows: list) -> None:
     """Write one file per bin and the list of replacements, then replace."""
     work = f"{folder.path}/{WORK}{uuid.uuid4().hex}"
     number: dict[tuple[str, int], int] = {}
     for r in rows:
         number.setdefault((r["folder"], r["bin"]), len(number))
-    parts = [(r["path"], r["uri"], r["folder"], number[r["folder"], r["bin"]]) for r in rows]
-    files = spark.createDataFrame(parts, "path string, uri string, folder string, _bin int")
+    parts = [
+        (r["path"], r["uri"], r["folder"], number[r["folder"], r["bin"]], i)
+        for i, r in enumerate(sorted(rows, key=lambda r: r["uri"]))
+    ]
+    files = spark.createDataFrame(parts, "path string, uri string, folder string, _bin int, _file int")
     paths = [r["path"] for r in rows]
     # Partition columns stay in the names of the folders.
     data = spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true").parquet(*paths)
     placed = data.select(
         "*", F.col("_metadata.file_path").alias("_uri"), F.col("_metadata.row_index").alias("_row")
-    ).join(F.broadcast(files.select(F.col("uri").alias("_uri"), "_bin")), "_uri")
-    # A given number of partitions is not changed by adaptive execution: every bin is one task's, and one file.
+    ).join(F.broadcast(files.select(F.col("uri").alias("_uri"), "_bin", "_file")), "_uri")
+    # The partition of a bin has its number, and so has the file it writes.
     (
-        placed.repartition(len(number), "_bin")
-        .sortWithinPartitions("_bin", "_uri", "_row")
-        .select(*data.columns, "_bin")
+        placed.drop("_uri")
+        .mapInArrow(_pack, CHUNKS)
+        .repartitionById(len(number), "_bin")
+        .sortWithinPartitions("_file", "_row")
+        .mapInArrow(_unpack, data.schema)
         .write.option("maxRecordsPerFile", 0)
-        .partitionBy("_bin")
         .parquet(f"{work}/new")
     )
     files.select("path", "folder", "_bin").coalesce(1).write.parquet(f"{work}/replaced")
@@ -106,7 +143,13 @@ def _replace(spark: SparkSession, folder: Folder, work: str) -> None:
     """Put the new files in place of the old ones. Every step may be repeated after one that was cut off."""
     replaced = spark.read.parquet(f"{work}/replaced").collect()
     home = {r["_bin"]: r["folder"] for r in replaced}
-    new = {b: [n for n in folder.names(f"{work}/new/_bin={b}") if n.endswith(".parquet")] for b in home}
+    new: dict[int, list[str]] = {b: [] for b in home}
+    for name in folder.names(f"{work}/new"):
+        if name.endswith(".parquet"):
+            new[int(name.split("-")[1])].append(name)
+        elif name.startswith("_bin="):  # written by an earlier version, in a folder for each bin
+            inside = [n for n in folder.names(f"{work}/new/{name}") if n.endswith(".parquet")]
+            new[int(name.removeprefix("_bin="))] += [f"{name}/{n}" for n in inside]
     kept = set()
     for r in sorted(replaced, key=lambda r: r["path"]):
         if not new[r["_bin"]] and r["_bin"] not in kept:  # of files without rows one stays
@@ -115,7 +158,7 @@ def _replace(spark: SparkSession, folder: Folder, work: str) -> None:
             folder.delete(r["path"])
     for bin_, names in sorted(new.items()):
         for name in names:
-            folder.move(f"{work}/new/_bin={bin_}/{name}", f"{home[bin_]}/bin-{bin_}-{name}")
+            folder.move(f"{work}/new/{name}", f"{home[bin_]}/bin-{bin_}-{name.rsplit('/', 1)[-1]}")
     folder.delete(work)
 
 
