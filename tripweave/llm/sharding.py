@@ -15,7 +15,7 @@ an empty table gives no rows; with fewer rows than shards some shards stay empty
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +45,7 @@ WHOLE_GROUP = 0.04
 KEY = ["_hash", "_id", "_row"]
 
 
-def sized(docs: DataFrame, text: str, more: list[Column]) -> DataFrame:
+def sized(docs: DataFrame, text: str, more: Sequence[Column] = ()) -> DataFrame:
     """Key, size and checksum of every row, and ``more``; the texts stay behind."""
     content = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.select(
