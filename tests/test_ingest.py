@@ -11,7 +11,7 @@ from test_trip_start import SCHEMA, look_back, make
 
 from tripweave.operators import cleaning, encoding, trip_start
 from tripweave.operators.cleaning import PING_COLUMNS
-from tripweave.plans import daily, ingest
+from tripweave.plans import daily, ingest, registry
 from tripweave.session import stage
 from tripweave.sources import datasets, files, pings_tsv
 
@@ -207,3 +207,9 @@ def test_pings_of_unlike_files_are_typed(spark, tmp_path):
     write(str(tmp_path / "in/a.txt"), 1, [0])
     raw, _ = pings_tsv.read_unlike_tsv(spark, pings_tsv.file_headers(spark, str(tmp_path / "in/*.txt")))
     assert cleaning.clean_pings(cleaning.type_pings(raw)).count() == 16
+
+
+def test_rejects_read_their_text_pings_from_a_stored_table(spark, sf_dir):
+    """Read by several steps, their text would be made anew by each, and once more in each filter on it."""
+    plan = registry._broken_text(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Project" not in plan

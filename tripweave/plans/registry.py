@@ -76,7 +76,7 @@ def _pings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _broken_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The sample pings as text, with some values that do not parse."""
+    """The sample pings as text, with some values that do not parse; stored, as ping files are."""
     pings = sample_pings(spark, sf_dir)
     at = F.col("distance_along_trip")
     broken = {
@@ -90,7 +90,7 @@ def _broken_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     for c, value in broken.items():
         known = F.coalesce(value, text[c])
         text[c] = F.when(~missing, known) if c == "next_scheduled_stop_distance" else known
-    return pings.select(*[v.alias(c) for c, v in text.items()])
+    return stage(pings.select(*[v.alias(c) for c, v in text.items()]), "pings-text")
 
 
 def _segments(spark: SparkSession, sf_dir: str) -> DataFrame:
