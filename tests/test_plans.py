@@ -1,15 +1,17 @@
 """What the physical plans must look like."""
 
 import re
+from datetime import datetime
 
 from helpers import CLEAN, DAY
 
 from tripweave.operators import cleaning, encoding, modal, segments, views
 from tripweave.plans import daily
 from tripweave.plans import features as build
+from tripweave.plans import sample_pings as plans_sample_pings
 from tripweave.session import stage
 from tripweave.sources import datasets
-from tripweave.plans.sample_pings import sample_pings
+from tripweave.plans.sample_pings import pings_from_lines, sample_pings
 
 
 def executed(df):
@@ -135,3 +137,29 @@ def test_a_dictionary_reads_its_ids_once(spark, tmp_path):
     spark.range(1000).selectExpr("id % 50 AS exit_stop", "id % 70 AS target_stop").write.parquet(path)
     plan = executed(encoding.stop_dictionary(datasets.read_dataset(spark, path)))
     assert plan.count("FileScan") == 1
+
+
+LINES = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_shipdate timestamp_ntz"
+
+
+def order_lines(spark, vehicles, n):
+    """Lines with repeated shipping times and keys, and some without supplier, time or part."""
+    shipped = [datetime(1992 + i % 7, 1 + i % 12, 1 + i % 3) for i in range(n)]
+    rows = [(i % 90, i % 4, None if i % 31 == 0 else i % 50, v, shipped[i]) for v in vehicles for i in range(n)]
+    return spark.createDataFrame([*rows, (1, 1, 1, None, shipped[0]), (1, 1, 1, vehicles[0], None)], LINES)
+
+
+def test_pings_of_a_vehicle_stay_where_its_lines_are_numbered(spark):
+    """One exchange numbers the lines and serves the trips and both thinning steps; the other is by vehicle-day."""
+    lines = stage(order_lines(spark, [1, 2, 3], 450), "lines")
+    plan = executed(cleaning.dedup_pings(cleaning.clean_pings(pings_from_lines(lines))))
+    assert exchanges(plan) == ["hashpartitioning"] * 2
+
+
+def test_vehicles_with_many_lines_give_the_same_pings(spark, monkeypatch):
+    lines = stage(order_lines(spark, [4, 14], 450).unionByName(order_lines(spark, [7], 900)), "lines")
+    whole = sorted(map(str, pings_from_lines(lines).collect()))
+    monkeypatch.setattr(plans_sample_pings, "MOST_LINES", 500)
+    df = pings_from_lines(lines)
+    assert "quarter" in df._jdf.queryExecution().analyzed().toString()
+    assert sorted(map(str, df.collect())) == whole and len(whole) == 1800
