@@ -213,3 +213,20 @@ def test_rejects_read_their_text_pings_from_a_stored_table(spark, sf_dir):
     """Read by several steps, their text would be made anew by each, and once more in each filter on it."""
     plan = registry._broken_text(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan and "Project" not in plan
+
+
+def test_headers_of_known_files_are_not_read_again(spark, tmp_path, monkeypatch):
+    source, out, ledger = (str(tmp_path / n) for n in ("in", "out", "ledger"))
+    read = []
+
+    def reading(spark, paths):
+        read.append(sorted(os.path.basename(p) for p in paths))
+        return pings_tsv.first_lines(spark, paths)
+
+    monkeypatch.setattr(ingest, "first_lines", reading)
+    for name, vehicle in (("a.txt", 1), ("b.txt", 2), (None, None)):
+        if name:
+            write(f"{source}/{name}", vehicle, [0])
+        ingest.ingest(spark, source, out, ledger)
+    assert read == [["a.txt"], ["b.txt"], []]
+    assert rows(datasets.read_dataset(spark, out), *LINKED) == linked_of(spark, source)

@@ -21,8 +21,8 @@ from tripweave.operators.trip_start import later_starts
 from tripweave.plans import daily
 from tripweave.session import stage
 from tripweave.sources.datasets import read_dataset, write_dataset, write_linked
-from tripweave.sources.files import Folder
-from tripweave.sources.pings_tsv import file_headers, read_unlike_tsv
+from tripweave.sources.files import Folder, listed
+from tripweave.sources.pings_tsv import first_lines, read_unlike_tsv
 
 FILE = ["path", "length", "modified"]
 ENTRIES = "path string, length long, modified timestamp, uri string, header string, days array<date>"
@@ -70,8 +70,11 @@ def ingest(spark: SparkSession, source: str | list[str], out: str, ledger_path:
     """
     ledger = Ledger(spark, ledger_path)
     known = ledger.entries()
-    now = stage(file_headers(spark, source).filter(F.col("length") > 0), "files")
-    new = stage(now.join(known, FILE, "left_anti"), "new-files")
+    now = stage(listed(spark, source).filter(F.col("length") > 0), "files")
+    new = now.join(known, FILE, "left_anti")
+    # The headers of known files are in the ledger: only new files are read.
+    headers = first_lines(spark, [r["path"] for r in new.select("path").collect()])
+    new = stage(new.join(headers, "uri", "left"), "new-files")
     gone = known.join(now, FILE, "left_anti")
     raw, unread = read_unlike_tsv(spark, new, uri=True)
     held = stage(new.join(days_of_files(raw), "uri", "left"), "new-entries")

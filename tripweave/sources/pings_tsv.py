@@ -25,11 +25,10 @@ def read_pings_tsv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return raw.select(*[blank_to_null(F.col(c)).alias(c) for c in PING_COLUMNS])
 
 
-def file_headers(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """The files at folders, globs or paths as ``listed`` gives them, with their first lines as ``header``.
-
-    Only the first block of a file is read. Files without a byte are passed over, as by every scan.
-    """
+def first_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """The first line of each file, as ``header`` next to the file's ``uri``."""
+    if not paths:
+        return spark.createDataFrame([], "uri string, header string")
     lines = (
         spark.read.option("recursiveFileLookup", "true")
         .text(paths)
@@ -37,8 +36,15 @@ def file_headers(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         .filter(F.col("block") == 0)
         .withColumn("at", F.monotonically_increasing_id())
     )
-    first = lines.groupBy("uri").agg(F.min_by("value", "at").alias("header"))
-    return listed(spark, paths).join(first, "uri", "left")
+    return lines.groupBy("uri").agg(F.min_by("value", "at").alias("header"))
+
+
+def file_headers(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """The files at folders, globs or paths as ``listed`` gives them, with their first lines as ``header``.
+
+    Files without a byte are passed over, as by every scan.
+    """
+    return listed(spark, paths).join(first_lines(spark, paths), "uri", "left")
 
 
 def header_names(header: str | None) -> tuple[str, ...]:
