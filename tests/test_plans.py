@@ -163,3 +163,11 @@ def test_vehicles_with_many_lines_give_the_same_pings(spark, monkeypatch):
     df = pings_from_lines(lines)
     assert "quarter" in df._jdf.queryExecution().analyzed().toString()
     assert sorted(map(str, df.collect())) == whole and len(whole) == 1800
+
+
+def test_rows_are_stored_before_their_ranges_are_found(spark, sf_dir, monkeypatch):
+    seen = []
+    monkeypatch.setattr(build, "in_order", lambda df: seen.append(df))
+    build.model_table(stage(daily.linked(stage(sample_pings(spark, sf_dir), "pings")), "linked"))
+    plan = executed(seen[0])
+    assert exchanges(plan) == [] and "Window" not in plan and plan.count("FileScan") == 1
