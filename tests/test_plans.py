@@ -5,7 +5,7 @@ from datetime import datetime
 
 from helpers import CLEAN, DAY
 
-from tripweave.operators import cleaning, encoding, modal, segments, views
+from tripweave.operators import cleaning, encoding, modal, segments, trip_start, views
 from tripweave.plans import daily
 from tripweave.plans import features as build
 from tripweave.plans import sample_pings as plans_sample_pings
@@ -171,3 +171,18 @@ def test_rows_are_stored_before_their_ranges_are_found(spark, sf_dir, monkeypatc
     build.model_table(stage(daily.linked(stage(sample_pings(spark, sf_dir), "pings")), "linked"))
     plan = executed(seen[0])
     assert exchanges(plan) == [] and "Window" not in plan and plan.count("FileScan") == 1
+
+
+def test_trip_starts_sort_a_day_once_for_all_its_windows(spark, sf_dir):
+    """Also where the summaries of the days are too large to broadcast: the rows are not sorted within the day again."""
+    scaled = stage(build.scaled(stage(daily.linked(stage(sample_pings(spark, sf_dir), "pings")), "linked"))[0], "scaled")
+    wanted = sorted(map(str, trip_start.trip_starts(scaled).collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        df = trip_start.trip_starts(scaled)
+        within_day = re.findall(r"\bSort \[[^\]]*exit_time[^\]]*\]", executed(df))
+        assert sorted(map(str, df.collect())) == wanted and wanted
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # One below the rows, one below the summaries.
+    assert len(within_day) == 2
